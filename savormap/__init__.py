@@ -1 +1,9 @@
 """Savormap: place recommendation and review analytics as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few Python functions that run in tasks travel with them, so executors
+# need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

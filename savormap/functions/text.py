@@ -58,40 +58,42 @@ def blank_escapes(text: Column) -> Column:
     return reduce(lambda col, seq: F.replace(col, F.lit(seq), F.lit(" ")), ESCAPES, text)
 
 
-def letters_only(text: Column) -> Column:
-    """Every run of other characters becomes one blank."""
-    return F.regexp_replace(text, "[^A-Za-z]+", " ")
+_OTHER = "[^A-Za-z]+"
+# One or two distinct characters from end to end; possessive, so it never backtracks.
+_MONOTONE = r"^(?:(.)\1*+(?:(.)(?:\1|\2)*+)?)?$"
 
 
-def words(text: Column) -> Column:
-    """Blank-separated tokens, without empty ones."""
-    return F.filter(F.split(text, " "), lambda w: w != "")
+def letters_only(text: Column) -> Column:
+    """Every run of other characters becomes one blank."""
+    return F.regexp_replace(text, _OTHER, " ")
 
 
 def varied_words(tokens: Column) -> Column:
     """Tokens with more than two distinct characters."""
-    return F.filter(tokens, lambda w: F.size(F.array_distinct(F.split(w, ""))) > 2)
+    return F.filter(tokens, lambda w: ~w.rlike(_MONOTONE))
 
 
 def without_stop_words(tokens: Column, rule: str = "list") -> Column:
-    """Drop stop words: list members, or (``path``) anything the fixed path contains."""
+    """Drop lower-case stop words: list members, or (``path``) anything the fixed path contains."""
     if rule not in _STOP_RULES:
         raise ValueError(f"unknown stop-word rule {rule!r}; use one of {_STOP_RULES}")
     if rule == "list":
-        return F.filter(tokens, lambda w: ~F.lower(w).isin(*STOP_WORDS))
-    return F.filter(tokens, lambda w: ~F.contains(F.lit(STOP_PATH), F.lower(w)))
+        return F.filter(tokens, lambda w: ~w.isin(*STOP_WORDS))
+    return F.filter(tokens, lambda w: ~F.contains(F.lit(STOP_PATH), w))
 
 
 def normal_tokens(text: Column, rule: str = "list") -> Column:
     """Tokens of the normalised text, lower case.
 
     Case is folded before the distinct-letter test, because stemming single
-    characters has that one effect.
+    characters has that one effect. Splitting at the non-letters replaces them
+    and tokenises in one pass over the text.
     """
-    cleaned = F.lower(letters_only(blank_escapes(expand_contractions(text))))
-    return without_stop_words(varied_words(words(cleaned)), rule)
+    letters = F.split(blank_escapes(expand_contractions(text)), _OTHER)
+    folded = F.transform(letters, lambda w: F.lower(w))
+    return without_stop_words(varied_words(folded), rule)
 
 
 def normal_text(text: Column, rule: str = "list") -> Column:
     """The whole normalisation: one lower-case, blank-separated string."""
-    return F.trim(F.lower(F.array_join(normal_tokens(text, rule), " ")))
+    return F.array_join(normal_tokens(text, rule), " ")

@@ -26,6 +26,13 @@ HIDDEN_LAYERS = (512, 256, 128)
 ASPECT_EPOCHS, POLARITY_EPOCHS = 5, 6
 
 
+def _exploded(tokenised: DataFrame, tokens: str, *carry: str) -> DataFrame:
+    # The outer form, filtered after: the inner one would have the optimizer
+    # add a size test below it that works the tokens out a second time.
+    words = tokenised.select(*carry, F.explode_outer(tokens).alias("word"))
+    return words.where(F.col("word").isNotNull())
+
+
 def vocabulary(tokenised: DataFrame, tokens: str = "tokens", words: int = VOCABULARY_WORDS) -> DataFrame:
     """The most frequent words with their counts and 1-based rank; ties alphabetical.
 
@@ -33,7 +40,7 @@ def vocabulary(tokenised: DataFrame, tokens: str = "tokens", words: int = VOCABU
     cheap; the ranking sees only the ``words`` rows that survive the limit.
     """
     counted = (
-        tokenised.select(F.explode(tokens).alias("word"))
+        _exploded(tokenised, tokens)
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.col("n").desc(), "word")
@@ -59,7 +66,7 @@ def vectoriser(tokenised: DataFrame, tokens: str = "tokens", words: int = VOCABU
 
 def multi_hot(tokenised: DataFrame, table: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
     """Sparse multi-hot rows as (key, rank): which vocabulary words each text holds."""
-    present = tokenised.select(key, F.explode(F.array_distinct(tokens)).alias("word"))
+    present = _exploded(tokenised.withColumn(tokens, F.array_distinct(tokens)), tokens, key)
     return present.join(table.select("word", "rank"), "word").select(key, "rank")
 
 

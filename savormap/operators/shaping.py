@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ _SPLIT_STEPS = 1_000_000
 
 def known_rows(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where none of ``columns`` is null."""
-    return df.dropna(subset=list(columns))
+    return df.where(reduce(and_, (F.col(c).isNotNull() for c in columns)))
 
 
 def stars_above(df: DataFrame, column: str = "stars", limit: float = 4.0) -> DataFrame:

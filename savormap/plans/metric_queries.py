@@ -9,6 +9,7 @@ from savormap.plans import views
 from savormap.plans.registry import query
 from savormap.plans.views import sql_over
 from savormap.skew import gather_lists
+from savormap.storage import cut_lineage
 
 
 def _rounded(df, *columns):
@@ -131,7 +132,7 @@ def item_mean_rmse(spark, sf):
     ),
 )
 def items_of_each_user(spark, sf):
-    pairs = views.ratings(spark, sf).select("user_id", "item_id").distinct()
+    pairs = cut_lineage(views.ratings(spark, sf).select("user_id", "item_id").distinct())
     lists = gather_lists(pairs, ["user_id"], ["item_id"], "items")
     return lists.groupBy("user_id").agg(
         F.sum(F.size("items")).alias("n_items"),

@@ -9,6 +9,7 @@ from savormap.functions import text
 from savormap.operators import classify
 from savormap.plans import views
 from savormap.plans.registry import query
+from savormap.storage import cut_lineage, spread_if_small
 
 
 def _quoted(value: str) -> str:
@@ -51,7 +52,7 @@ def _normal(column: str, rule: str = "list") -> str:
 )
 def cleaned_documents(spark, sf):
     body = F.col("text")
-    return views.table(spark, sf, "documents").select(
+    return spread_if_small(views.table(spark, sf, "documents").select("doc_id", "text")).select(
         "doc_id",
         text.expand_contractions(body).alias("expanded"),
         text.blank_escapes(body).alias("blanked"),
@@ -64,7 +65,7 @@ def cleaned_documents(spark, sf):
     f"SELECT doc_id, {_normal('text')} AS text FROM documents",
 )
 def normal_documents(spark, sf):
-    documents = views.table(spark, sf, "documents")
+    documents = spread_if_small(views.table(spark, sf, "documents").select("doc_id", "text"))
     return documents.select("doc_id", text.normal_text(F.col("text")).alias("text"))
 
 
@@ -73,7 +74,7 @@ def normal_documents(spark, sf):
     f"SELECT doc_id, {_normal('text', 'path')} AS text FROM documents",
 )
 def normal_documents_path_rule(spark, sf):
-    documents = views.table(spark, sf, "documents")
+    documents = spread_if_small(views.table(spark, sf, "documents").select("doc_id", "text"))
     return documents.select("doc_id", text.normal_text(F.col("text"), "path").alias("text"))
 
 
@@ -82,13 +83,13 @@ def normal_documents_path_rule(spark, sf):
     f"SELECT conv_id, turn, {_normal('text')} AS text FROM conversations",
 )
 def normal_conversations(spark, sf):
-    turns = views.table(spark, sf, "conversations")
+    turns = spread_if_small(views.table(spark, sf, "conversations"))
     return turns.select("conv_id", "turn", text.normal_text(F.col("text")).alias("text"))
 
 
 def tokenised(spark, sf):
     """doc_id, lang and the normalised tokens."""
-    documents = views.table(spark, sf, "documents")
+    documents = spread_if_small(views.table(spark, sf, "documents").select("doc_id", "lang", "text"))
     return documents.select("doc_id", "lang", text.normal_tokens(F.col("text")).alias("tokens"))
 
 
@@ -104,7 +105,7 @@ def document_vocabulary(spark, sf):
 
 @query("M16", f"{_VOCABULARY} SELECT DISTINCT doc_id, rank FROM t JOIN ranked USING (word)")
 def document_word_ranks(spark, sf):
-    words = tokenised(spark, sf)
+    words = cut_lineage(tokenised(spark, sf))
     return classify.multi_hot(words, classify.vocabulary(words), "doc_id")
 
 
@@ -139,5 +140,5 @@ _COUNTS = ", ".join(f"len(text) - len(replace(text, '{v}', ''))" for v in _VOWEL
     SELECT doc_id, CAST(list_position(scores, list_max(scores)) AS INTEGER) AS stars FROM s""",
 )
 def document_stars(spark, sf):
-    documents = views.table(spark, sf, "documents").select("doc_id", "text")
+    documents = spread_if_small(views.table(spark, sf, "documents").select("doc_id", "text"))
     return classify.star_ratings(documents, vowel_scorer).select("doc_id", "stars")

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SETTING = "spark.checkpoint.dir"
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach.
@@ -15,7 +17,7 @@ def shared_root(spark: SparkSession) -> str:
     without that setting gets a folder of its own.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
     if configured:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(configured)
@@ -24,7 +26,7 @@ def shared_root(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        raise ValueError(f"set {_SETTING} to a folder all executors share")
     root = tempfile.mkdtemp(prefix="savormap-")
     context.setCheckpointDir(root)
     return root
@@ -39,3 +41,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Store the rows reliably, so later stages neither recompute nor depend on executors."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+SMALL_BYTES = 256 * 1024 * 1024
+
+
+def spread_if_small(df: DataFrame, limit: int = SMALL_BYTES) -> DataFrame:
+    """Use every core on a small table that sits in one row group.
+
+    For work that is heavy per row. Above ``limit`` (by the optimizer's own
+    estimate) the scan has splits enough and nothing is shuffled.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= limit else df

@@ -77,7 +77,7 @@ def main(sf_dir: str, *wanted: str) -> int:
 
     spark = build_session(
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
