@@ -76,7 +76,9 @@ def with_photos(found: DataFrame, photos: DataFrame, rows: int = LIST_ROWS) -> D
 
     Photos of other places are dropped before the lists are gathered.
     """
-    wanted = photos.join(found.select("place_id").distinct(), "place_id", "left_semi")
+    wanted = cut_lineage(
+        photos.join(found.select("place_id").distinct(), "place_id", "left_semi")
+    )
     lists = photo_lists(wanted, rows).withColumnRenamed("part", "photo_part")
     return found.join(lists, "place_id", "left")
 
@@ -136,7 +138,9 @@ def range_join(
     )
 
 
-def range_messages(found: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
+def range_messages(
+    found: DataFrame, rows: int = LIST_ROWS, place: str = "place_id"
+) -> DataFrame:
     """One typed message per request: the user and the list of places in range, nearest first.
 
     A list longer than ``rows`` continues in further messages of the same user,
@@ -147,7 +151,7 @@ def range_messages(found: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
         ["request_id", "user_id"],
         [c for c in found.columns if c not in ("request_id", "user_id")],
         "business_id_listInRange",
-        [F.col("dist_km"), F.col("place_id")],
+        [F.col("dist_km"), F.col(place)],
         rows,
     )
     return lists.select("request_id", "user_id", "part", "business_id_listInRange")

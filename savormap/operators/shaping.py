@@ -34,7 +34,7 @@ def one_per_text(
     Grouping by a 256-bit digest keeps long texts out of the shuffle, and the
     minimum is combined before it, so a text with very many copies is cheap.
     """
-    group = F.sha2(F.col(text), 256) if digest else F.col(text)
+    group = F.unhex(F.sha2(F.col(text), 256)) if digest else F.col(text)
     rest = [c for c in keep if c != key]
     return (
         df.groupBy(group.alias("_text"))

@@ -1,0 +1,96 @@
+"""The jobs from stored tables to stored results."""
+
+import json
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from savormap import jobs, schemas
+from savormap.sources import readers
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rng = np.random.default_rng(4)
+    places = [
+        (f"b{i}", f"Place {i}", f"{i} Oak, \"Unit\"", "Portland" if i % 2 else "Salem", 45.5 + i / 500, -122.6, float(1 + i % 5), None)
+        for i in range(40)
+    ]
+    photos = [(f"b{i % 10}", f"f{i}", None if i % 3 else "view") for i in range(30)]
+    reviews = [
+        (f"u{u}", f"b{i}", float(1 + (u * i) % 5), f"text {u} {i}", None)
+        for u in range(25)
+        for i in range(40)
+        if rng.random() < 0.5
+    ]
+    return (
+        spark.createDataFrame(places, schemas.PLACES),
+        spark.createDataFrame(photos, schemas.PHOTOS),
+        spark.createDataFrame(reviews, schemas.REVIEWS),
+    )
+
+
+def test_range_message_can_be_answered_and_ranked(spark, tables, tmp_path):
+    places, photos, reviews = tables
+    out = str(tmp_path / "topic")
+    jobs.publish_range(places, photos, "Portland", 45.5, -122.6, 4.9, "u1", "json", path=out)
+    sent = spark.read.schema("key string, value string").json(out)
+    message = json.loads(sent.first()["value"])
+    listed = message["business_id_listInRange"]
+    assert message["user_id"] == "u1"
+    assert [p["business_id"] for p in listed] == [f"b{i}" for i in range(1, 25, 2)]
+    assert listed[0]["photos"][0]["photo_id"] == "f1" and "hours" not in listed[0]
+
+    features = {"users": str(tmp_path / "u"), "places": str(tmp_path / "p"), "similar": str(tmp_path / "s")}
+    jobs.store_factors(
+        reviews, "parquet", {"path": features["users"]}, {"path": features["places"]}, {"path": features["similar"]}
+    )
+    users, stored = spark.read.parquet(features["users"]), spark.read.parquet(features["places"])
+    assert users.count() == 25 and stored.count() == 40
+    assert stored.select(F.size("res_feature")).first()[0] == 50
+    similar = spark.read.parquet(features["similar"])
+    assert similar.where("exists(recs, r -> r.similarId = resId OR r.sim <= 0.6)").count() == 0
+
+    parsed = readers.parse_json(sent, "value", schemas.RANGE_MESSAGE)
+    ranked = jobs.rank_range(parsed, users, stored).collect()
+    assert len(ranked) == len(listed)
+    assert [r["affinity"] for r in ranked] == sorted((r["affinity"] for r in ranked), reverse=True)
+
+
+def test_city_reviews(spark, tables, tmp_path):
+    places, _, reviews = tables
+    jobs.store_city_reviews(places, reviews, "Salem", 1.0, "json", path=str(tmp_path / "r"))
+    kept = spark.read.schema(schemas.REVIEWS).json(str(tmp_path / "r"))
+    centre = places.where("city = 'Salem'").agg(F.avg("latitude")).first()[0]
+    near = [r["business_id"] for r in places.collect() if abs(r["latitude"] - centre) * 100 < 1.0]
+    assert near and {r["business_id"] for r in kept.collect()} == set(near)
+    assert kept.count() == reviews.where(F.col("business_id").isin(near)).count()
+
+
+def test_tuning_names_the_best(tables):
+    table, best = jobs.tune_factors(tables[2], (2, 3), (0.05,), (2,))
+    assert table.count() == 2 and best.count() == 1
+
+
+def test_review_report(spark):
+    words = {"food": "tasty soup", "price": "cheap bill", "service": "friendly waiter"}
+    moods = {"positive": "lovely evening", "negative": "awful evening", "neutral": "plain evening", "conflict": "mixed evening"}
+    rows = [
+        (f"{words[a]} {moods[p]} number{'abcdefghij'[n]}", a, p)
+        for n in range(10)
+        for a in words
+        for p in moods
+    ]
+    reports = jobs.review_report(spark.createDataFrame(rows, schemas.LABELLED_TEXT), iterations=20)
+    aspects = {r["aspect"]: r for r in reports["aspects"].collect()}
+    assert aspects["Total"]["ranking"] == 5.0
+    accuracy = {k: reports[k].where("kind = 'accuracy'").first()["f1"] for k in ("aspect_category", "polarity")}
+    assert accuracy["aspect_category"] > 0.8 and accuracy["polarity"] > 0.8
+
+
+def test_command_line_options():
+    parsed = jobs._parser().parse_args(
+        ["city-reviews", "--places", "p", "--reviews", "r", "--city", "c", "--km", "3", "--options", "path=x,a=b"]
+    )
+    assert parsed.options == {"path": "x", "a": "b"} and parsed.format == "parquet"
