@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from savormap.functions.vectors import dot, log_factor
 from savormap.operators.metrics import rmse
+from savormap.operators.products import top_products
 from savormap.operators.ranking import SIMILAR_ITEMS, USER_RECOMMENDATIONS, top_per_group
 from savormap.operators.shaping import dense_index, known_rows, one_per_text
 from savormap.operators.similarity import SCORE_THRESHOLD
@@ -125,23 +126,19 @@ def recommend_all(
     user: str = "user_id",
     item: str = "item_id",
 ) -> DataFrame:
-    """Each user's ``n`` best items with a positive score, under original ids.
+    """Each user's ``n`` best items with a positive score, under original ids."""
+    best = best_items(model, n)
+    return best.join(users, "user_idx").join(items, "item_idx").select(user, item, "score", "position")
 
-    Scores come from Spark's blocked top-n, which keeps n items per user and
-    block instead of writing out every pair.
-    """
-    flat = (
-        model.recommendForAllUsers(n)
-        .select(F.col("user_idx").cast("long").alias("user_idx"), F.posexplode("recommendations"))
-        .select(
-            "user_idx",
-            (F.col("pos") + 1).alias("position"),
-            F.col("col.item_idx").cast("long").alias("item_idx"),
-            F.col("col.rating").cast("double").alias("score"),
-        )
-        .where(F.col("score") > 0)
+
+def best_items(model: ALSModel, n: int = USER_RECOMMENDATIONS) -> DataFrame:
+    """Each user's ``n`` best items with a positive score: user_idx, item_idx, score, position."""
+    vectors = lambda factors: factors.select(
+        F.col("id").cast("long").alias("id"), F.col("features").alias("vec")
+    )
+    return top_products(vectors(model.userFactors), vectors(model.itemFactors), n).select(
+        F.col("left").alias("user_idx"), F.col("right").alias("item_idx"), "score", "position"
     )
-    return flat.join(users, "user_idx").join(items, "item_idx").select(user, item, "score", "position")
 
 
 def scored_lists(

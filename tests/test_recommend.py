@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from savormap.operators import metrics, ranking, recommend
+from savormap.operators.products import top_products
 
 SIMS = "a long, b long, sim double"
 
@@ -91,6 +92,30 @@ def test_factors_beat_the_mean(spark, planted):
     assert recommend.predict(model, pairs).count() == 2
 
 
+@pytest.mark.parametrize("blocks", [(7, 9), (10_000, 10_000)])
+def test_top_products_match_brute_force(spark, blocks):
+    rng = np.random.default_rng(2)
+    left, right = rng.integers(-3, 4, size=(40, 3)), rng.integers(-3, 4, size=(60, 3))
+    frame = lambda m: spark.createDataFrame(
+        [(i + 100, [float(x) for x in v]) for i, v in enumerate(m)], "id long, vec array<float>"
+    ).repartition(3)
+    got = top_products(frame(left), frame(right), 5, *blocks).collect()
+    for i, v in enumerate(left):
+        scores = sorted((-float(v @ w), j + 100) for j, w in enumerate(right) if v @ w > 0)[:5]
+        mine = sorted((r for r in got if r["left"] == i + 100), key=lambda r: r["position"])
+        assert [(-r["score"], r["right"]) for r in mine] == scores
+
+
+def test_best_items_agree_with_the_model(spark, planted):
+    numbered, _, _ = recommend.prepare_ratings(planted, text=None)
+    model = recommend.fit_factors(numbered, rank=3, iterations=3)
+    ours = {(r["user_idx"], r["item_idx"]): r["score"] for r in recommend.best_items(model, 4).collect()}
+    listed = model.recommendForAllUsers(4).select("user_idx", F.explode("recommendations").alias("r")).collect()
+    theirs = {(r["user_idx"], r["r"]["item_idx"]): r["r"]["rating"] for r in listed if r["r"]["rating"] > 0}
+    assert ours.keys() == theirs.keys()
+    assert all(ours[k] == pytest.approx(theirs[k], rel=1e-4) for k in ours)
+
+
 def test_grid_reports_every_setting(planted):
     numbered, _, _ = recommend.prepare_ratings(planted, text=None)
     train, test = numbered.randomSplit([0.8, 0.2], 3)
