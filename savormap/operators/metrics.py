@@ -179,11 +179,12 @@ def classification_report(table: DataFrame) -> DataFrame:
         )
     )
     measures = ("precision", "recall", "f1")
-    weighted = lambda m: F.sum(F.col(m) * F.col("support")) / F.sum("support")
+    # A class that was only predicted has no support of its own.
+    weighted = lambda m: F.try_divide(F.sum(F.col(m) * F.col("support")), F.sum("support"))
     rolled = classes.rollup("label").agg(
         F.grouping("label").alias("_all"),
         F.sum("support").alias("support"),
-        (F.sum("_right") / F.sum("support")).alias("_accuracy"),
+        F.try_divide(F.sum("_right"), F.sum("support")).alias("_accuracy"),
         *[F.avg(m).alias(f"_macro_{m}") for m in measures],
         *[weighted(m).alias(f"_weighted_{m}") for m in measures],
     )

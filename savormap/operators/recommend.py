@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
@@ -25,6 +26,7 @@ GRID_RANKS = (10, 20, 30, 40)
 GRID_REGULARISATIONS = (0.05, 0.03, 0.01)
 GRID_ITERATIONS = (15, 20, 25, 30)
 LIKED_ABOVE = 3.0
+FEWEST_BLOCKS, RATINGS_PER_BLOCK = 10, 5_000_000
 SEED = 42
 
 
@@ -61,6 +63,11 @@ def prepare_ratings(
     return numbered, users, items
 
 
+def factor_blocks(rows: int) -> int:
+    """User and item blocks for so many ratings, each of a size an executor holds."""
+    return max(FEWEST_BLOCKS, math.ceil(rows / RATINGS_PER_BLOCK))
+
+
 def fit_factors(
     ratings: DataFrame,
     rank: int = RANK,
@@ -71,11 +78,14 @@ def fit_factors(
 ) -> ALSModel:
     """Explicit-feedback ALS over (user_idx, item_idx, score).
 
-    ``blocks`` sets the user and item blocks; raise it with the data so that
-    one block's ratings fit an executor.
+    Without ``blocks`` the ratings are stored and counted, and their number
+    sets the user and item blocks.
     """
     shared_root(ratings.sparkSession)  # ALS cuts its own lineage every ten iterations
-    als = ALS(
+    if blocks is None:
+        ratings = cut_lineage(ratings.select("user_idx", "item_idx", "score"))
+        blocks = factor_blocks(ratings.count())
+    return ALS(
         userCol="user_idx",
         itemCol="item_idx",
         ratingCol="score",
@@ -83,12 +93,11 @@ def fit_factors(
         regParam=regularisation,
         maxIter=iterations,
         seed=seed,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         checkpointInterval=10,
         coldStartStrategy="drop",
-    )
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
-    return als.fit(ratings)
+    ).fit(ratings)
 
 
 def factor_tables(
@@ -168,11 +177,12 @@ def grid_search(
     Both sides are stored once; ``parallel`` fits share the cluster.
     """
     train, test = cut_lineage(train), cut_lineage(test)
+    blocks = factor_blocks(train.count())
     settings = list(product(ranks, regularisations, iterations))
 
     def measure(setting: tuple[int, float, int]) -> tuple[int, float, int, float]:
         rank, reg, steps = setting
-        model = fit_factors(train, rank, reg, steps, seed)
+        model = fit_factors(train, rank, reg, steps, seed, blocks)
         error = rmse(predict(model, test), "score", "prediction").first()["rmse"]
         return rank, reg, steps, error
 

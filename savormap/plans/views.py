@@ -86,22 +86,26 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def rating_events(spark: SparkSession, sf: str) -> DataFrame:
-    """event_id, user_id, item_id (a vector id), rating, ts (epoch seconds)."""
+def _typed_events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
         "event_id",
         "user_id",
         (F.col("event_id") % vector_count(spark, sf)).alias("item_id"),
         (F.floor("value") % 5 + 1).cast("double").alias("rating"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts"),
+        "event_type",
     )
 
 
+def rating_events(spark: SparkSession, sf: str) -> DataFrame:
+    """event_id, user_id, item_id (a vector id), rating, ts (epoch seconds)."""
+    return _typed_events(spark, sf).drop("event_type")
+
+
 def rating_messages(spark: SparkSession, sf: str) -> DataFrame:
     """The events as JSON; every event of type ``error`` lacks its rating."""
-    kept = table(spark, sf, "events").select("event_id", "event_type")
     rating = F.when(F.col("event_type") != "error", F.col("rating"))
-    return rating_events(spark, sf).join(kept, "event_id").select(
+    return _typed_events(spark, sf).select(
         F.to_json(
             F.struct(
                 F.col("user_id").cast("int").alias("user"),

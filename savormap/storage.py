@@ -38,9 +38,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store the rows reliably, so later stages neither recompute nor depend on executors."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store the rows as a table in the shared folder and read them from there.
+
+    Later stages then neither recompute them nor depend on the executors that
+    made them, read only the columns they need, and know the table's size.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 SMALL_BYTES = 256 * 1024 * 1024

@@ -96,3 +96,32 @@ def test_well_starred_keeps_only_above_four(spark):
         "named_struct('place_id', 3, 'stars', 'null')) AS l"
     )
     assert row.select(shaping.well_starred(F.col("l"))).first()[0] == [1]
+
+
+def test_skewed_join_is_split(spark):
+    """One user with a third of the ratings is read by several tasks."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+    }
+    user = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    rated = spark.range(300_000).select(
+        user.alias("user_id"), (F.col("id") % 40).alias("item_id"), F.rand(1).alias("stars")
+    )
+    index = spark.range(5000).select(F.col("id").alias("user_id"), (F.col("id") * 2).alias("user_idx"))
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        joined = rated.join(index, "user_id").groupBy("item_id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("user_idx").alias("s")
+        )
+        rows = joined.collect()
+        final = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    assert "skew=true" in final
+    assert sum(r["n"] for r in rows) == 300_000
