@@ -85,10 +85,18 @@ def topic_options(servers: str, topic: str, group: str | None = None) -> dict[st
     }
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, group: str | None = None) -> DataFrame:
-    """A topic as a stream of string keys and values."""
-    stream = spark.readStream.format("kafka").options(**topic_options(servers, topic, group)).load()
-    return stream.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+def read_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    group: str | None = None,
+    messages_per_batch: int | None = None,
+) -> DataFrame:
+    """A topic as a stream of string keys and values; a batch limit keeps a backlog from arriving at once."""
+    reader = spark.readStream.format("kafka").options(**topic_options(servers, topic, group))
+    if messages_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", messages_per_batch)
+    return reader.load().selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
 
 
 def read_message_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from savormap import schemas, storage
-from savormap.operators.similarity import similar_pairs  # noqa: F401
 from savormap.sources import readers, writers
 from savormap.streaming import jobs
 
@@ -100,6 +99,11 @@ def test_store_replays_and_compacts(spark, tmp_path):
     assert now() == {1: "b", 2: "new", 3: "d"}
     store.compact(2)
     assert now() == {1: "b", 2: "new", 3: "d"}
+    store.expire()
+    assert now() == {1: "b", 2: "new", 3: "d"}
+    assert not list((tmp_path / "store" / "changes").glob("batch_id=*"))
+    put([(3, 2, "e")], 3)
+    assert now() == {1: "b", 2: "new", 3: "e"}
 
 
 class FakeContext:
@@ -161,7 +165,7 @@ def flat(df):
     )
 
 
-def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path):
+def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path, monkeypatch):
     ratings, sims = small_world
     messages = [
         {"user": u, "restaurant": (u * 5 + t) % 14, "rating": 4.0, "timestamp": 100 + t}
@@ -174,6 +178,7 @@ def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path):
         lines = [json.dumps(m) for m in messages[n::4]] + ['{"user": 1}']
         (inbox / f"{n}.txt").write_text("\n".join(lines))
     store = jobs.recommendation_store(spark, str(tmp_path / "store"))
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
     stream = readers.read_message_files(spark, str(inbox), files_per_batch=1)
     writer = jobs.rating_stream(
         stream, ratings, ratings, sims, store, str(tmp_path / "bad"), str(tmp_path / "state")
@@ -182,6 +187,7 @@ def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path):
     static = jobs.accepted(jobs.parse_ratings(spark.read.text(str(inbox))))
     batch = jobs.recommendations_for(static, ratings, ratings, sims)
     assert flat(store.read()) == flat(batch)
+    assert (tmp_path / "store" / "base" / "through=2" / "_SUCCESS").exists()
     assert {r["ts"] for r in store.read().collect()} == {104}
     assert store.read().count() == 8  # users and items nobody knows get an empty list
     assert spark.read.text(str(tmp_path / "bad")).count() == 4
