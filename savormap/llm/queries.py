@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from savormap.llm import counts, exact, lexicon, pack
+from savormap.llm import counts, exact, lexicon, pack, pii
 from savormap.llm.common import documents, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,18 @@ def op4_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.find(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        *(pii.count_of(k, F.col("spans")).alias(f"n_{k}") for k in pii.BASE),
+        F.sha2(pii.listed(pii.base_only(F.col("spans"))).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query()
 def op7_packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and the sequences that hold them."""
