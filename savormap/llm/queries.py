@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from savormap.llm import counts, exact, lexicon, pack, pii
+from savormap.llm import counts, exact, lexicon, pack, pii, quality
 from savormap.llm.common import documents, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,11 @@ def op7_packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     return counts.token_counts(documents(spark, sf_dir))
+
+
+@query()
+def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from labels that are not held out."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.scores(docs, quality.trained(docs, labels))
