@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from savormap.llm import counts, exact, lexicon, pack, pii, quality
+from savormap.llm import counts, exact, lexicon, pack, pii, quality, vectors
 from savormap.llm.common import documents, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,22 @@ def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.scores(docs, quality.trained(docs, labels))
+
+
+@query(
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+                         WHERE list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+    pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+              ON a.vec_id != b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+    reach(a, b) AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+    least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+    links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+           vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
+    FROM embeddings LEFT JOIN links ON links.a = vec_id LEFT JOIN least ON least.a = vec_id
+    """
+)
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.95."""
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
