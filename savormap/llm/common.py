@@ -54,15 +54,19 @@ def shrink(counts: Counter, keep: int) -> Counter:
     return Counter({k: c - floor for k, c in counts.items() if c > floor})
 
 
-def summary(items: Iterable[list], keep: int) -> tuple[Counter, int]:
+def summary(items: Iterable[list], keep: int, longest: int | None = None) -> tuple[Counter, int]:
     """Misra-Gries counters of all items, ``keep`` at most, and the number of items.
 
-    A count is too low by at most items / keep and never too high.
+    A count is too low by at most items / keep and never too high. Items longer
+    than ``longest`` are not kept.
     """
     counts, total = Counter(), 0
     for some in items:
         counts.update(some)
         total += len(some)
+        if longest:
+            for item in [i for i in counts if len(i) > longest]:
+                del counts[item]
         if len(counts) > 4 * keep:
             counts = shrink(counts, keep)
     return shrink(counts, keep), total

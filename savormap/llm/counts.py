@@ -93,11 +93,13 @@ def frequent_items(docs: DataFrame, split: regex.Pattern, keep: int) -> list[str
 
     def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
         for batch in batches:
+            some: list[str] = []
             for text in batch.column(1).to_pylist():
-                yield [p for p in split.findall(text) if len(p) <= LONGEST_CACHED]
+                some += split.findall(text)
+            yield some
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, _ = summary(pieces(batches), keep)
+        counts, _ = summary(pieces(batches), keep, LONGEST_CACHED)
         yield pa.RecordBatch.from_arrays(
             [pa.array([list(counts)], pa.list_(pa.string())), pa.array([list(counts.values())], pa.list_(pa.int64()))],
             ["items", "counts"],

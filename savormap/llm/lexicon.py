@@ -26,6 +26,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ FREQUENT = 65_536
 WORD_END = "</w>"
 
 #: How the tokenizer splits a normalised text.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+WORDS = regex.compile(r"\p{L}++|'(?:s|t|re|ve|m|ll|d)|\p{N}|[^\s\p{L}\p{N}]++")
 
 
 def byte_letters() -> list[str]:
@@ -101,6 +102,13 @@ def merges(vocabulary: str = VOCABULARY) -> Merges:
     return Merges(vocabulary)
 
 
+@lru_cache(maxsize=2)
+def strings_of_ids(vocabulary: str = VOCABULARY) -> pa.Array:
+    """The string of each id, by id."""
+    strings = merges(vocabulary).strings
+    return pa.array([strings.get(i) for i in range(max(strings) + 1)], pa.string())
+
+
 class _State:
     __slots__ = ("edges", "outputs", "final", "rest")
 
@@ -204,37 +212,41 @@ class Transducer:
         """How many states the automaton has."""
         return len(self.final)
 
-    def find(self, words: list[bytes]) -> list[list[int] | None]:
-        """Ids of each word; None for one that isn't listed. All words advance a byte at a time."""
-        ids: list[list[int] | None] = [[] for _ in words]
-        alive = np.flatnonzero([len(w) > 0 for w in words])
-        for n in set(range(len(words))) - set(alive.tolist()):
-            ids[n] = None
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """Packed ids of each word; None for one that isn't listed. All words advance a byte at a time."""
+        lengths = np.array([len(w) for w in words], int)
+        alive = np.flatnonzero((lengths > 0) & (lengths <= LONGEST_CACHED)) if len(self.keys) else np.zeros(0, int)
+        letters = np.zeros((len(words), int(lengths[alive].max()) if len(alive) else 1), np.uint8)
+        flat = np.frombuffer(b"".join(words[n] for n in alive), np.uint8)
+        rows = np.repeat(alive, lengths[alive])
+        letters[rows, np.arange(len(flat)) - np.repeat(np.cumsum(lengths[alive]) - lengths[alive], lengths[alive])] = flat
         state = np.zeros(len(words), np.uint32)
+        known = np.zeros(len(words), bool)
+        passed: list[tuple[np.ndarray, np.ndarray]] = []
         at = 0
         while len(alive):
-            byte = np.array([words[n][at] for n in alive], np.uint32)
-            wanted = state[alive] << np.uint32(8) | byte
-            edge = np.searchsorted(self.keys, wanted)
-            edge = np.minimum(edge, len(self.keys) - 1)
-            good = (self.keys[edge] == wanted) if len(self.keys) else np.zeros(len(wanted), bool)
-            for n in alive[~good]:
-                ids[n] = None
+            wanted = state[alive] << np.uint32(8) | letters[alive, at]
+            edge = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            good = self.keys[edge] == wanted
             alive, edge = alive[good], edge[good]
+            passed.append((alive, edge))
             state[alive] = self.targets[edge]
-            for n, e in zip(alive[self.spans[edge, 1] > 0], edge[self.spans[edge, 1] > 0], strict=True):
-                ids[n].extend(self._output(e))
             at += 1
-            ended = np.array([len(words[n]) == at for n in alive], bool)
-            for n in alive[ended]:
-                rest = self._output(len(self.keys) + state[n])
-                ids[n] = [*ids[n], *rest] if self.final[state[n]] else None
-            alive = alive[~ended]
-        return ids
-
-    def _output(self, span: int) -> list[int]:
-        start, length = self.spans[span].tolist()
-        return self.pool[start : start + length].tolist()
+            ended = alive[lengths[alive] == at]
+            known[ended] = self.final[state[ended]] > 0
+            passed.append((ended, len(self.keys) + state[ended].astype(np.int64)))
+            alive = alive[lengths[alive] > at]
+        if not passed:
+            return [None] * len(words)
+        owner, span = (np.concatenate(x) for x in zip(*passed, strict=True))
+        some = known[owner] & (self.spans[span, 1] > 0)
+        order = np.argsort(owner[some], kind="stable")
+        owner, span = owner[some][order], span[some][order]
+        starts, sizes = self.spans[span, 0].astype(np.int64), self.spans[span, 1].astype(np.int64)
+        within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ids = self.pool[np.repeat(starts, sizes) + within].tobytes()
+        ends = (4 * np.cumsum(np.bincount(np.repeat(owner, sizes), minlength=len(words)))).tolist()
+        return [ids[a:b] if k else None for a, b, k in zip([0, *ends], ends, known.tolist(), strict=False)]
 
 
 class Encoder:
@@ -248,20 +260,23 @@ class Encoder:
     def _learn(self, words: set[str]) -> None:
         if len(self.cache) > CACHED:
             self.cache.clear()
-        new = [w for w in words if w not in self.cache]
+        new = list(words - self.cache.keys())
         coded = [w.encode() for w in new]
         for word, raw, ids in zip(new, coded, self.transducer.find(coded), strict=True):
-            self.cache[word] = np.array(self.merges.merge(raw) if ids is None else ids, "<u4").tobytes()
+            self.cache[word] = np.array(self.merges.merge(raw), "<u4").tobytes() if ids is None else ids
 
     def encode(self, whole: list[str]) -> list[bytes]:
         """The ids of each text, four bytes each."""
         split = [list(self._parts(t)) for t in whole]
-        words = {w for parts in split for special, found in parts if not special for w in found}
+        words: set[str] = set()
+        for parts in split:
+            for special, found in parts:
+                if not special:
+                    words.update(found)
         self._learn(words)
+        of = self.cache.__getitem__
         result = [
-            b"".join(
-                found if special else b"".join(map(self.cache.__getitem__, found)) for special, found in parts
-            )
+            b"".join([found if special else b"".join(map(of, found)) for special, found in parts])
             for parts in split
         ]
         for word in [w for w in words if len(w) > LONGEST_CACHED]:
@@ -316,9 +331,8 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     @F.arrow_udf("string")
     def text_of_ids(ids: pa.Array) -> pa.Array:
-        strings = merges(vocabulary).strings
-        flat, ends = ids.flatten().to_pylist(), np.cumsum([0, *(len(i) for i in ids)])
-        found = list(map(strings.__getitem__, flat))
-        return pa.array([" ".join(found[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+        ends = pa.array(np.cumsum([0, *ids.value_lengths().to_pylist()]), pa.int32())
+        tokens = strings_of_ids(vocabulary).take(ids.flatten())
+        return pc.binary_join(pa.ListArray.from_arrays(ends, tokens), " ")
 
     return encoded.withColumn("decoded", text_of_ids("ids"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from savormap.llm import counts, exact, lexicon, pack, pii, quality, vectors
+from savormap.llm import counts, exact, lexicon, near, pack, pii, quality, vectors
 from savormap.llm.common import documents, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.95."""
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query()
+def op3_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document, and which of them stays."""
+    return near.near_documents(documents(spark, sf_dir))

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from savormap.llm.cells import CELL, across, by_cell, celled, groups
 from savormap.llm.components import components
 from savormap.storage import cut_lineage
 
@@ -41,8 +42,6 @@ RADIUS = 36  # of 128 bits: about seven deviations above what a link at the thre
 BLOCK = 1_024
 _SLICE = 256
 
-_CELL = ("bucket", "i", "j")
-
 
 def cleaned(vectors: DataFrame, length: int) -> DataFrame:
     """``vec_id, vec``: packed doubles, null for what can't be compared."""
@@ -148,54 +147,13 @@ def _entries(distinct: DataFrame) -> DataFrame:
     )
 
 
-def _celled(entries: DataFrame, block: int) -> DataFrame:
-    """Entries with the cells they meet in; one cell for all but large buckets."""
-    large = cut_lineage(
-        entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-        .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    )
-    side = F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))
-    return (
-        entries.join(large, "bucket", "left")
-        .withColumn("side", side)
-        .withColumn("other", others)
-        .withColumn("i", F.least("side", "other"))
-        .withColumn("j", F.greatest("side", "other"))
-        .drop("other", "parts")
-    )
-
-
-def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """Rows of one cell after another from batches in the order of the cells."""
-    held: list[pa.RecordBatch] = []
-
-    def cells(table: pa.Table) -> Iterator[pa.Table]:
-        keys = [table[c].to_numpy() for c in _CELL]
-        new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-        ends = [0, *new.tolist(), table.num_rows]
-        for a, b in zip(ends[:-1], ends[1:], strict=True):
-            yield table.slice(a, b - a)
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        *whole, last = cells(pa.Table.from_batches(held))
-        yield from whole
-        held = last.combine_chunks().to_batches()
-    if held:
-        yield from cells(pa.Table.from_batches(held))
-
-
 def _allowed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
-    base, side = table["base"].to_numpy(zero_copy_only=False), table["side"].to_numpy()
-    return base, side, table["i"][0].as_py() != table["j"][0].as_py()
+    return table["base"].to_numpy(zero_copy_only=False), table["side"].to_numpy(), across(table)
 
 
-def _pairs_allowed(base, side, across, rows: slice) -> np.ndarray:
+def _pairs_allowed(base: np.ndarray, side: np.ndarray, apart: bool, rows: slice) -> np.ndarray:
     allowed = base[rows, None] | base[None, :]
-    if across:
+    if apart:
         allowed &= side[rows, None] != side[None, :]
     return allowed
 
@@ -210,27 +168,25 @@ def _codes(table: pa.Table) -> np.ndarray:
 
 def _with_partner(cells: DataFrame, radius: int) -> DataFrame:
     """Entries that have another within the radius in their cell."""
-    schema = cells.select(*_CELL, "node", "base", "side", "c0", "c1")
+    schema = cells.select(*CELL, "node", "base", "side", "c0", "c1")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches):
-            base, side, across = _allowed(table)
+        for table in groups(batches):
+            base, side, apart = _allowed(table)
             if table.num_rows < 2 or not base.any():
                 continue
             codes = _codes(table)
             kept = np.zeros(table.num_rows, bool)
             for start in range(0, table.num_rows, _SLICE):
                 rows = slice(start, start + _SLICE)
-                near = (_distance(codes, rows) <= radius) & _pairs_allowed(base, side, across, rows)
+                near = (_distance(codes, rows) <= radius) & _pairs_allowed(base, side, apart, rows)
                 own = np.arange(start, min(start + _SLICE, table.num_rows))
                 near[own - start, own] = False
                 kept[rows] |= near.any(axis=1)
             if kept.any():
                 yield from table.filter(pa.array(kept)).combine_chunks().to_batches()
 
-    return (
-        schema.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(keep, schema.schema)
-    )
+    return by_cell(schema).mapInArrow(keep, schema.schema)
 
 
 def _first_table(one: np.ndarray, other: np.ndarray, table: int) -> np.ndarray:
@@ -257,11 +213,11 @@ def _linked(entries: DataFrame, length: int, threshold: float) -> DataFrame:
     """``a, b, links``: of each vector the links found in a cell, and the smallest vector reached there."""
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches):
+        for table in groups(batches):
             if table.num_rows < 2:
                 continue
             table = table.sort_by("node")
-            base, side, across = _allowed(table)
+            base, side, apart = _allowed(table)
             codes, node = _codes(table), table["node"].to_numpy()
             copies = table["copies"].to_numpy()
             unit = units(stacked(table["vec"].to_pylist(), length))
@@ -270,7 +226,7 @@ def _linked(entries: DataFrame, length: int, threshold: float) -> DataFrame:
             ones, others = [], []
             for start in range(0, len(node), _SLICE):
                 rows = slice(start, start + _SLICE)
-                near = (unit[rows] @ unit.T >= threshold) & _pairs_allowed(base, side, across, rows)
+                near = (unit[rows] @ unit.T >= threshold) & _pairs_allowed(base, side, apart, rows)
                 one, other = np.nonzero(near)
                 one += start
                 good = node[one] < node[other]
@@ -287,10 +243,8 @@ def _linked(entries: DataFrame, length: int, threshold: float) -> DataFrame:
                     [pa.array(node[kept]), pa.array(reached[kept]), pa.array(links[kept])], ["a", "b", "links"]
                 )
 
-    wanted = entries.select(*_CELL, "node", "base", "side", "c0", "c1", "vec", "copies")
-    return (
-        wanted.repartition(*_CELL).sortWithinPartitions(*_CELL).mapInArrow(rerank, "a long, b long, links long")
-    )
+    wanted = entries.select(*CELL, "node", "base", "side", "c0", "c1", "vec", "copies")
+    return by_cell(wanted).mapInArrow(rerank, "a long, b long, links long")
 
 
 def near_vectors(
@@ -318,7 +272,7 @@ def near_vectors(
                 )
 
     coded = distinct.select("node", "vec").mapInArrow(code, "node long, c0 long, c1 long")
-    partnered = cut_lineage(_with_partner(_celled(_entries(coded), block), radius))
+    partnered = cut_lineage(_with_partner(celled(_entries(coded), block), radius))
     found = cut_lineage(
         _linked(partnered.join(distinct.select("node", "vec", "copies"), "node"), length, threshold)
     )
