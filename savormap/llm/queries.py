@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from savormap.llm import counts, exact, lexicon, near, pack, pii, quality, vectors
+from savormap.llm import (
+    counts,
+    exact,
+    lexicon,
+    near,
+    pack,
+    passages,
+    pii,
+    quality,
+    substrings,
+    vectors,
+)
 from savormap.llm.common import documents, prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +130,54 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of every document, and which of them stays."""
     return near.near_documents(documents(spark, sf_dir))
+
+
+@query(
+    """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, unnest(generate_series(0, length(h) // 2 - 50)) AS i, h FROM d WHERE length(h) >= 100),
+    s AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS w FROM w),
+    r AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) < doc_id AS again FROM s),
+    b AS (SELECT doc_id, unnest(generate_series(0, length(h) // 2 - 1)) AS i, h FROM d),
+    c AS (SELECT b.doc_id, b.i, substring(h, 2 * b.i + 1, 2) AS x,
+                 coalesce(bool_or(again) OVER (PARTITION BY b.doc_id ORDER BY b.i
+                          ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) AS gone
+          FROM b LEFT JOIN r ON b.doc_id = r.doc_id AND b.i = r.i),
+    e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS begins FROM c),
+    k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+                 string_agg(CASE WHEN gone THEN '' ELSE x END, '' ORDER BY i) AS kept FROM e GROUP BY doc_id)
+    SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)
+    """
+)
+def op2_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 50 bytes."""
+    return substrings.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query(
+    r"""
+    WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x != '') AS l
+               FROM documents),
+    w AS (SELECT doc_id, unnest(generate_series(1, len(l) - 49)) AS i, l FROM d WHERE len(l) >= 50),
+    s AS (SELECT doc_id, i, array_to_string(l[i : i + 49], ' ') AS w FROM w),
+    r AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) < doc_id AS again FROM s),
+    b AS (SELECT doc_id, unnest(generate_series(1, len(l))) AS i, l FROM d),
+    c AS (SELECT b.doc_id, b.i, l[b.i] AS x,
+                 coalesce(bool_or(again) OVER (PARTITION BY b.doc_id ORDER BY b.i
+                          ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), false) AS gone
+          FROM b LEFT JOIN r ON b.doc_id = r.doc_id AND b.i = r.i),
+    k AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed,
+                 string_agg(CASE WHEN NOT gone THEN x END, ' ' ORDER BY i) AS kept FROM c GROUP BY doc_id)
+    SELECT d.doc_id, len(l) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)
+    """
+)
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated windows of 50 words."""
+    return passages.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )

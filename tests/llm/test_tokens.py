@@ -1,0 +1,124 @@
+"""Encoding, counting and packing against the tokenizers library."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from savormap.llm import counts, lexicon, pack
+from savormap.llm.common import prepared, shrink, summary
+
+ODD = [
+    None, "", "   ", "a" * 5_000, "ab" * 3_000, " " * 3_000 + "x", "\n" * 2_000, "don't WE'LL",
+    "x<|endoftext|> y<|startoftext|><|endoftext|>", "Straße ΣΑΣ İ ﬁ ½ ٣ 中文", "é \x1c \x85 \xa0 　", "\U0001f600\U0001d400",
+]
+
+
+def noise(seed: int, rows: int) -> list[str]:
+    draw = random.Random(seed)
+    pool = "aAbé ÉßΣσ'\t\n\r\x1c\x85\xa0　0９½Ⅷ中한\U0001f600_-!?.'s'lĺǅ"
+    return ["".join(draw.choice(pool) for _ in range(draw.randint(0, 40))) for _ in range(rows)]
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    texts = ODD + noise(1, 300) + ["The same text."] * 5
+    rows = [(n if n != 20 else None, t, "x") for n, t in enumerate(texts)] + [(3, "Again three.", "y")]
+    return prepared(spark).createDataFrame(rows, "doc_id long, text string, ids string").repartition(3)
+
+
+def library(name: str) -> Tokenizer:
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+def keyed(df):
+    return sorted(df.collect(), key=repr)
+
+
+def test_words_are_coded_as_by_the_library(table):
+    known = library(lexicon.VOCABULARY)
+    coded = lexicon.decode(lexicon.encode(table, keep=200))
+    wanted = []
+    for row in table.collect():
+        ids = known.encode(row["text"] or "", add_special_tokens=False).ids
+        wanted.append((row["doc_id"], ids, known.decode(ids, skip_special_tokens=False)))
+    got = [(r["doc_id"], r["ids"], r["decoded"]) for r in coded.collect()]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+
+
+def test_transducer_shares_suffixes_and_knows_no_other_words():
+    words = [a + b for a in ("walk", "talk", "stalk") for b in ("", "s", "ed", "ing")]
+    known = lexicon.merges()
+    found = {w.encode(): known.merge(w.encode()) for w in words}
+    fst = lexicon.Transducer(lexicon.compile_words(found))
+    packed = fst.find([*found, b"wal", b"walking!", b""])
+    assert [np.frombuffer(p, "<u4").tolist() for p in packed[: len(words)]] == list(found.values())
+    assert packed[len(words) :] == [None, None, None]
+    assert fst.states() < sum(map(len, words))
+    shared = lexicon.compile_words({w.encode(): [7] for w in words})
+    assert lexicon.Transducer(shared).states() < fst.states()
+    assert lexicon.Transducer(lexicon.compile_words({})).find([b"a"]) == [None]
+
+
+def test_counts_are_those_of_the_library(table):
+    known = library("byte_bpe_50k.json")
+    for keep in (1, 100):
+        got = counts.token_counts(table, limit=20, keep=keep).collect()
+        wanted = []
+        for row in table.collect():
+            text = row["text"] or ""
+            n = len(known.encode(text, add_special_tokens=False).ids)
+            wanted.append((row["doc_id"], len(text.encode()), n, n > 20))
+        assert sorted(map(tuple, got), key=repr) == sorted(wanted, key=repr)
+
+
+def test_pieces_put_together_are_the_documents(table):
+    known = library("byte_bpe_50k.json")
+    rows = pack.pack(table, largest=64).collect()
+    assert len({r["sequence_id"] for r in rows}) == len(rows)
+    assert all(r["length"] & (r["length"] - 1) == 0 and r["length"] <= 64 and r["offset"] == 0 for r in rows)
+    assert all(len(r["ids"]) == 4 * r["length"] for r in rows)
+    wanted, got = {}, {}
+    for row in table.where("doc_id is not null and doc_id != 3").collect():
+        ids = [*known.encode(row["text"] or "", add_special_tokens=False).ids, 1]
+        wanted[row["doc_id"]] = np.array(ids, "<u4").tobytes()
+    for r in sorted(rows, key=lambda r: r["start"]):
+        if r["doc_id"] in wanted:
+            assert len(got.get(r["doc_id"], b"")) == 4 * r["start"]
+            got[r["doc_id"]] = got.get(r["doc_id"], b"") + r["ids"]
+            assert 4 * r["doc_tokens"] == len(wanted[r["doc_id"]])
+    assert got == wanted
+    assert zlib.crc32(b"") == 0
+
+
+def test_buckets_have_one_length(spark, table, tmp_path):
+    pack.write_buckets(pack.pack(table, largest=64), str(tmp_path / "out"))
+    read = spark.read.parquet(str(tmp_path / "out"))
+    assert read.where("octet_length(ids) != 4 * length").count() == 0
+    assert pack.binary_lengths(0) == [] and pack.binary_lengths(5_000) == [2_048, 2_048, 512, 256, 128, 8]
+
+
+def test_very_long_white_space_and_words():
+    known = library("byte_bpe_50k.json")
+    for text in (" " * 200_000 + "x", "z" * 100_000):
+        assert pack.ids_of(text).tolist() == known.encode(text, add_special_tokens=False).ids
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert pack.pack(empty).count() == 0
+    assert counts.token_counts(empty).count() == 0
+    assert lexicon.decode(lexicon.encode(empty)).count() == 0
+
+
+def test_summaries_never_count_too_high():
+    draw = random.Random(4)
+    items = ["hot"] * 500 + [f"w{draw.randint(0, 400)}" for _ in range(1_000)]
+    draw.shuffle(items)
+    found, total = summary([items[n : n + 50] for n in range(0, len(items), 50)], 20)
+    assert total == 1_500 and len(found) <= 20
+    assert 500 - 1_500 / 20 <= found["hot"] <= 500
+    assert shrink(found, 0) == {}
