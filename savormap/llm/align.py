@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections import Counter
-
-import numpy as np
-
-_FEW = 24  # edits up to which whole diagonals are walked
+from collections.abc import Sequence
 
 
 def most_edits(one: int, other: int, share: float) -> int:
@@ -24,79 +20,39 @@ def similar(one: str, other: str, share: float) -> bool:
     common = sum((Counter(left) & Counter(right)).values())
     if max(len(left), len(right)) - common > limit:
         return False  # words that the other text lacks cost an edit each
-    codes: dict[str, int] = {}
-    a = np.array([codes.setdefault(w, len(codes)) for w in left], np.int32)
-    b = np.array([codes.setdefault(w, len(codes)) for w in right], np.int32)
-    return within(a, b, limit)
-
-
-def within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
-    """Whether the edit distance is at most ``limit``."""
-    if min(len(a), len(b)) == 0:
-        return max(len(a), len(b)) <= limit
-    found = _few_edits(a, b, min(limit, _FEW))
-    if found or limit <= _FEW:
-        return found
-    band = 2 * _FEW
-    while True:
-        distance = banded_distance(a, b, min(band, limit))
-        if distance <= min(band, limit):
-            return True
-        if band >= limit:
-            return False
-        band *= 2
-
-
-def _few_edits(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
-    """Furthest reaching places on each diagonal, edit by edit."""
-    size, aim = len(a), len(b) - len(a)
-    if abs(aim) > limit:
-        return False
-    breaks: dict[int, list[int]] = {}
-
-    def slide(diagonal: int, at: int) -> int:
-        if diagonal not in breaks:
-            first, last = max(0, -diagonal), min(size, len(b) - diagonal)
-            differ = np.flatnonzero(a[first:last] != b[first + diagonal : last + diagonal]) + first
-            breaks[diagonal] = [*differ.tolist(), last]
-        places = breaks[diagonal]
-        return places[bisect_left(places, at)] if at < places[-1] else at
-
-    reach = {0: slide(0, 0)}
-    for edits in range(limit + 1):
-        if reach.get(aim, -1) >= size:
-            return True
-        if edits == limit:
-            return False
-        after = {}
-        for d in range(-edits - 1, edits + 2):
-            at = max(reach.get(d, -2) + 1, reach.get(d + 1, -2) + 1, reach.get(d - 1, -1))
-            at = min(at, size, len(b) - d)
-            if at >= max(0, -d):
-                after[d] = slide(d, at)
-        reach = after
-    return False
-
-
-def banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """The edit distance where it is at most ``band``; something larger elsewhere."""
-    far = len(a) + len(b) + 1
-    wide = 2 * band + 1
-    steps = np.arange(wide)
-    columns = steps - band  # of row 0
-    row = np.where((columns >= 0) & (columns <= len(b)), columns, far)
-    padded = np.concatenate([np.full(band, -1, b.dtype), b, np.full(band + 1 + max(0, len(a) - len(b)), -1, b.dtype)])
-    for n, word in enumerate(a):
-        differs = padded[n : n + wide] != word
-        below = np.append(row[1:], far) + 1
-        row = np.minimum(row + differs, below)
-        column = columns + n + 1
-        row[(column < 0) | (column > len(b))] = far
-        if 0 <= band - n - 1 < wide:
-            row[band - n - 1] = n + 1
-        row = np.minimum.accumulate(row - steps) + steps
-        row[(column < 0) | (column > len(b))] = far
-        if row.min() > band:
-            return far
-    end = len(b) - len(a) + band
-    return int(row[end]) if 0 <= end < wide else far
+    return banded_distance(left, right, limit) <= limit
+
+
+def banded_distance(one: Sequence, other: Sequence, limit: int) -> int:
+    """The edit distance where it is at most ``limit``; something larger elsewhere.
+
+    Only cells within ``limit`` of the diagonal are looked at. A column of the band
+    is a few bit vectors, one bit a cell, which say whether the distance rises or
+    falls from cell to cell (Hyyrö, 2003).
+    """
+    rows, columns = len(one), len(other)
+    if abs(rows - columns) > limit:
+        return limit + 1
+    places: dict[object, int] = {}
+    for n, word in enumerate(one):
+        places[word] = places.get(word, 0) | 1 << n
+    mask = (1 << (2 * limit + 1)) - 1
+    rises, falls = mask >> limit << limit, 0
+    distance, last = (limit, rows - limit) if rows > limit else (rows, 0)
+    bottom = 1 << (2 * limit)
+    for column, word in enumerate(other, 1):
+        shift = column - limit - 1
+        found = places.get(word, 0)
+        found = (found >> shift if shift >= 0 else found << -shift) & mask
+        level = ((((found & rises) + rises) ^ rises) | found | falls) & mask
+        right_rises = falls | ~(level | rises) & mask
+        right_falls = level & rises
+        if column <= last:
+            distance += not level & bottom
+        else:
+            cell = 1 << (rows - column + limit)
+            distance += bool(right_rises & cell) - bool(right_falls & cell)
+        below = level >> 1
+        rises = right_falls | ~(below | right_rises) & mask
+        falls = below & right_rises
+    return distance

@@ -7,7 +7,7 @@ parts at once, and every pair of a bucket meets in exactly one cell.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,12 +43,12 @@ def by_cell(rows: DataFrame) -> DataFrame:
     return rows.repartition(*CELL).sortWithinPartitions(*CELL)
 
 
-def groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """One table for each cell, from batches in the order of the cells."""
+def groups(batches: Iterable[pa.RecordBatch], by: Sequence[str] = CELL) -> Iterator[pa.Table]:
+    """One table for each value of ``by``, from batches in that order."""
     held: list[pa.RecordBatch] = []
 
     def cut(table: pa.Table) -> Iterator[pa.Table]:
-        keys = [table[c].to_numpy() for c in CELL]
+        keys = [table[c].to_numpy() for c in by]
         new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
         ends = [0, *new.tolist(), table.num_rows]
         for a, b in zip(ends[:-1], ends[1:], strict=True):

@@ -7,11 +7,10 @@ similarity. Texts that meet are aligned in a band; they are linked where
 1 - edits / words of the longer one is at least ``SIMILARITY``. Linked texts form
 classes.
 
-Equal texts are one text here. Links are looked for in four steps, each over
+Equal texts are one text here. Links are looked for in three steps, each over
 pairs that the steps before left in different classes: every text against the
-smallest it meets anywhere, then against the smallest of each bucket, then against
-the most alike of a bucket, then every pair of a bucket that is still in two
-classes. So a large class costs a few alignments a text, and no pair that met goes
+smallest it meets anywhere, then against the smallest of each bucket, then every
+pair of a bucket that is still in two classes, the most alike first. So a large class costs a few alignments a text, and no pair that met goes
 unchecked: what isn't aligned is in one class already, or too far apart by length
 or word counts.
 
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from savormap.llm.align import similar
-from savormap.llm.cells import across, by_cell, celled, groups
+from savormap.llm.cells import groups
 from savormap.llm.common import fresh, text_of
 from savormap.llm.components import components
 from savormap.llm.exact import digest_of
@@ -40,10 +39,9 @@ from savormap.storage import cut_lineage
 WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 48
-BLOCK = 1_024
+BLOCK = 256
 BINS = 256  # of the word histogram that bounds edit distances from below
 COARSE = 32
-CLOSEST = 4
 _KNOWN = 400_000
 _WIDE = 8_192  # shingles up to which all functions are evaluated at once
 
@@ -219,67 +217,124 @@ def classes_of_nodes(nodes: DataFrame, docs: DataFrame, share: float) -> DataFra
     links = tried.where("same").select("a", "b")
     classes = components(links)
 
-    def further(pairs: DataFrame) -> None:
-        nonlocal tried, links, classes
-        left = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        done = verified(left, held, share)
-        tried = tried.unionByName(done)
-        links = links.unionByName(done.where("same").select("a", "b"))
-        classes = components(links)
-
     apart = _apart(_apart(stars, classes, "node", "one"), classes, "first", "other").where("one != other")
-    further(cut_lineage(apart.select(F.col("first").alias("a"), F.col("node").alias("b"))))
+    left = apart.select(F.col("first").alias("a"), F.col("node").alias("b")).join(
+        tried.select("a", "b"), ["a", "b"], "left_anti"
+    )
+    links = links.unionByName(verified(left, held, share).where("same").select("a", "b"))
+    classes = components(links)
 
-    for closest in (CLOSEST, None):
-        known = _apart(buckets.select("key", "node", "words"), classes, "node", "class")
-        split = known.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x != y")
-        open_rows = cut_lineage(known.join(split.select(F.col("key").alias("bucket")), F.col("key") == F.col("bucket")))
-        pairs = possible(open_rows.join(nodes.select("node", "bins"), "node"), share, closest)
-        further(cut_lineage(pairs.distinct()))
-    return classes
+    open_rows = still_open(_apart(buckets.select("key", "node", "words"), classes, "node", "class"))
+    near_rows = cut_lineage(with_candidate(open_rows.join(nodes.select("node", "keys", "bins"), "node"), share))
+    found = aligned(near_rows.join(held, "node"), share)
+    return components(links.unionByName(found))
 
 
-def possible(rows: DataFrame, share: float, closest: int | None = None) -> DataFrame:
-    """``a, b`` of each bucket that are of different classes and may be similar enough.
+def still_open(known: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows of buckets of several classes, with the parts they meet in; stored.
 
-    Lengths and word histograms rule pairs out, coarse histograms first; nothing
-    that could be a link goes. With ``closest`` a row names only so many of the
-    texts it may match in a cell, the most alike.
+    A bucket is cut into parts of about ``block`` rows. Its rows outside the most
+    frequent class visit every part besides living in one.
     """
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches):
-            apart, side, node = across(table), table["side"].to_numpy(), table["node"].to_numpy()
-            label, words = table["class"].to_numpy(), table["words"].to_numpy()
-            fine = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
-            coarse = fine.reshape(-1, COARSE, BINS // COARSE).sum(axis=2)
-            names, sizes = np.unique(label, return_counts=True)
-            common = names[sizes.argmax()]
-            ones, others = [], []
-            for n in np.flatnonzero(label != common):
-                # Pairs of two rare rows are seen from the later one.
-                open_to = (label != label[n]) & ((label == common) | (node < node[n]))
-                if apart:
-                    open_to &= side != side[n]
-                longest = np.maximum(words, words[n])
-                limit = ((1.0 - share) * longest + 1e-9).astype(np.int64)
-                at = np.flatnonzero(open_to & (np.abs(words - words[n]) <= limit))
-                at = at[np.abs(coarse[at] - coarse[n]).sum(axis=1) <= 2 * limit[at]]
-                away = np.abs(fine[at] - fine[n]).sum(axis=1)
-                good = away <= 2 * limit[at]
-                at, away = at[good], away[good]
-                if closest and len(at) > closest:
-                    at = at[np.argsort(away, kind="stable")[:closest]]
-                ones.append(np.full(len(at), node[n]))
-                others.append(node[at])
-            if ones:
-                one, other = np.concatenate(ones), np.concatenate(others)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(one, other)), pa.array(np.maximum(one, other))], ["a", "b"]
-                )
-
-    wanted = celled(rows.select("bucket", "node", "class", "words", "bins"), BLOCK)
-    return by_cell(wanted).mapInArrow(compare, "a long, b long")
+    sizes = known.groupBy(F.col("key").alias("bucket"), "class").agg(F.count(F.lit(1)).alias("n"))
+    tops = cut_lineage(
+        sizes.groupBy("bucket")
+        .agg(F.sum("n").alias("rows"), F.max(F.struct("n", "class")).alias("top"))
+        .where("top.n < rows")
+        .select("bucket", F.col("top.class").alias("common"), F.ceil(F.col("rows") / block).cast("int").alias("parts"))
+    )
+    rows = known.join(tops, F.col("key") == F.col("bucket")).drop("key")
+    living = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("visits", F.lit(False))
+    visiting = (
+        rows.where(F.col("class") != F.col("common"))
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("visits", F.lit(True))
+    )
+    return cut_lineage(living.unionByName(visiting).drop("parts"))
+
+
+class _Part:
+    """Rows that meet in one part of a bucket."""
+
+    def __init__(self, table: pa.Table, share: float):
+        self.node, self.label = table["node"].to_numpy(), table["class"].to_numpy()
+        self.words, self.share = table["words"].to_numpy(), share
+        self.keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64).reshape(len(self.node), -1)
+        self.fine = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+        self.coarse = self.fine.reshape(-1, COARSE, BINS // COARSE).sum(axis=2)
+        self.visits = table["visits"].to_numpy(zero_copy_only=False)
+        self.common, self.bucket = table["common"][0].as_py(), table["bucket"][0].as_py()
+
+    def candidates(self, n: int) -> np.ndarray:
+        """Rows living here that visitor ``n`` may match, the most alike first.
+
+        Lengths and word histograms rule rows out, coarse histograms first; nothing
+        that could be a link goes. A pair of several buckets is seen in the first.
+        """
+        rare = self.label != self.common
+        at = np.flatnonzero(~self.visits & (self.label != self.label[n]) & (~rare | (self.node < self.node[n])))
+        limit = ((1.0 - self.share) * np.maximum(self.words[at], self.words[n]) + 1e-9).astype(np.int64)
+        for near in (
+            lambda a: np.abs(self.words[a] - self.words[n]),
+            lambda a: np.abs(self.coarse[a] - self.coarse[n]).sum(axis=1) // 2,
+            lambda a: np.abs(self.fine[a] - self.fine[n]).sum(axis=1) // 2,
+        ):
+            away = near(at)
+            good = away <= limit
+            at, limit, away = at[good], limit[good], away[good]
+        shared = self.keys[at] == self.keys[n]
+        first = self.keys[n][shared.argmax(axis=1)] == self.bucket
+        return at[first][np.argsort(away[first], kind="stable")]
+
+
+def _meetings(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+
+
+def with_candidate(rows: DataFrame, share: float) -> DataFrame:
+    """The rows that may match another in their part."""
+    schema = rows.select("bucket", "part", "node", "class", "common", "words", "visits", "keys", "bins")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, ("bucket", "part")):
+            part, kept = _Part(table, share), np.zeros(table.num_rows, bool)
+            for n in np.flatnonzero(part.visits):
+                at = part.candidates(n)
+                kept[at] = True
+                kept[n] |= len(at) > 0
+            if kept.any():
+                yield from table.filter(pa.array(kept)).combine_chunks().to_batches()
+
+    return _meetings(schema).mapInArrow(keep, schema.schema)
+
+
+def aligned(rows: DataFrame, share: float) -> DataFrame:
+    """``a, b`` of links between classes; once two classes are linked in a part, their other pairs are skipped."""
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, ("bucket", "part")):
+            part, text = _Part(table, share), table["text"]
+            joined: dict[int, int] = {}
+
+            def root(label: int) -> int:
+                while label in joined:
+                    label = joined[label]
+                return label
+
+            links = []
+            for n in np.flatnonzero(part.visits):
+                own = text[n].as_py()
+                for at in part.candidates(n):
+                    one, other = root(int(part.label[n])), root(int(part.label[at]))
+                    if one != other and similar(own, text[at].as_py(), share):
+                        joined[one] = other
+                        links.append((int(part.node[n]), int(part.node[at])))
+            if links:
+                one, other = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], ["a", "b"])
+
+    wanted = rows.select("bucket", "part", "node", "class", "common", "words", "visits", "keys", "bins", "text")
+    return cut_lineage(_meetings(wanted).mapInArrow(link, "a long, b long"))
 
 
 def near_classes(docs: DataFrame, share: float = SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
@@ -287,7 +342,9 @@ def near_classes(docs: DataFrame, share: float = SIMILARITY, sketches: int = SKE
     nodes = sketched(docs, sketches)
     classes = classes_of_nodes(nodes, docs, share)
     named = cut_lineage(_apart(nodes.select("node", "digest", "id"), classes, "node", "class"))
-    least = named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("least"))
+    least = cut_lineage(
+        named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("least"))
+    )
     return cut_lineage(
         named.join(least, "class").select(
             "digest", F.col("least.id").alias("class_id"), F.col("least.digest").alias("keeper")
