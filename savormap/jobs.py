@@ -18,7 +18,7 @@ from savormap.operators import classify, geo, metrics, ranking, recommend, shapi
 from savormap.operators.similarity import LIST_THRESHOLD, similar_pairs
 from savormap.session import build_session
 from savormap.sources import readers, writers
-from savormap.storage import cut_lineage
+from savormap.storage import cut_lineage, remove_scratch
 from savormap.streaming import jobs as streams
 
 _NO_OPTIONS: dict[str, str] = {}
@@ -41,15 +41,19 @@ def publish_range(
 ) -> None:
     """A city's places around a point, with photos, as one message for a user."""
     keep = ["place_id", *[c for c in geo.PLACE_DETAILS if c != "dist_km"]]
-    found = geo.within_city(_places(places), city, lat, lon, km, keep=keep)
+    found = cut_lineage(geo.within_city(_places(places), city, lat, lon, km, keep=keep))
     listed = (
-        geo.with_photos(cut_lineage(found), _places(photos))
-        .drop("photo_part")
+        geo.with_photos(found, _places(photos))
+        .drop("photo_pages")
         .withColumnRenamed("place_id", "business_id")
         .withColumns({"request_id": F.lit(0), "user_id": F.lit(user)})
     )
     messages = geo.range_messages(listed, place="business_id")
-    writers.publish(writers.as_messages(messages, "user_id", "business_id_listInRange"), fmt, **options)
+    keyed = writers.as_messages(messages, "user_id", "business_id_listInRange", key=F.col("user_id"))
+    writers.publish(keyed, fmt, **options)
+    more = geo.further_photos(found, _places(photos)).withColumnRenamed("place_id", "business_id")
+    more = more.withColumn("user_id", F.lit(user))
+    writers.publish(writers.as_messages(more, "user_id", "business_id", "part", "photos", key=F.col("user_id")), fmt, **options)
 
 
 def store_city_reviews(
@@ -66,8 +70,16 @@ def store_factors(
     user_options: dict[str, str],
     place_options: dict[str, str],
     similar_options: dict[str, str] | None = None,
+    lists_options: dict[str, str] | None = None,
+    chain: str | None = None,
 ) -> None:
-    """User and place vectors as two collections, and on request the similar-place lists."""
+    """User and place vectors as two collections; on request what follows from them.
+
+    ``similar_options``: the similar-place lists; ``lists_options``: each user's
+    recommendation list; ``chain``: a folder for the Parquet tables that
+    ``answer-ratings`` reads (``ratings``, ``sims``) and the indexes behind their
+    numbers (``users``, ``items``).
+    """
     numbered, users, items = recommend.prepare_ratings(reviews, item="business_id", text=None)
     model = recommend.fit_factors(numbered)
     of_users, of_items = recommend.factor_tables(model, users, items, item="business_id")
@@ -75,15 +87,37 @@ def store_factors(
     writers.overwrite_collection(
         of_items.withColumnRenamed("item_feature", "res_feature"), fmt, **place_options
     )
+    if lists_options is not None:
+        best = recommend.recommend_all(model, users, items, item="business_id")
+        lists = recommend.scored_lists(best, "user_id", "business_id")
+        writers.overwrite_collection(lists, fmt, **lists_options)
+    if similar_options is None and chain is None:
+        return
+    sims = cut_lineage(similar_pairs(model.itemFactors, "id", "features", LIST_THRESHOLD))
+    if chain is not None:
+        store_chain(reviews, users, items, sims, chain)
     if similar_options is not None:
-        sims = cut_lineage(similar_pairs(model.itemFactors, "id", "features", LIST_THRESHOLD))
         named = sims.join(items.select(F.col("item_idx").alias("a"), F.col("business_id").alias("resId")), "a").join(
             items.select(F.col("item_idx").alias("b"), F.col("business_id").alias("similarId")), "b"
         )
-        lists = recommend.scored_lists(cut_lineage(named.select("resId", "similarId", "sim")), "resId", "similarId", "sim")
+        lists = recommend.scored_lists(named.select("resId", "similarId", "sim"), "resId", "similarId", "sim")
         writers.overwrite_collection(lists, fmt, **similar_options)
 
 
+def store_chain(reviews: DataFrame, users: DataFrame, items: DataFrame, sims: DataFrame, folder: str) -> None:
+    """Indexes, numbered ratings and similar places, as the rating stream reads them."""
+    rated = recommend.indexed(
+        shaping.known_rows(reviews, "user_id", "business_id", "stars"), users, items, item="business_id"
+    ).select(
+        F.col("user_idx").alias("user_id"),
+        F.col("item_idx").alias("item_id"),
+        F.col("stars").cast("double").alias("stars"),
+        F.col("date").alias("ts"),
+    )
+    for name, table in (("users", users), ("items", items), ("ratings", rated), ("sims", sims)):
+        writers.overwrite_collection(table, "parquet", path=f"{folder}/{name}")
+
+
 def tune_factors(
     reviews: DataFrame,
     ranks: Sequence[int] = recommend.GRID_RANKS,
@@ -91,7 +125,8 @@ def tune_factors(
     iterations: Sequence[int] = recommend.GRID_ITERATIONS,
 ) -> tuple[DataFrame, DataFrame]:
     """Error of every setting, and the best one."""
-    numbered, _, _ = recommend.prepare_ratings(reviews, item="business_id")
+    keyed = reviews.withColumn("_review", F.xxhash64("user_id", "business_id", "date", "stars"))
+    numbered, _, _ = recommend.prepare_ratings(keyed, item="business_id", key="_review")
     train, test = shaping.split_rows(cut_lineage(numbered), ["user_idx", "item_idx", "score"])
     table = recommend.grid_search(train, test, ranks, regularisations, iterations)
     return table, ranking.best_row(table, "rmse", ["rank", "regularisation", "iterations"])
@@ -183,6 +218,8 @@ def _parser() -> argparse.ArgumentParser:
     add("publish-range", "places", "photos", "city", "lat", "lon", "km", "user")
     add("city-reviews", "places", "reviews", "city", "km")
     add("factors", "reviews", "users-out", "places-out")
+    add("recommend-lists", "reviews", "users-out", "places-out", "similar-out", "lists-out", "chain-out")
+    add("rank-range", "messages", "users", "places", "out")
     add("tune", "reviews", "out")
     add("review-report", "labelled", "out")
     add("answer-ranges", "servers", "source", "sink", "state")
@@ -191,9 +228,17 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
-    """Run one job to its end; streams run until stopped."""
+    """Run one job to its end, streams until stopped; stored steps go when it ends, failed or not."""
     a = _parser().parse_args(arguments)
     spark = build_session(f"savormap-{a.job}")
+    try:
+        run_job(spark, a)
+    finally:
+        remove_scratch(spark)
+
+
+def run_job(spark: SparkSession, a: argparse.Namespace) -> None:
+    """The job that the arguments name."""
     table = lambda path: readers.read_parquet(spark, path)
     if a.job == "publish-range":
         where = a.city, float(a.lat), float(a.lon), float(a.km), a.user
@@ -205,6 +250,12 @@ def main(arguments: Sequence[str] | None = None) -> None:
     elif a.job == "factors":
         outputs = {**a.options, "path": a.users_out}, {**a.options, "path": a.places_out}
         store_factors(table(a.reviews), a.format, *outputs)
+    elif a.job == "recommend-lists":
+        outputs = ({**a.options, "path": p} for p in (a.users_out, a.places_out, a.similar_out, a.lists_out))
+        store_factors(table(a.reviews), a.format, *outputs, chain=a.chain_out)
+    elif a.job == "rank-range":
+        messages = readers.read_json(spark, a.messages, schemas.RANGE_MESSAGE)
+        writers.append_json(rank_range(messages, table(a.users), table(a.places)), a.out)
     elif a.job == "tune":
         everything, best = tune_factors(table(a.reviews))
         everything.withColumn("best", F.lit(False)).unionByName(best.withColumn("best", F.lit(True))).write.mode(

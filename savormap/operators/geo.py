@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from savormap.functions.geo import bounding_box, degrees_spanned, distance_km
 from savormap.operators.shaping import known_rows
 from savormap.skew import LIST_ROWS, gather_lists, salt_of
-from savormap.storage import cut_lineage
 
+# Details of a place in a message.
 PLACE_DETAILS = ("name", "address", "dist_km", "latitude", "longitude", "stars", "hours")
 CELL_SALTS = 16
+PHOTO_ROWS = 100  # photos of a place that a message carries beside it
 
 
 def located(places: DataFrame) -> DataFrame:
@@ -65,22 +66,30 @@ def within_city(
 
 
 def photo_lists(photos: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
-    """Per place, photo ids with their captions, by photo id; null captions stay beside their photo."""
+    """Per place, pages of photo ids with their captions, by photo id; null captions stay beside their photo."""
     return gather_lists(
         photos, ["place_id"], ["photo_id", "caption"], "photos", [F.col("photo_id")], rows
     )
 
 
-def with_photos(found: DataFrame, photos: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
-    """Places in range with their photo lists; places without photos keep a null list.
+def with_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) -> DataFrame:
+    """Places in range, each once, with the first page of their photos; places without keep a null list.
 
-    Photos of other places are dropped before the lists are gathered.
+    ``photo_pages`` says how many pages there are. ``further_photos`` gives the rest.
     """
-    wanted = cut_lineage(
-        photos.join(found.select("place_id").distinct(), "place_id", "left_semi")
-    )
-    lists = photo_lists(wanted, rows).withColumnRenamed("part", "photo_part")
-    return found.join(lists, "place_id", "left")
+    pages = photo_lists(_photos_of(found, photos), rows)
+    counts = pages.groupBy("place_id").agg(F.count(F.lit(1)).alias("photo_pages"))
+    first = pages.where("part = 0").select("place_id", "photos").join(counts, "place_id")
+    return found.join(first, "place_id", "left")
+
+
+def further_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) -> DataFrame:
+    """Later pages of the photos of places in range: ``place_id, part, photos``, from part 1 on."""
+    return photo_lists(_photos_of(found, photos), rows).where("part > 0")
+
+
+def _photos_of(found: DataFrame, photos: DataFrame) -> DataFrame:
+    return photos.join(found.select("place_id").distinct(), "place_id", "left_semi")
 
 
 def _cells(df: DataFrame, cell: float, metric: str) -> DataFrame:
@@ -141,13 +150,13 @@ def range_join(
 def range_messages(
     found: DataFrame, rows: int = LIST_ROWS, place: str = "place_id"
 ) -> DataFrame:
-    """One typed message per request: the user and the list of places in range, nearest first.
+    """Typed messages of each request: the user and a page of the places in range, nearest first.
 
-    A list longer than ``rows`` continues in further messages of the same user,
-    so none outgrows what a broker takes.
+    A list longer than ``rows`` continues in further messages of the same user, in
+    order. An entry is a place's details and one page of its photos at most.
     """
     lists = gather_lists(
-        cut_lineage(found),
+        found,
         ["request_id", "user_id"],
         [c for c in found.columns if c not in ("request_id", "user_id")],
         "business_id_listInRange",

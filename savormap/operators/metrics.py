@@ -85,9 +85,10 @@ def crosstab_with_totals(
     """Counts of rows × columns with a Total row and column.
 
     The data is counted once per pair; the totals come from that small table.
+    Rows of a column value that isn't listed, or null, are in no count.
     """
     return (
-        counts_by(predictions, rows, columns)
+        counts_by(predictions.where(F.col(columns).isin(*values)), rows, columns)
         .rollup(rows)
         .agg(
             *[F.coalesce(F.sum(F.when(F.col(columns) == v, F.col("n"))), F.lit(0)).alias(v) for v in values],

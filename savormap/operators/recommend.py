@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from savormap.functions.vectors import dot, log_factor
-from savormap.operators.metrics import rmse
+from savormap.operators.metrics import MAP_DEPTH, average_precision, mean_average_precision, rmse
 from savormap.operators.products import top_products
 from savormap.operators.ranking import SIMILAR_ITEMS, USER_RECOMMENDATIONS, top_per_group
 from savormap.operators.shaping import dense_index, known_rows, one_per_text
@@ -26,7 +25,7 @@ GRID_RANKS = (10, 20, 30, 40)
 GRID_REGULARISATIONS = (0.05, 0.03, 0.01)
 GRID_ITERATIONS = (15, 20, 25, 30)
 LIKED_ABOVE = 3.0
-FEWEST_BLOCKS, RATINGS_PER_BLOCK = 10, 5_000_000
+BLOCKS = 10  # user and item blocks of a factorisation
 SEED = 42
 
 
@@ -48,9 +47,14 @@ def prepare_ratings(
     """Deduplicate texts, keep complete distinct ratings, index both ids.
 
     Returns (ratings with user_idx, item_idx, score; user index; item index).
+    Of equal texts the complete row with the lowest ``key`` counts; without
+    ``text`` no key is needed.
     """
     if text:
-        reviews = one_per_text(reviews, text, key or user, [user, item, stars, *([key] if key else [])])
+        if key is None:
+            raise ValueError("equal texts need a row key to choose by")
+        complete = known_rows(reviews, user, item, stars)
+        reviews = one_per_text(complete, text, key, [user, item, stars, key])
     plain = cut_lineage(
         known_rows(reviews.select(user, item, stars), user, item, stars).distinct()
     )
@@ -63,28 +67,21 @@ def prepare_ratings(
     return numbered, users, items
 
 
-def factor_blocks(rows: int) -> int:
-    """User and item blocks for so many ratings, each of a size an executor holds."""
-    return max(FEWEST_BLOCKS, math.ceil(rows / RATINGS_PER_BLOCK))
-
-
 def fit_factors(
     ratings: DataFrame,
     rank: int = RANK,
     regularisation: float = REGULARISATION,
     iterations: int = ITERATIONS,
     seed: int = SEED,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Explicit-feedback ALS over (user_idx, item_idx, score).
 
-    Without ``blocks`` the ratings are stored and counted, and their number
-    sets the user and item blocks.
+    ``blocks`` is the number of user and of item blocks. Starting factors are
+    drawn per block, so the same data, seed and blocks give the same model; raise
+    it where a block of ratings outgrows an executor.
     """
     shared_root(ratings.sparkSession)  # ALS cuts its own lineage every ten iterations
-    if blocks is None:
-        ratings = cut_lineage(ratings.select("user_idx", "item_idx", "score"))
-        blocks = factor_blocks(ratings.count())
     return ALS(
         userCol="user_idx",
         itemCol="item_idx",
@@ -157,7 +154,7 @@ def scored_lists(
     score: str = "score",
     rows: int = LIST_ROWS,
 ) -> DataFrame:
-    """Lists of (item, score) per key, best first."""
+    """Lists of (item, score) per key, best first, in pages."""
     return gather_lists(
         scored, [key], [item, score], "recs", [-F.col(score), F.col(item)], rows
     )
@@ -171,25 +168,27 @@ def grid_search(
     iterations: Sequence[int] = GRID_ITERATIONS,
     parallel: int = 2,
     seed: int = SEED,
+    blocks: int = BLOCKS,
 ) -> DataFrame:
-    """RMSE of every setting: rank, regularisation, iterations, rmse.
+    """Error and precision of every setting: rank, regularisation, iterations, rmse, map.
 
     Both sides are stored once; ``parallel`` fits share the cluster.
     """
     train, test = cut_lineage(train), cut_lineage(test)
-    blocks = factor_blocks(train.count())
     settings = list(product(ranks, regularisations, iterations))
 
-    def measure(setting: tuple[int, float, int]) -> tuple[int, float, int, float]:
+    def measure(setting: tuple[int, float, int]) -> tuple[int, float, int, float, float]:
         rank, reg, steps = setting
         model = fit_factors(train, rank, reg, steps, seed, blocks)
         error = rmse(predict(model, test), "score", "prediction").first()["rmse"]
-        return rank, reg, steps, error
+        listed = best_items(model, MAP_DEPTH)
+        each = average_precision(listed, test, user="user_idx", item="item_idx")
+        return rank, reg, steps, error, mean_average_precision(each).first()["map"]
 
     with ThreadPoolExecutor(parallel) as pool:
         rows = list(pool.map(measure, settings))
     return train.sparkSession.createDataFrame(
-        rows, "rank int, regularisation double, iterations int, rmse double"
+        rows, "rank int, regularisation double, iterations int, rmse double, map double"
     )
 
 
@@ -204,13 +203,26 @@ def unseen_candidates(
     """For each distinct (user, item) event, the ``n`` most similar items the user has not rated.
 
     Columns: user, item, candidate, sim, position. Items without similarities
-    give no rows.
+    give no rows. Each list is ranked once; of the items a user has rated only
+    so many can stand before the ``n`` wanted ones, so no more than ``n`` plus
+    their number of a list is joined to an event.
     """
     asked = events.select(user, item).distinct()
-    near = asked.join(sims.select(F.col("a").alias(item), F.col("b").alias("candidate"), "sim"), item)
-    seen = rated.select(user, F.col(item).alias("candidate")).distinct()
+    seen = rated.join(asked.select(user).distinct(), user, "left_semi").select(
+        user, F.col(item).alias("candidate")
+    ).distinct()
+    known = seen.groupBy(user).agg(F.count(F.lit(1)).alias("_known"))
+    asked = asked.join(known, user, "left").withColumn("_deepest", F.coalesce("_known", F.lit(0)) + n)
+    order = Window.partitionBy("a").orderBy(F.col("sim").desc(), "b")
+    wanted = sims.join(asked.select(F.col(item).alias("a")).distinct(), "a", "left_semi")
+    ranked = wanted.withColumn("_rank", F.row_number().over(order)).select(
+        F.col("a").alias(item), F.col("b").alias("candidate"), "sim", "_rank"
+    )
+    near = asked.join(ranked, item).where("_rank <= _deepest").drop("_known", "_deepest", "_rank")
     fresh = near.join(seen, [user, "candidate"], "left_anti")
-    return top_per_group(fresh, [user, item], [F.col("sim").desc(), F.col("candidate")], n)
+    return top_per_group(fresh, [user, item], [F.col("sim").desc(), F.col("candidate")], n).select(
+        user, item, "candidate", "sim", "position"
+    )
 
 
 def candidate_scores(
@@ -225,9 +237,10 @@ def candidate_scores(
     """Score of each (user, candidate) from the user's recent ratings of similar items.
 
     Mean of similarity × rating, plus log10 of the number of ratings above 3,
-    minus log10 of the number of the others (both at least 1). Only similarity
-    edges above the threshold are followed, from the recent ratings outward; a
-    candidate without one has no score. The sums combine before the shuffle.
+    minus log10 of the number of the others (both at least 1). A user's candidates
+    meet the user's recent ratings, some hundred pairs, and only those look up
+    their similarity; a candidate with none above the threshold has no score. The
+    sums combine before the shuffle.
     """
     edges = sims.where(F.col("sim") > threshold).select(
         F.col("b").alias(item), F.col("a").alias("candidate"), "sim"
@@ -235,9 +248,8 @@ def candidate_scores(
     wanted = candidates.select(user, "candidate").distinct()
     liked = F.col(stars) > LIKED_ABOVE
     return (
-        recent.select(user, item, stars)
-        .join(edges, item)
-        .join(wanted, [user, "candidate"], "left_semi")
+        wanted.join(recent.select(user, item, stars), user)
+        .join(edges, ["candidate", item])
         .groupBy(user, "candidate")
         .agg(
             F.avg(F.col("sim") * F.col(stars)).alias("_mean"),

@@ -29,7 +29,7 @@ def stars_above(df: DataFrame, column: str = "stars", limit: float = 4.0) -> Dat
 def one_per_text(
     df: DataFrame, text: str, key: str, keep: Sequence[str], digest: bool = True
 ) -> DataFrame:
-    """One row per text, the one with the lowest ``key``.
+    """One row per text, the one with the lowest ``key``; a row without a key only where no other has the text.
 
     Grouping by a 256-bit digest keeps long texts out of the shuffle, and the
     minimum is combined before it, so a text with very many copies is cheap.
@@ -38,7 +38,7 @@ def one_per_text(
     rest = [c for c in keep if c != key]
     return (
         df.groupBy(group.alias("_text"))
-        .agg(F.min(F.struct(key, *rest)).alias("_first"))
+        .agg(F.min(F.struct(F.col(key).isNull().alias("_keyless"), key, *rest)).alias("_first"))
         .select(*[F.col("_first")[c].alias(c) for c in keep])
     )
 

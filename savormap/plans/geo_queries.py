@@ -134,6 +134,31 @@ def photo_list_entries(spark, sf):
     return listed.select("place_id", "part", F.col("pos").cast("long").alias("pos"), "col.photo_id", "col.caption")
 
 
+@query("A3", sql_over("photos", f"""SELECT place_id, (row_number() OVER w - 1) // 3 AS part, (row_number() OVER w - 1) % 3 AS pos, {_PHOTO_ROWS}
+         FROM photos WINDOW w AS (PARTITION BY place_id ORDER BY photo_id)"""))
+def photo_pages(spark, sf):
+    """Pages of three photos, so that most places have several."""
+    lists = geo.photo_lists(views.photos(spark, sf), rows=3)
+    listed = lists.select("place_id", "part", F.posexplode("photos"))
+    return listed.select("place_id", "part", F.col("pos").cast("long").alias("pos"), "col.photo_id", "col.caption")
+
+
+@query(
+    "G5 F-10",
+    sql_over(
+        "found",
+        """SELECT request_id, (row_number() OVER w - 1) // 4 AS page, (row_number() OVER w - 1) % 4 AS pos, place_id
+           FROM found WINDOW w AS (PARTITION BY request_id ORDER BY dist_km, place_id)""",
+    ),
+)
+def range_message_pages(spark, sf):
+    """Messages of four places each, continued in order."""
+    found = geo.range_join(views.places(spark, sf), views.requests(spark, sf), same_city=True)
+    messages = geo.range_messages(found.select("request_id", "user_id", "place_id", "dist_km"), rows=4)
+    listed = messages.select("request_id", F.col("part").alias("page"), F.posexplode("business_id_listInRange"))
+    return listed.select("request_id", "page", F.col("pos").cast("long").alias("pos"), "col.place_id")
+
+
 @query(
     "G4 J1 J2 A3",
     sql_over(
@@ -173,7 +198,7 @@ def range_message_rows(spark, sf):
     """Range messages of all requests."""
     found = geo.range_join(views.places(spark, sf), views.requests(spark, sf), same_city=True)
     listed = geo.with_photos(cut_lineage(found), views.photos(spark, sf))
-    return geo.range_messages(listed.drop("photo_part", "city"))
+    return geo.range_messages(listed.drop("photo_pages", "city"))
 
 
 @query(

@@ -1,7 +1,7 @@
-"""Keeping hot groups apart: size checks, salting and split lists.
+"""Keeping hot groups apart: size checks, salting and lists in pages.
 
 One key may hold a third of all rows. Nothing here drops or caps rows; a hot
-group is cut into parts and its parts go to different tasks.
+group is cut into pages of bounded length that go to different tasks.
 """
 
 from __future__ import annotations
@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LIST_ROWS = 100_000  # rows one gathered list may hold
+from savormap.storage import cut_lineage
+
+LIST_ROWS = 4_000  # entries of a page; at up to 1 KB each they fit a message of 4 MiB
 SMALL_ROWS = 10_000  # rows a side may have to be broadcast by hand
-SALTS = 32
+_ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the lower 33 bits
 
 
 def fits_in(df: DataFrame, rows: int) -> bool:
@@ -44,43 +46,39 @@ def _all_equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
     )
 
 
-def with_parts(
-    df: DataFrame, keys: Sequence[str], spread: Sequence[Column], rows: int = LIST_ROWS
-) -> DataFrame:
-    """Add ``part``: 0 for groups of at most ``rows`` rows, a salt below n/rows for larger ones.
+def ranked(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
+    """Rows with their place in their group, from 0, under a total order.
 
-    One counting pass over the key columns, combined map-side, finds the large
-    groups. There are at most total/rows of them.
+    Rows are range-partitioned by group and order, so a row's place in the whole
+    table is its place in its partition plus the sizes of the partitions before;
+    the group's first place is taken off. A hot group lies in many partitions. The
+    sorted rows are stored, since a second range sampling could cut them elsewhere.
     """
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows)
-        .select(
-            *[F.col(k).alias(f"_hot_{k}") for k in keys],
-            F.ceil(F.col("_n") / F.lit(rows)).alias("_parts"),
-        )
+    order = [*[F.col(k) for k in keys], *order_by]
+    placed = cut_lineage(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_at", F.monotonically_increasing_id())
     )
-    known = large.limit(SMALL_ROWS + 1).collect()
-    if not known:
-        return df.withColumn("part", F.lit(0).cast("long"))
-    pairs = [(k, f"_hot_{k}") for k in keys]
-    salt = salt_of(spread, F.col("_parts"))
-    part = F.coalesce(salt, F.lit(0)).cast("long")
-    extra = [name for _, name in pairs] + ["_parts"]
-    if len(known) <= SMALL_ROWS:
-        few = F.broadcast(df.sparkSession.createDataFrame(known, large.schema))
-        return df.join(few, _all_equal(df, few, pairs), "left").withColumn("part", part).drop(*extra)
-    salted = df.withColumn("_salt", salt_of(spread, SALTS))
-    copies = large.withColumn(
-        "_hot_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    piece = F.shiftright("_at", _ROW_BITS)
+    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition, so the ordered window and the broadcast are bounded.
+    offsets = (
+        placed.groupBy(piece.alias("_piece"))
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .select("_piece", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     )
-    pairs = pairs + [("_salt", "_hot_salt")]
-    return (
-        salted.join(copies, _all_equal(salted, copies, pairs), "left")
-        .withColumn("part", part)
-        .drop(*extra, "_salt", "_hot_salt")
+    row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    numbered = (
+        placed.withColumn("_piece", piece)
+        .join(F.broadcast(offsets), "_piece")
+        .withColumn(name, F.col("_before") + row)
+        .drop("_piece", "_before", "_at")
     )
+    pairs = [(k, f"_of_{k}") for k in keys]
+    firsts = numbered.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.min(name).alias("_first"))
+    joined = numbered.join(firsts, _all_equal(numbered, firsts, pairs))
+    return joined.withColumn(name, F.col(name) - F.col("_first")).drop("_first", *[n for _, n in pairs])
 
 
 def sorted_lists(
@@ -110,10 +108,12 @@ def gather_lists(
     order_by: Sequence[Column] | None = None,
     rows: int = LIST_ROWS,
 ) -> DataFrame:
-    """Sorted lists of groups that nothing bounds: one row per (keys, part).
+    """Sorted lists of groups that nothing bounds, in pages: one row per (keys, part).
 
-    Groups up to ``rows`` rows give exactly one row, with part 0. Larger ones
-    are spread over several parts, so no list and no task grows without bound.
+    Page ``part`` holds the entries from ``part * rows`` on, so reading the pages of
+    a group in turn gives its whole list in order. All groups are treated alike; one
+    of at most ``rows`` entries has page 0 alone.
     """
-    parted = with_parts(df, keys, [F.col(i) for i in items], rows)
-    return sorted_lists(parted, [*keys, "part"], items, list_name, order_by)
+    order_by = list(order_by or [F.col(i) for i in items])
+    paged = ranked(df, keys, order_by, "_rank").withColumn("part", F.floor(F.col("_rank") / F.lit(rows)).cast("long"))
+    return sorted_lists(paged, [*keys, "part"], items, list_name, order_by)

@@ -10,8 +10,17 @@ from pyspark.sql import types as T
 
 Schema = T.StructType | str
 
+CSV_NULL = "\\N"  # what stands for null, so that a quoted empty string stays one; an empty field is null too
+
 # Quotes are doubled inside quoted fields, and fields may span lines.
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+CSV_OPTIONS = {
+    "header": True,
+    "multiLine": True,
+    "quote": '"',
+    "escape": '"',
+    "nullValue": CSV_NULL,
+    "emptyValue": "",
+}
 
 
 def read_csv(spark: SparkSession, path: str, schema: Schema, **options) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,9 +33,38 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared root."""
-    return f"{shared_root(spark)}/savormap/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/savormap/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def remove_stored(df: DataFrame) -> None:
+    """Remove a table that ``cut_lineage`` has stored and nothing reads any more.
+
+    What was shuffled to make it goes too, as soon as the driver collects its garbage.
+    """
+    spark, files = df.sparkSession, df.inputFiles()
+    if files:
+        target = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, whereupon executors drop shuffles of steps that are stored."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove the scratch paths this process has made; for the end of a job, when nothing reads them."""
+    while _made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -120,3 +120,22 @@ def test_only_points_parse(spark):
 def test_metric_is_checked():
     with pytest.raises(ValueError):
         distance_km(1.0, 2.0, 3.0, 4.0, "furlong")
+
+
+def test_places_appear_once_and_in_order_over_pages(spark, scattered):
+    requests = spark.createDataFrame(
+        [(1, "u1", "A", 45.0, -122.0, 60.0)],
+        "request_id long, user_id string, city string, center_lat double, center_lon double, km double",
+    )
+    found = geo.range_join(scattered, requests).select("request_id", "user_id", "place_id", "dist_km")
+    first = found.orderBy("dist_km", "place_id").first()["place_id"]
+    photos = spark.createDataFrame([(first, n, None) for n in range(50)], "place_id long, photo_id long, caption string")
+    listed = geo.with_photos(found, photos, rows=10)
+    assert listed.count() == found.count()
+    shown = listed.where(F.col("place_id") == first).first()
+    assert [p["photo_id"] for p in shown["photos"]] == list(range(10)) and shown["photo_pages"] == 5
+    rest = sorted(geo.further_photos(found, photos, rows=10).collect(), key=lambda r: r["part"])
+    assert [p["photo_id"] for r in rest for p in r["photos"]] == list(range(10, 50))
+    pages = sorted(geo.range_messages(listed.drop("photo_pages"), rows=100).collect(), key=lambda r: r["part"])
+    order = [(e["dist_km"], e["place_id"]) for p in pages for e in p["business_id_listInRange"]]
+    assert len(pages) > 1 and order == sorted(order) and len(set(order)) == found.count()

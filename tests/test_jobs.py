@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from savormap import jobs, schemas
+from savormap.operators import ranking
 from savormap.sources import readers
+from savormap.streaming import jobs as streams
 
 
 @pytest.fixture(scope="module")
@@ -58,6 +60,31 @@ def test_range_message_can_be_answered_and_ranked(spark, tables, tmp_path):
     assert [r["affinity"] for r in ranked] == sorted((r["affinity"] for r in ranked), reverse=True)
 
 
+def test_factors_feed_the_rating_stream(spark, tables, tmp_path):
+    """Factors, similar places and lists, then a rating stream over the stored tables."""
+    out = lambda name: {"path": str(tmp_path / name)}
+    chain = str(tmp_path / "chain")
+    jobs.store_factors(tables[2], "parquet", out("u"), out("p"), out("s"), out("lists"), chain)
+    lists = spark.read.parquet(out("lists")["path"])
+    scores = [[r["score"] for r in row["recs"]] for row in lists.collect()]
+    assert lists.count() == 25 and all(s == sorted(s, reverse=True) and len(s) <= 50 for s in scores)
+    ratings, sims = spark.read.parquet(f"{chain}/ratings"), spark.read.parquet(f"{chain}/sims")
+    assert ratings.count() == tables[2].count() and spark.read.parquet(f"{chain}/items").count() == 40
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "m.txt").write_text('{"user": 3, "restaurant": 5, "rating": 4.0, "timestamp": 9}\n')
+    recent = ranking.recent_ratings(ratings).select("user_id", "item_id", "stars")
+    for run in ("one", "two"):  # the second starts with a new checkpoint and counts batches from 0 again
+        store = streams.recommendation_store(spark, str(tmp_path / "store"))
+        writer = streams.rating_stream(
+            readers.read_message_files(spark, str(inbox)), recent, ratings, sims, store,
+            str(tmp_path / "bad"), str(tmp_path / run),
+        )
+        streams.with_trigger(writer, drain=True).start().awaitTermination()
+        assert [(r["user_id"], r["ts"]) for r in store.read().collect()] == [(3, 9)]
+        store.compact(0, streams.run_of(spark, str(tmp_path / run)))
+
+
 def test_city_reviews(spark, tables, tmp_path):
     places, _, reviews = tables
     jobs.store_city_reviews(places, reviews, "Salem", 1.0, "json", path=str(tmp_path / "r"))

@@ -125,3 +125,25 @@ def test_skewed_join_is_split(spark):
             spark.conf.unset(key)
     assert "skew=true" in final
     assert sum(r["n"] for r in rows) == 300_000
+
+
+def test_a_row_without_a_key_never_wins(spark):
+    rows = spark.createDataFrame([("t", None, "x"), ("t", 5, "y"), ("u", None, "z")], "text string, key int, who string")
+    got = shaping.one_per_text(rows, "text", "key", ["key", "who"])
+    assert sorted(r["who"] for r in got.collect()) == ["y", "z"]
+
+
+def test_best_row_has_a_measure(spark):
+    rows = spark.createDataFrame([("a", None), ("b", 0.5), ("c", float("nan"))], "k string, m double")
+    assert ranking.best_row(rows, "m", ["k"]).first()["k"] == "b"
+
+
+def test_pages_follow_the_order(spark, hot):
+    got = skew.gather_lists(hot, ["k"], ["v"], "vs", order_by=[-F.col("v")], rows=300)
+    pages = {}
+    for r in sorted(got.collect(), key=lambda r: r["part"]):
+        held = pages.setdefault(r["k"], [])
+        assert r["part"] * 300 == len(held) and len(r["vs"]) <= 300
+        held += [e["v"] for e in r["vs"]]
+    assert pages and all(p == sorted(p, reverse=True) for p in pages.values())
+    assert sum(map(len, pages.values())) == hot.count()

@@ -223,3 +223,30 @@ def test_each_range_message_gets_one_answer(spark, tmp_path):
         {"user_id": "u", "recommender_list": ["c"]},
         {"user_id": "v", "recommender_list": []},
     ]
+
+
+def test_csv_tells_null_from_empty(spark, tmp_path):
+    rows = [("", 1), (None, 2), ('a "quoted", line\nand more ', 3), (" ", 4)]
+    df = spark.createDataFrame(rows, "text string, n int")
+    writers.write_csv(df, str(tmp_path / "csv"))
+    assert sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "csv"), df.schema).collect()), key=lambda r: r[1]) == rows
+
+
+def test_a_new_run_counts_batches_from_zero(spark, tmp_path):
+    store = writers.KeyedStore(spark, str(tmp_path / "store"), STORE, ["uid"], ["ts"])
+    put = lambda rows, batch, run: store.upsert(spark.createDataFrame(rows, STORE), batch, run)
+    put([(1, 1, "a")], 0, "r1")
+    put([(7, 1, "kept")], 2, "r1")
+    store.compact(2, "r1")
+    put([(1, 2, "b")], 0, "r2")
+    assert {r["uid"]: r["v"] for r in store.read().collect()} == {1: "b", 7: "kept"}
+    store.compact(0, "r2")
+    store.expire()
+    put([(8, 1, "late")], 1, "r2")
+    assert {r["uid"]: r["v"] for r in store.read().collect()} == {1: "b", 7: "kept", 8: "late"}
+
+
+def test_messages_of_a_batch_have_different_keys(spark):
+    keys = writers.as_messages(spark.range(100)).select("key").distinct().count()
+    assert keys == 100
+    assert writers.as_messages(spark.range(3), key=F.col("id")).select("key").distinct().count() == 3
