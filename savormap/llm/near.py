@@ -39,7 +39,7 @@ from savormap.storage import cut_lineage
 WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 48
-BLOCK = 256
+BLOCK = 512
 BINS = 256  # of the word histogram that bounds edit distances from below
 COARSE = 32
 _KNOWN = 400_000
@@ -225,16 +225,17 @@ def classes_of_nodes(nodes: DataFrame, docs: DataFrame, share: float) -> DataFra
     classes = components(links)
 
     open_rows = still_open(_apart(buckets.select("key", "node", "words"), classes, "node", "class"))
-    near_rows = cut_lineage(with_candidate(open_rows.join(nodes.select("node", "keys", "bins"), "node"), share))
+    parted = in_parts(open_rows.join(nodes.select("node", "keys", "bins"), "node"))
+    near_rows = cut_lineage(with_candidate(parted, share))
     found = aligned(near_rows.join(held, "node"), share)
     return components(links.unionByName(found))
 
 
 def still_open(known: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Rows of buckets of several classes, with the parts they meet in; stored.
+    """Rows of buckets of several classes, with the number of parts they are cut into; stored.
 
-    A bucket is cut into parts of about ``block`` rows. Its rows outside the most
-    frequent class visit every part besides living in one.
+    A part has about ``block`` rows. Rows outside a bucket's most frequent class
+    visit every part besides living in one.
     """
     sizes = known.groupBy(F.col("key").alias("bucket"), "class").agg(F.count(F.lit(1)).alias("n"))
     tops = cut_lineage(
@@ -243,14 +244,17 @@ def still_open(known: DataFrame, block: int = BLOCK) -> DataFrame:
         .where("top.n < rows")
         .select("bucket", F.col("top.class").alias("common"), F.ceil(F.col("rows") / block).cast("int").alias("parts"))
     )
-    rows = known.join(tops, F.col("key") == F.col("bucket")).drop("key")
-    living = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("visits", F.lit(False))
-    visiting = (
-        rows.where(F.col("class") != F.col("common"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .withColumn("visits", F.lit(True))
+    return cut_lineage(known.join(tops, F.col("key") == F.col("bucket")).drop("key"))
+
+
+def in_parts(rows: DataFrame) -> DataFrame:
+    """Rows with each ``part`` they are in, and whether they only visit it."""
+    lives = F.struct(F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(False).alias("visits"))
+    all_parts = F.transform(
+        F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(p.alias("part"), F.lit(True).alias("visits"))
     )
-    return cut_lineage(living.unionByName(visiting).drop("parts"))
+    places = F.when(F.col("class") == F.col("common"), F.array(lives)).otherwise(F.concat(F.array(lives), all_parts))
+    return rows.withColumn("_place", F.explode(places)).select("*", "_place.part", "_place.visits").drop("_place", "parts")
 
 
 class _Part:
