@@ -19,8 +19,6 @@ def prepared(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    # Steps are stored, so what they shuffled can go when they end.
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

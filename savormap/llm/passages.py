@@ -14,6 +14,7 @@ empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from savormap.llm.windows import Units, Windows, marked, prefix_hashes, removed_
 
 WINDOW = 50
 RUN = 8
-CELLS = 26  # of the sketch: 16 MB of bits
+CELLS = 28  # bits of a cell's number, at most: a sketch of 64 MB
 _CHECKED = 1 << 16  # windows checked word by word at a time
 _KNOWN = 400_000
 
@@ -48,7 +49,7 @@ def hashes(words: list[bytes]) -> np.ndarray:
 def alike(windows: Windows) -> np.ndarray:
     """Labels of windows: grouped by hash within their buckets, and checked word by word."""
     codes: dict[bytes, int] = {}
-    words = np.array([codes.setdefault(w, len(codes)) for part in windows.units for w in part], np.int32)
+    words = np.array([codes.setdefault(w, len(codes)) for w in windows.units], np.int32)
     seen = np.lib.stride_tricks.sliding_window_view(words, windows.width)
     prefix = prefix_hashes(windows.hashes)
     own = run_hashes(prefix, windows.place, windows.place + windows.width)
@@ -70,10 +71,12 @@ def units(window: int = WINDOW, run: int = RUN, cells: int = CELLS) -> Units:
         window,
         run,
         cells,
+        6,
         read=lambda text: text.encode().split(),
         hashes=hashes,
         cut=lambda words, begin, stop: b" ".join(words[begin:stop]),
         again=lambda content: content.split(b" "),
+        join=lambda parts: list(chain.from_iterable(parts)),
         alike=alike,
     )
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 DEPTH = 2
 BLOCK_BITS = 16
-_HELD = 4_000_000  # items a task gathers before it packs them
+_HELD = 1_000_000  # items a task gathers before it packs them
 _ROWS = "at long, once binary, more binary"
 
 

@@ -23,24 +23,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from savormap.llm import sketch
-from savormap.llm.cells import groups
 from savormap.llm.exact import digest_of
 from savormap.llm.near import mixed
-from savormap.storage import cut_lineage
+from savormap.storage import cut_lineage, free_shuffles, remove_stored
 
 LARGEST_ID = 2**63 - 1
 MOST_WINDOWS = 64  # of a segment; periodic texts would make it endless
 CROWDED = 4_096  # different segments of one anchor from which their windows are dealt out
 TEXT_CELLS = 24
 _CHUNK = 1 << 20  # symbols looked at together
-_BATCH = 1 << 20  # bytes of segments compared together
+_BATCH = 1 << 17  # windows compared together, or those of one anchor
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -92,8 +93,8 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 class Windows:
     """Windows of some segments that are compared together."""
 
-    units: list[Sequence]  # of each segment
-    hashes: np.ndarray  # of all units, one segment after another
+    units: Sequence  # of all segments, one after another
+    hashes: np.ndarray  # of the units
     group: np.ndarray  # for each window the bucket whose windows it may equal
     place: np.ndarray  # where it starts in hashes
     width: int
@@ -105,11 +106,13 @@ class Units:
 
     window: int
     run: int
-    cells: int
+    cells: int  # bits of a cell's number in the sketch, at most
+    size: int  # bytes of a unit, about
     read: Callable[[str], Sequence]  # the units of a text
     hashes: Callable[[Sequence], np.ndarray]  # a 64-bit hash of each unit
     cut: Callable[[Sequence, int, int], bytes]  # the content of some units
     again: Callable[[bytes], Sequence]  # the units of a content
+    join: Callable[[list[Sequence]], Sequence]  # one after another
     alike: Callable[[Windows], np.ndarray]  # a label for each window, the same for equal ones of a group
 
 
@@ -206,8 +209,14 @@ def _row_by_row(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         keys = rest[np.append(True, rest[1:] != rest[:-1])] if len(rest) else rest
 
 
-def anchor_bits(texts: DataFrame, units: Units) -> sketch.Bits:
-    """Anchors that may belong to several texts."""
+def sketch_cells(size: int, units: Units) -> int:
+    """Bits of a cell's number: eight cells an anchor, ``units.cells`` bits at most."""
+    anchors = 2 * size // (units.size * (units.window - units.run + 2))
+    return max(16, min(units.cells, (8 * anchors).bit_length()))
+
+
+def anchor_bits(texts: DataFrame, units: Units, size: int) -> sketch.Bits:
+    """Anchors that may belong to several texts; ``size`` is that of all texts in bytes."""
 
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for text in batch.column(0).to_pylist():
@@ -215,65 +224,83 @@ def anchor_bits(texts: DataFrame, units: Units) -> sketch.Bits:
             if found:
                 yield np.concatenate(found)
 
-    return sketch.counted(texts.select("text"), anchors, units.cells)
+    return sketch.counted(texts.select("text"), anchors, sketch_cells(size, units))
+
+
+def anchor_cells(anchors: DataFrame, cells: int) -> sketch.Bits:
+    """Anchors that may be among the stored ones."""
+    return sketch.counted(
+        anchors.select("anchor"), lambda batch: [batch.column(0).to_numpy().view(np.uint64)], cells, least=1
+    )
 
 
 _SEGMENT = "anchor long, content long, doc long, key long, starts binary, windows int"
 
 
-def shared_segments(texts: DataFrame, bits: sketch.Bits, units: Units, with_cut: bool) -> DataFrame:
-    """Segments whose anchors the sketch lets pass, one row for equal ones of a text.
+def binaries(sizes: np.ndarray, data: bytes) -> pa.Array:
+    """Consecutive pieces of some bytes as a column."""
+    ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def shared_segments(texts: DataFrame, shared: Broadcast, units: Units, with_cut: bool) -> DataFrame:
+    """Segments whose anchors the broadcast sketch lets pass, one row for equal ones of a text.
 
     ``starts`` holds their places as 64-bit numbers, ``cut`` their content.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def of_text(whole: Sequence, doc: int, key: int) -> Iterator[tuple]:
+        for some in segments(units.hashes(whole), units):
+            good = shared.value.has(some.anchor)
+            if not good.any():
+                continue
+            anchor, content = some.anchor[good], some.content[good]
+            start, length = some.start[good].astype(np.int64), some.windows[good]
+            order = np.lexsort((start, content, anchor))
+            anchor, content, start, length = anchor[order], content[order], start[order], length[order]
+            new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])))
+            first, last = start[new], start[new] + length[new] + units.window - 1
+            cuts = [units.cut(whole, a, b) for a, b in zip(first.tolist(), last.tolist(), strict=True)] if with_cut else []
+            places = 8 * np.diff(np.append(new, len(start)))
+            yield anchor[new], content[new], np.full(len(new), doc), np.full(len(new), key), start, places, length[new], cuts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                whole = units.read(text)
-                for some in segments(units.hashes(whole), units):
-                    good = known.has(some.anchor)
-                    if not good.any():
-                        continue
-                    anchor, content = some.anchor[good], some.content[good]
-                    start, length = some.start[good].astype(np.int64), some.windows[good]
-                    order = np.lexsort((start, content, anchor))
-                    anchor, content, start, length = anchor[order], content[order], start[order], length[order]
-                    new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])))
-                    ends = np.append(new[1:], len(start))
-                    packed = start.tobytes()
-                    columns = [
-                        pa.array(anchor[new].view(np.int64)),
-                        pa.array(content[new].view(np.int64)),
-                        pa.array(np.full(len(new), doc)),
-                        pa.array(np.full(len(new), key)),
-                        pa.array([packed[8 * a : 8 * b] for a, b in zip(new.tolist(), ends.tolist(), strict=True)], pa.binary()),
-                        pa.array(length[new].astype(np.int32)),
-                    ]
-                    names = [c.split()[0] for c in _SEGMENT.split(", ")]
-                    if with_cut:
-                        stops = start[new] + length[new] + units.window - 1
-                        cuts = [units.cut(whole, a, b) for a, b in zip(start[new].tolist(), stops.tolist(), strict=True)]
-                        columns.append(pa.array(cuts, pa.binary()))
-                        names.append("cut")
-                    yield pa.RecordBatch.from_arrays(columns, names)
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            parts = [p for doc, key, text in rows for p in of_text(units.read(text), doc, key)]
+            if not parts:
+                continue
+            *plain, cuts = zip(*parts, strict=True)
+            anchor, content, doc, key, start, places, length = map(np.concatenate, plain)
+            columns = [
+                pa.array(anchor.view(np.int64)),
+                pa.array(content.view(np.int64)),
+                pa.array(doc),
+                pa.array(key),
+                binaries(places, start.tobytes()),
+                pa.array(length.astype(np.int32)),
+            ]
+            names = [c.split()[0] for c in _SEGMENT.split(", ")]
+            if with_cut:
+                columns.append(pa.array([c for some in cuts for c in some], pa.binary()))
+                names.append("cut")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return texts.select("doc", "key", "text").mapInArrow(run, _SEGMENT + (", cut binary" if with_cut else ""))
 
 
-def repeated_windows(tables: list[pa.Table], units: Units) -> np.ndarray:
-    """For each window of the segments of some buckets whether one with a smaller id equals it."""
-    parts = [units.again(c) for t in tables for c in t["cut"].to_pylist()]
-    count = np.concatenate([t["windows"].to_numpy() for t in tables]).astype(np.int64)
-    doc = np.concatenate([t["doc"].to_numpy() for t in tables])
+def repeated_windows(table: pa.Table, units: Units) -> np.ndarray:
+    """For each window of the segments of some anchors whether one with a smaller id equals it."""
+    parts = [units.again(c) for c in table["cut"].to_pylist()]
+    count, doc = table["windows"].to_numpy().astype(np.int64), table["doc"].to_numpy()
+    anchor = table["anchor"].to_numpy()
+    bucket = np.cumsum(np.append(0, anchor[1:] != anchor[:-1]))
     offset = np.cumsum([0, *map(len, parts)])[:-1]
     segment = np.repeat(np.arange(len(parts)), count)
     within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    group = np.repeat(np.arange(len(tables)), [t.num_rows for t in tables])[segment]
-    hashes = np.concatenate([units.hashes(p) for p in parts])
-    labels = units.alike(Windows(parts, hashes, group, offset[segment] + within, units.window))
+    whole = units.join(parts)
+    windows = Windows(whole, units.hashes(whole), bucket[segment], offset[segment] + within, units.window)
+    labels = units.alike(windows)
     order = np.argsort(labels, kind="stable")
     new = np.flatnonzero(np.append(True, labels[order][1:] != labels[order][:-1]))
     own = doc[segment]
@@ -283,6 +310,27 @@ def repeated_windows(tables: list[pa.Table], units: Units) -> np.ndarray:
     return repeated
 
 
+def whole_anchors(batches: Iterator[pa.RecordBatch], windows: int) -> Iterator[pa.Table]:
+    """Rows in the order of their anchors, in tables of about so many windows that divide no anchor."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += int(batch["windows"].to_numpy().sum())
+        if size > windows:
+            table = pa.Table.from_batches(held)
+            anchor = table["anchor"].to_numpy()
+            edges = np.flatnonzero(anchor[1:] != anchor[:-1])
+            if len(edges):
+                yield table.slice(0, edges[-1] + 1)
+                held = table.slice(edges[-1] + 1).combine_chunks().to_batches()
+                size = sum(int(b["windows"].to_numpy().sum()) for b in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 _INSIDE = "anchor long, content long, begin long, stop long"
 
 
@@ -294,38 +342,25 @@ def compared(rows: DataFrame, units: Units) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        size = 0
-        for table in groups(batches, ("anchor",)):
-            if table.num_rows < 2:
-                continue
-            held.append(table)
-            size += int(table["windows"].to_numpy().sum())
-            if size > _BATCH:
-                yield from inside(held)
-                held, size = [], 0
-        if held:
-            yield from inside(held)
-
-    def inside(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        repeated = repeated_windows(held, units)
-        ends = np.cumsum(np.concatenate([t["windows"].to_numpy() for t in held]).astype(np.int64))
-        edge = np.ones(len(repeated) + 1, bool)
-        edge[1:-1] = repeated[1:] != repeated[:-1]
-        edge[ends] = True
-        cuts = np.flatnonzero(edge)
-        begin, stop = cuts[:-1][repeated[cuts[:-1]]], cuts[1:][repeated[cuts[:-1]]]
-        row = np.searchsorted(ends, begin, side="right")
-        first = np.append(0, ends)[row]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([t["anchor"].to_numpy() for t in held])[row]),
-                pa.array(np.concatenate([t["content"].to_numpy() for t in held])[row]),
-                pa.array(begin - first),
-                pa.array(stop - first + units.window - 1),
-            ],
-            ["anchor", "content", "begin", "stop"],
-        )
+        for table in whole_anchors(batches, _BATCH):
+            repeated = repeated_windows(table, units)
+            ends = np.cumsum(table["windows"].to_numpy().astype(np.int64))
+            edge = np.ones(len(repeated) + 1, bool)
+            edge[1:-1] = repeated[1:] != repeated[:-1]
+            edge[ends] = True
+            cuts = np.flatnonzero(edge)
+            begin, stop = cuts[:-1][repeated[cuts[:-1]]], cuts[1:][repeated[cuts[:-1]]]
+            row = np.searchsorted(ends, begin, side="right")
+            first = np.append(0, ends)[row]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(table["anchor"].to_numpy()[row]),
+                    pa.array(table["content"].to_numpy()[row]),
+                    pa.array(begin - first),
+                    pa.array(stop - first + units.window - 1),
+                ],
+                ["anchor", "content", "begin", "stop"],
+            )
 
     wanted = rows.select("anchor", "content", "doc", "windows", "cut")
     return wanted.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _INSIDE)
@@ -334,31 +369,29 @@ def compared(rows: DataFrame, units: Units) -> DataFrame:
 def dealt_out(rows: DataFrame, units: Units) -> DataFrame:
     """The same for anchors with very many segments, window by window.
 
-    A window is filed under its own content, combined map-side, so that neither
-    the anchor nor a frequent window gathers in one task.
+    A window is filed under a 128-bit digest of its content, combined map-side, so
+    that neither the anchor nor a frequent window gathers in one task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for anchor, content, doc, count, cut in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            anchor, content, doc, count = (c.to_numpy() for c in batch.columns[:4])
+            begin = np.concatenate([np.zeros(0, np.int64), *(np.arange(n) for n in count)])
+            cuts = []
+            for cut, n in zip(batch.column(4).to_pylist(), count.tolist(), strict=True):
                 whole = units.again(cut)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(count, anchor)),
-                        pa.array(np.full(count, content)),
-                        pa.array(np.full(count, doc)),
-                        pa.array(np.arange(count, dtype=np.int64)),
-                        pa.array([units.cut(whole, n, n + units.window) for n in range(count)], pa.binary()),
-                    ],
-                    ["anchor", "content", "doc", "begin", "cut"],
-                )
+                cuts += [blake2b(units.cut(whole, k, k + units.window), digest_size=16).digest() for k in range(n)]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.repeat(x, count)) for x in (anchor, content, doc)), pa.array(begin), pa.array(cuts, pa.binary())],
+                ["anchor", "content", "doc", "begin", "digest"],
+            )
 
     wanted = rows.select("anchor", "content", "doc", "windows", "cut")
-    single = wanted.mapInArrow(run, "anchor long, content long, doc long, begin long, cut binary")
+    single = wanted.mapInArrow(run, "anchor long, content long, doc long, begin long, digest binary")
     least = cut_lineage(
-        single.groupBy("cut").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+        single.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
     )
-    return single.join(least, "cut").where("doc > least").select(
+    return single.join(least, "digest").where("doc > least").select(
         "anchor", "content", "begin", (F.col("begin") + units.window).alias("stop")
     )
 
@@ -384,40 +417,55 @@ def placed(rows: DataFrame, units: Units) -> DataFrame:
     return wanted.mapInArrow(run, "doc long, key long, begin long, stop long")
 
 
-def spans_of_texts(distinct: Distinct, units: Units) -> DataFrame:
+def spans_of_texts(distinct: Distinct, units: Units, size: int) -> DataFrame:
     """``key, doc, spans`` of the distinct texts in which something is repeated; stored."""
     texts = distinct.rows()
-    bits = anchor_bits(texts, units)
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(anchor_bits(texts, units, size))
+    free_shuffles(spark)
     pieces = cut_lineage(
-        shared_segments(texts, bits, units, with_cut=True)
+        shared_segments(texts, shared, units, with_cut=False)
         .groupBy("anchor", "content")
-        .agg(
-            F.min("doc").alias("doc"),
-            F.count(F.lit(1)).alias("texts"),
-            F.max("windows").alias("windows"),
-            F.max("cut").alias("cut"),
-        )
+        .agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("texts"), F.max("windows").alias("windows"))
     )
+    free_shuffles(spark)
     several = cut_lineage(
-        pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"), F.sum("texts").alias("all")).where("segments > 1")
+        pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments")).where("segments > 1")
+    )
+    # Only contents of anchors with several segments are compared; the others never travel.
+    cells = max(16, min(units.cells, (8 * several.count()).bit_length()))
+    chosen = spark.sparkContext.broadcast(anchor_cells(several, cells))
+    cuts = cut_lineage(
+        shared_segments(texts, chosen, units, with_cut=True)
+        .groupBy("anchor", "content")
+        .agg(F.max("cut").alias("cut"))
     )
-    different = pieces.join(several, "anchor")
+    chosen.destroy()
+    free_shuffles(spark)
+    different = pieces.join(several, "anchor").join(cuts, ["anchor", "content"])
     inside = compared(different.where(F.col("segments") <= CROWDED), units).unionByName(
         dealt_out(different.where(F.col("segments") > CROWDED), units)
     )
     listed = cut_lineage(
         inside.groupBy("anchor", "content").agg(F.collect_list(F.struct("begin", "stop")).alias("inside"))
     )
+    free_shuffles(spark)
     told = cut_lineage(
         pieces.select("anchor", "content", F.col("doc").alias("least"), "texts")
         .join(listed, ["anchor", "content"], "left")
         .where("texts > 1 or inside is not null")
         .drop("texts")
     )
-    found = shared_segments(texts, bits, units, with_cut=False).join(told, ["anchor", "content"])
-    return cut_lineage(
+    for done in (pieces, several, cuts, listed):
+        remove_stored(done)
+    found = shared_segments(texts, shared, units, with_cut=False).join(told, ["anchor", "content"])
+    spans = cut_lineage(
         placed(found, units).groupBy("key").agg(F.max("doc").alias("doc"), F.collect_list(F.struct("begin", "stop")).alias("spans"))
     )
+    shared.destroy()
+    remove_stored(told)
+    free_shuffles(spark)
+    return spans
 
 
 def marked(docs: DataFrame, units: Units) -> DataFrame:
@@ -426,8 +474,9 @@ def marked(docs: DataFrame, units: Units) -> DataFrame:
     ``first`` is the smallest id with the same text; where that is another one, the
     whole text is repeated. Otherwise ``spans`` are (null: nothing).
     """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     distinct = distinct_texts(docs)
-    spans = spans_of_texts(distinct, units)
+    spans = spans_of_texts(distinct, units, size)
     first = distinct.repeated.select("key", F.col("doc").alias("first"))
     marks = cut_lineage(
         first.join(spans, "key", "full_outer").select("key", F.coalesce("first", "doc").alias("first"), "spans")

@@ -89,5 +89,5 @@ def test_overlapping_spans_become_one(spark):
 def test_no_python_in_the_plan(spark):
     from tests.conftest import plan_of
 
-    df = spark.createDataFrame([(1, "a@b.co")], "doc_id long, text string")
+    df = spark.range(3).select(F.col("id").alias("doc_id"), F.concat(F.lit("a@b.co "), "id").alias("text"))
     assert not re.search("Python|Arrow|Pandas", plan_of(pii.redact(df)))
