@@ -10,9 +10,10 @@ classes.
 Equal texts are one text here. Links are looked for in three steps, each over
 pairs that the steps before left in different classes: every text against the
 smallest it meets anywhere, then against the smallest of each bucket, then every
-pair of a bucket that is still in two classes, the most alike first. So a large class costs a few alignments a text, and no pair that met goes
-unchecked: what isn't aligned is in one class already, or too far apart by length
-or word counts.
+pair of a bucket that is still in two classes, the most alike first, large buckets
+in cells of two parts. So a large class costs a few alignments a text, and no pair
+that met goes unchecked: what isn't aligned is in one class already, or too far
+apart by length or word counts.
 
 A text of fewer than five words is one shingle. A null text is empty; texts
 without words are one class. The class is named by its smallest ``doc_id`` (null
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from savormap.llm.align import similar
-from savormap.llm.cells import groups
+from savormap.llm.cells import CELL, across, by_cell, groups
 from savormap.llm.common import fresh, text_of
 from savormap.llm.components import components
 from savormap.llm.exact import digest_of
@@ -225,40 +226,57 @@ def classes_of_nodes(nodes: DataFrame, docs: DataFrame, share: float) -> DataFra
     classes = components(links)
 
     open_rows = still_open(_apart(buckets.select("key", "node", "words"), classes, "node", "class"))
-    parted = in_parts(open_rows.join(nodes.select("node", "keys", "bins"), "node"))
-    near_rows = cut_lineage(with_candidate(parted, share))
+    celled = in_cells(open_rows.join(nodes.select("node", "keys", "bins"), "node"))
+    near_rows = cut_lineage(with_candidate(celled, share))
     found = aligned(near_rows.join(held, "node"), share)
     return components(links.unionByName(found))
 
 
 def still_open(known: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Rows of buckets of several classes, with the number of parts they are cut into; stored.
+    """Rows of buckets of several classes, with how many parts their bucket has; stored.
 
-    A part has about ``block`` rows. Rows outside a bucket's most frequent class
-    visit every part besides living in one.
+    Rows of the most frequent class (``common``) and the others (``rare``) are cut
+    apart, each into parts of about ``block`` rows. A bucket of at most ``block``
+    rows is one part.
     """
     sizes = known.groupBy(F.col("key").alias("bucket"), "class").agg(F.count(F.lit(1)).alias("n"))
+    small, cut = F.col("rows") <= block, lambda n: F.ceil(n / block).cast("int")
     tops = cut_lineage(
         sizes.groupBy("bucket")
         .agg(F.sum("n").alias("rows"), F.max(F.struct("n", "class")).alias("top"))
         .where("top.n < rows")
-        .select("bucket", F.col("top.class").alias("common"), F.ceil(F.col("rows") / block).cast("int").alias("parts"))
+        .select(
+            "bucket",
+            F.col("top.class").alias("common"),
+            F.when(small, 1).otherwise(cut(F.col("rows") - F.col("top.n"))).alias("rare_parts"),
+            F.when(small, 0).otherwise(cut(F.col("top.n"))).alias("common_parts"),
+        )
     )
     return cut_lineage(known.join(tops, F.col("key") == F.col("bucket")).drop("key"))
 
 
-def in_parts(rows: DataFrame) -> DataFrame:
-    """Rows with each ``part`` they are in, and whether they only visit it."""
-    lives = F.struct(F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), F.lit(False).alias("visits"))
-    all_parts = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(p.alias("part"), F.lit(True).alias("visits"))
+def in_cells(rows: DataFrame) -> DataFrame:
+    """Rows with their part (``side``) and the cells ``i, j`` of two parts they meet in, i <= j.
+
+    Rare parts come first and meet all parts, themselves included; common parts
+    don't meet each other. So a cell holds two parts at most, and each pair that is
+    not within the common class meets in exactly one.
+    """
+    rare, common = F.col("rare_parts"), F.col("common_parts")
+    is_common = (F.col("class") == F.col("common")) & (common > 0)
+    within = lambda parts: F.pmod(F.xxhash64("node"), parts).cast("int")
+    last = F.when(is_common, rare).otherwise(rare + common) - 1
+    return (
+        rows.withColumn("side", F.when(is_common, rare + within(common)).otherwise(within(rare)))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), last)))
+        .withColumn("i", F.least("side", "_other"))
+        .withColumn("j", F.greatest("side", "_other"))
+        .drop("_other", "rare_parts", "common_parts")
     )
-    places = F.when(F.col("class") == F.col("common"), F.array(lives)).otherwise(F.concat(F.array(lives), all_parts))
-    return rows.withColumn("_place", F.explode(places)).select("*", "_place.part", "_place.visits").drop("_place", "parts")
 
 
-class _Part:
-    """Rows that meet in one part of a bucket."""
+class _Cell:
+    """Rows of a bucket that meet in one cell."""
 
     def __init__(self, table: pa.Table, share: float):
         self.node, self.label = table["node"].to_numpy(), table["class"].to_numpy()
@@ -266,17 +284,19 @@ class _Part:
         self.keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64).reshape(len(self.node), -1)
         self.fine = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
         self.coarse = self.fine.reshape(-1, COARSE, BINS // COARSE).sum(axis=2)
-        self.visits = table["visits"].to_numpy(zero_copy_only=False)
-        self.common, self.bucket = table["common"][0].as_py(), table["bucket"][0].as_py()
+        self.bucket, self.across = table["bucket"][0].as_py(), across(table)
+        side, self.rare = table["side"].to_numpy(), self.label != table["common"][0].as_py()
+        self.asking = self.rare & (side == table["i"][0].as_py())
+        self.asked = side == table["j"][0].as_py()
 
     def candidates(self, n: int) -> np.ndarray:
-        """Rows living here that visitor ``n`` may match, the most alike first.
+        """Rows that ``n``, one of those asking, may match, the most alike first.
 
         Lengths and word histograms rule rows out, coarse histograms first; nothing
         that could be a link goes. A pair of several buckets is seen in the first.
         """
-        rare = self.label != self.common
-        at = np.flatnonzero(~self.visits & (self.label != self.label[n]) & (~rare | (self.node < self.node[n])))
+        once = self.across | ~self.rare | (self.node < self.node[n])
+        at = np.flatnonzero(self.asked & (self.label != self.label[n]) & once)
         limit = ((1.0 - self.share) * np.maximum(self.words[at], self.words[n]) + 1e-9).astype(np.int64)
         for near in (
             lambda a: np.abs(self.words[a] - self.words[n]),
@@ -291,33 +311,29 @@ class _Part:
         return at[first][np.argsort(away[first], kind="stable")]
 
 
-def _meetings(rows: DataFrame) -> DataFrame:
-    return rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
-
-
 def with_candidate(rows: DataFrame, share: float) -> DataFrame:
-    """The rows that may match another in their part."""
-    schema = rows.select("bucket", "part", "node", "class", "common", "words", "visits", "keys", "bins")
+    """The rows that may match another in their cell."""
+    schema = rows.select(*CELL, "side", "node", "class", "common", "words", "keys", "bins")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, ("bucket", "part")):
-            part, kept = _Part(table, share), np.zeros(table.num_rows, bool)
-            for n in np.flatnonzero(part.visits):
-                at = part.candidates(n)
+        for table in groups(batches):
+            cell, kept = _Cell(table, share), np.zeros(table.num_rows, bool)
+            for n in np.flatnonzero(cell.asking):
+                at = cell.candidates(n)
                 kept[at] = True
                 kept[n] |= len(at) > 0
             if kept.any():
                 yield from table.filter(pa.array(kept)).combine_chunks().to_batches()
 
-    return _meetings(schema).mapInArrow(keep, schema.schema)
+    return by_cell(schema).mapInArrow(keep, schema.schema)
 
 
 def aligned(rows: DataFrame, share: float) -> DataFrame:
-    """``a, b`` of links between classes; once two classes are linked in a part, their other pairs are skipped."""
+    """``a, b`` of links between classes; once two classes are linked in a cell, their other pairs are skipped."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, ("bucket", "part")):
-            part, text = _Part(table, share), table["text"]
+        for table in groups(batches):
+            cell, text = _Cell(table, share), table["text"]
             joined: dict[int, int] = {}
 
             def root(label: int) -> int:
@@ -326,19 +342,19 @@ def aligned(rows: DataFrame, share: float) -> DataFrame:
                 return label
 
             links = []
-            for n in np.flatnonzero(part.visits):
+            for n in np.flatnonzero(cell.asking):
                 own = text[n].as_py()
-                for at in part.candidates(n):
-                    one, other = root(int(part.label[n])), root(int(part.label[at]))
+                for at in cell.candidates(n):
+                    one, other = root(int(cell.label[n])), root(int(cell.label[at]))
                     if one != other and similar(own, text[at].as_py(), share):
                         joined[one] = other
-                        links.append((int(part.node[n]), int(part.node[at])))
+                        links.append((int(cell.node[n]), int(cell.node[at])))
             if links:
                 one, other = zip(*links, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], ["a", "b"])
 
-    wanted = rows.select("bucket", "part", "node", "class", "common", "words", "visits", "keys", "bins", "text")
-    return cut_lineage(_meetings(wanted).mapInArrow(link, "a long, b long"))
+    wanted = rows.select(*CELL, "side", "node", "class", "common", "words", "keys", "bins", "text")
+    return cut_lineage(by_cell(wanted).mapInArrow(link, "a long, b long"))
 
 
 def near_classes(docs: DataFrame, share: float = SIMILARITY, sketches: int = SKETCHES) -> DataFrame:

@@ -1,6 +1,7 @@
 """Exact and near copies of texts and vectors against brute force."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,6 +140,36 @@ def test_near_classes_are_those_of_all_pairs(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(of.values()))
 
 
+def test_cells_of_open_buckets_are_bounded_and_meet_every_pair_once(spark):
+    prepared(spark)
+    rows = [(7, n, n) for n in range(300)] + [(8, n, 500 + n % 5 * (n > 120)) for n in range(250)] + [(9, n, n % 3) for n in range(20)]
+    known = spark.createDataFrame(rows, "key long, node long, class long").repartition(4)
+    cells = {}
+    for r in near.in_cells(near.still_open(known, block=32)).collect():
+        cells.setdefault((r["bucket"], r["i"], r["j"]), []).append(r)
+    assert max(map(len, cells.values())) <= 3 * 32  # two parts, whose sizes vary with the hash
+    met = Counter()
+    for (bucket, i, j), some in cells.items():
+        for n, a in enumerate(some):
+            for b in some[:n]:
+                if {a["side"], b["side"]} == {i, j} and a["class"] != b["class"]:
+                    met[bucket, *sorted((a["node"], b["node"]))] += 1
+    wanted = {(k, m, n) for k, m, c in rows for key, n, d in rows if key == k and m < n and c != d}
+    assert set(met) == wanted and set(met.values()) == {1}
+
+
+def test_near_classes_within_a_large_open_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near.still_open, "__defaults__", (16,))
+    draw = random.Random(5)
+    shared = [f"p{k}" for k in range(60)]
+    rows = []
+    for n in range(100):
+        own = [f"o{draw.randrange(10**6)}" for _ in range(40)]
+        rows += [(2 * n, " ".join([*shared, *own])), (2 * n + 1, " ".join(changed(draw, [*shared, *own], 12)))][: 1 + (n % 3 == 0)]
+    got = {r["doc_id"]: r["class_id"] for r in near.near_documents(frame(spark, rows)).collect()}
+    assert got == {doc_id: doc_id - doc_id % 2 for doc_id, _ in rows}  # 60 of 100 words shared elsewhere
+
+
 def test_near_of_few_rows(spark):
     assert near.near_documents(frame(spark, []).limit(0)).count() == 0
     got = near.near_documents(frame(spark, [(None, None), (None, None)])).collect()
