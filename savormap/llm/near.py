@@ -1,9 +1,11 @@
 """Near-duplicates by order MinHash and banded alignment.
 
-Each of ``SKETCHES`` hash functions takes the two smallest of a text's five-word
-shingles, told apart by their occurrence, and keeps them in the order of the
-text: texts meet where such ordered pairs agree, which follows their edit
-similarity. Texts that meet are aligned in a band; they are linked where
+Each of ``SKETCHES`` hash functions takes the two smallest of a text's shingles,
+told apart by their occurrence, and keeps them in the order of the text: texts
+meet where such ordered pairs agree, which follows their edit similarity. The
+words of a shingle follow from the threshold and the length of the text
+(``families``), so that texts at the threshold meet with probability ``RECALL`` or
+more wherever their edits are; at 0.8 three words, two in texts below some 100. Texts that meet are aligned in a band; they are linked where
 1 - edits / words of the longer one is at least ``SIMILARITY``. Linked texts form
 classes.
 
@@ -15,14 +17,17 @@ in cells of two parts. So a large class costs a few alignments a text, and no pa
 that met goes unchecked: what isn't aligned is in one class already, or too far
 apart by length or word counts.
 
-A text of fewer than five words is one shingle. A null text is empty; texts
+A text shorter than a shingle is one shingle. A null text is empty; texts
 without words are one class. The class is named by its smallest ``doc_id`` (null
 where all are null), and the rows with that id stay. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +35,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from savormap.llm.align import similar
+from savormap.llm.align import most_edits, similar
 from savormap.llm.cells import CELL, across, by_cell, groups
 from savormap.llm.common import fresh, text_of
 from savormap.llm.components import components
 from savormap.llm.exact import digest_of
 from savormap.storage import cut_lineage
 
-WORDS = 5
+WORDS = 5  # of a shingle at most
 SIMILARITY = 0.8
-SKETCHES = 48
+SKETCHES = 80
+RECALL = 0.99
+_LENGTHS = 4_096  # chances at greater lengths differ no more
 BLOCK = 512
 BINS = 256  # of the word histogram that bounds edit distances from below
 COARSE = 32
@@ -49,6 +56,46 @@ _WIDE = 8_192  # shingles up to which all functions are evaluated at once
 _MIX = tuple(np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
+class Family(NamedTuple):
+    """Shingles of ``size`` words, for texts of ``least`` to ``most`` words."""
+
+    size: int
+    least: int
+    most: float
+
+
+def chance(length: int, size: int, share: float) -> float:
+    """How likely one hash function brings two texts at the threshold together, ``length`` words the longer.
+
+    The worst case: substitutions so far apart that each changes ``size`` shingles.
+    """
+    edits = most_edits(length, length, share)
+    total = max(1, length - size + 1)
+    common = total - size * edits
+    union = 2 * total - common
+    return 1.0 if not edits else common * (common - 1) / (union * (union - 1)) if common > 1 else 0.0
+
+
+@cache
+def families(share: float, sketches: int = SKETCHES) -> tuple[Family, ...]:
+    """Sizes of shingles, the longest that reach ``RECALL``, and the texts they are for.
+
+    Shorter shingles take the lengths that longer ones don't reach. A text that may
+    match some on both sides of the border has the keys of both.
+    """
+    needed = 1 - (1 - RECALL) ** (1 / sketches)
+    found, most = [], math.inf
+    for size in range(WORDS, 0, -1):
+        missed = [n for n in range(_LENGTHS + 1) if chance(n, size, share) < needed]
+        least = missed[-1] + 1 if missed and size > 1 else 0
+        if least <= min(most, _LENGTHS):
+            found.append(Family(size, least, most))
+            most = math.floor(least / share) if least else 0
+        if not least:
+            break
+    return tuple(found)
+
+
 class WordHashes(dict):
     """Hashes of words met before."""
 
@@ -64,7 +111,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(words: np.ndarray, size: int = WORDS) -> np.ndarray:
+def shingles(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words; of the whole text where it is shorter."""
     size = max(1, min(size, len(words)))
     found = np.zeros(len(words) - size + 1, np.uint64)
@@ -87,11 +134,11 @@ def labelled(found: np.ndarray) -> np.ndarray:
     return mixed(found + occurrence * _MIX[0])
 
 
-def sketch(words: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+def sketch(words: np.ndarray, multipliers: np.ndarray, size: int) -> np.ndarray:
     """One key for each hash function."""
     if not len(words):
         return mixed(multipliers)
-    found = shingles(words)
+    found = shingles(words, size)
     marked = labelled(found)
     if len(found) == 1:
         return mixed(found[0] + multipliers)
@@ -108,6 +155,22 @@ def sketch(words: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
+def keys_of(words: np.ndarray, multipliers: np.ndarray, kinds: tuple[Family, ...]) -> np.ndarray:
+    """The keys of each family the text belongs to, in turn."""
+    return np.concatenate([sketch(words, multipliers + np.uint64(2 * k.size), k.size) for k in kinds if k.least <= len(words) <= k.most])
+
+
+def key_table(keys: list[bytes], words: np.ndarray, node: np.ndarray, kinds: tuple[Family, ...]) -> np.ndarray:
+    """Keys of texts, one column for each function of each family; where a text isn't in a family its own node."""
+    least, most = np.array([k.least for k in kinds]), np.array([k.most for k in kinds])
+    inside = (words[:, None] >= least) & (words[:, None] <= most)
+    flat = np.frombuffer(b"".join(keys), np.int64)
+    each = len(flat) // inside.sum()
+    table = np.repeat(node, len(kinds) * each).reshape(len(node), len(kinds), each)
+    table[inside] = flat.reshape(-1, each)
+    return table.reshape(len(node), -1)
+
+
 def histogram(words: np.ndarray) -> np.ndarray:
     """How many words fall into each bin, 255 at most.
 
@@ -118,10 +181,12 @@ def histogram(words: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(bins, minlength=BINS), 255).astype(np.uint8)
 
 
-def sketched(docs: DataFrame, sketches: int) -> DataFrame:
+def sketched(docs: DataFrame, share: float, sketches: int) -> DataFrame:
     """``node, digest, id, words, keys, bins`` of each distinct text; stored."""
     multipliers = np.random.default_rng(5).integers(0, 2**63, sketches, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
+    kinds = families(share, sketches)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
@@ -131,7 +196,7 @@ def sketched(docs: DataFrame, sketches: int) -> DataFrame:
             for text in batch.column(2).to_pylist():
                 words = np.fromiter(map(known.__getitem__, text.split()), np.uint64)
                 counts.append(len(words))
-                keys.append(sketch(words, multipliers).tobytes())
+                keys.append(keys_of(words, multipliers, kinds).tobytes())
                 bins.append(histogram(words).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(bins, pa.binary())],
@@ -154,11 +219,11 @@ def met(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([np.frombuffer(k, np.int64) for k in batch.column(2).to_pylist()])
-            times = keys.shape[1]
+            keys = batch.column(2).to_pylist()
+            times = [len(k) // 8 for k in keys]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys.reshape(-1)),
+                    pa.array(np.frombuffer(b"".join(keys), np.int64)),
                     pa.array(np.repeat(batch.column(0).to_numpy(), times)),
                     pa.array(np.repeat(batch.column(1).to_numpy(), times)),
                 ],
@@ -201,7 +266,7 @@ def _could_match(one: str, other: str, share: float) -> Column:
     return shorter >= longer - F.floor(longer * (1 - share) + 1e-9)
 
 
-def classes_of_nodes(nodes: DataFrame, docs: DataFrame, share: float) -> DataFrame:
+def classes_of_nodes(nodes: DataFrame, docs: DataFrame, share: float, kinds: tuple[Family, ...]) -> DataFrame:
     """``id, component`` of each node that isn't the smallest of its class."""
     buckets = met(nodes)
     some = buckets.select("node").distinct()
@@ -227,8 +292,8 @@ def classes_of_nodes(nodes: DataFrame, docs: DataFrame, share: float) -> DataFra
 
     open_rows = still_open(_apart(buckets.select("key", "node", "words"), classes, "node", "class"))
     celled = in_cells(open_rows.join(nodes.select("node", "keys", "bins"), "node"))
-    near_rows = cut_lineage(with_candidate(celled, share))
-    found = aligned(near_rows.join(held, "node"), share)
+    near_rows = cut_lineage(with_candidate(celled, share, kinds))
+    found = aligned(near_rows.join(held, "node"), share, kinds)
     return components(links.unionByName(found))
 
 
@@ -278,10 +343,10 @@ def in_cells(rows: DataFrame) -> DataFrame:
 class _Cell:
     """Rows of a bucket that meet in one cell."""
 
-    def __init__(self, table: pa.Table, share: float):
+    def __init__(self, table: pa.Table, share: float, kinds: tuple[Family, ...]):
         self.node, self.label = table["node"].to_numpy(), table["class"].to_numpy()
         self.words, self.share = table["words"].to_numpy(), share
-        self.keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int64).reshape(len(self.node), -1)
+        self.keys = key_table(table["keys"].to_pylist(), self.words, self.node, kinds)
         self.fine = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
         self.coarse = self.fine.reshape(-1, COARSE, BINS // COARSE).sum(axis=2)
         self.bucket, self.across = table["bucket"][0].as_py(), across(table)
@@ -311,13 +376,13 @@ class _Cell:
         return at[first][np.argsort(away[first], kind="stable")]
 
 
-def with_candidate(rows: DataFrame, share: float) -> DataFrame:
+def with_candidate(rows: DataFrame, share: float, kinds: tuple[Family, ...]) -> DataFrame:
     """The rows that may match another in their cell."""
     schema = rows.select(*CELL, "side", "node", "class", "common", "words", "keys", "bins")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches):
-            cell, kept = _Cell(table, share), np.zeros(table.num_rows, bool)
+            cell, kept = _Cell(table, share, kinds), np.zeros(table.num_rows, bool)
             for n in np.flatnonzero(cell.asking):
                 at = cell.candidates(n)
                 kept[at] = True
@@ -328,12 +393,12 @@ def with_candidate(rows: DataFrame, share: float) -> DataFrame:
     return by_cell(schema).mapInArrow(keep, schema.schema)
 
 
-def aligned(rows: DataFrame, share: float) -> DataFrame:
+def aligned(rows: DataFrame, share: float, kinds: tuple[Family, ...]) -> DataFrame:
     """``a, b`` of links between classes; once two classes are linked in a cell, their other pairs are skipped."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches):
-            cell, text = _Cell(table, share), table["text"]
+            cell, text = _Cell(table, share, kinds), table["text"]
             joined: dict[int, int] = {}
 
             def root(label: int) -> int:
@@ -359,8 +424,8 @@ def aligned(rows: DataFrame, share: float) -> DataFrame:
 
 def near_classes(docs: DataFrame, share: float = SIMILARITY, sketches: int = SKETCHES) -> DataFrame:
     """``digest, class_id, keeper`` of each distinct text; ``keeper`` is the digest of the text that stays."""
-    nodes = sketched(docs, sketches)
-    classes = classes_of_nodes(nodes, docs, share)
+    nodes = sketched(docs, share, sketches)
+    classes = classes_of_nodes(nodes, docs, share, families(share, sketches))
     named = cut_lineage(_apart(nodes.select("node", "digest", "id"), classes, "node", "class"))
     least = cut_lineage(
         named.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("least"))

@@ -170,6 +170,39 @@ def test_near_classes_within_a_large_open_bucket(spark, monkeypatch):
     assert got == {doc_id: doc_id - doc_id % 2 for doc_id, _ in rows}  # 60 of 100 words shared elsewhere
 
 
+def replaced(draw, words, edits, even):
+    at = range(4, len(words), 5) if even else draw.sample(range(len(words)), edits)
+    return [f"n{draw.randrange(10**9)}" if n in set(at) else w for n, w in enumerate(words)]
+
+
+def test_copies_at_the_threshold_meet():
+    draw, kinds = random.Random(4), near.families(near.SIMILARITY)
+    multipliers = np.random.default_rng(5).integers(0, 2**63, near.SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    hashes = near.WordHashes()
+    for length in (5, 7, 10, 20, 50, 86, 100, 107, 125, 200, 400):
+        for share, even in ((0.8, True), (0.8, False), (0.85, False), (0.9, False)):
+            found = 0
+            for _ in range(200):
+                words = [f"w{draw.randrange(10**9)}" for _ in range(length)]
+                other = replaced(draw, words, align.most_edits(length, length, share), even)
+                for cut in range(align.most_edits(length, length, share) // 2 if not even else 0):
+                    del other[other.index(next(w for w in other if w[0] == "n"))]
+                pair = [np.fromiter(map(hashes.__getitem__, w), np.uint64) for w in (words, other)]
+                one, two = (near.keys_of(w, multipliers, kinds) for w in pair)
+                found += bool(set(one.tolist()) & set(two.tolist()))
+            assert found >= 195, (length, share, even, found)
+
+
+def test_every_fifth_word_changed_is_a_copy(spark):
+    draw, rows = random.Random(6), []
+    for n, length in enumerate([5, 10, 20, 50, 90, 105, 110, 130, 200]):
+        words = [f"w{draw.randrange(10**9)}" for _ in range(length)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(replaced(draw, words, 0, True)))]
+    rows += [(100, "four words and more"), (101, "four words and")]
+    got = {r["doc_id"]: r["class_id"] for r in near.near_documents(frame(spark, rows)).collect()}
+    assert got == {d: d - d % 2 for d, _ in rows[:-2]} | {100: 100, 101: 101}
+
+
 def test_near_of_few_rows(spark):
     assert near.near_documents(frame(spark, []).limit(0)).count() == 0
     got = near.near_documents(frame(spark, [(None, None), (None, None)])).collect()
