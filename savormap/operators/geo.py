@@ -77,7 +77,7 @@ def with_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) ->
 
     ``photo_pages`` says how many pages there are. ``further_photos`` gives the rest.
     """
-    pages = photo_lists(_photos_of(found, photos), rows)
+    pages = all_photos(found, photos, rows)
     counts = pages.groupBy("place_id").agg(F.count(F.lit(1)).alias("photo_pages"))
     first = pages.where("part = 0").select("place_id", "photos").join(counts, "place_id")
     return found.join(first, "place_id", "left")
@@ -85,7 +85,12 @@ def with_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) ->
 
 def further_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) -> DataFrame:
     """Later pages of the photos of places in range: ``place_id, part, photos``, from part 1 on."""
-    return photo_lists(_photos_of(found, photos), rows).where("part > 0")
+    return all_photos(found, photos, rows).where("part > 0")
+
+
+def all_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) -> DataFrame:
+    """All pages of the photos of places in range: ``place_id, part, photos``."""
+    return photo_lists(_photos_of(found, photos), rows)
 
 
 def _photos_of(found: DataFrame, photos: DataFrame) -> DataFrame:

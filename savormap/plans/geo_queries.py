@@ -173,15 +173,24 @@ def range_message_pages(spark, sf):
 def places_with_photos(spark, sf):
     keep = ["place_id", *[c for c in geo.PLACE_DETAILS if c != "dist_km"]]
     found = geo.within_city(views.places(spark, sf), CITY, LAT, LON, KM, keep=keep)
-    shown = geo.with_photos(found, views.photos(spark, sf))
+    pages = geo.all_photos(cut_lineage(found), views.photos(spark, sf))
     joined = lambda f: F.array_join(F.transform("photos", f), ",")
-    return shown.select(
+    written = pages.select(
         "place_id",
-        *[F.round(c, 6).alias(c) if c == "dist_km" else c for c in geo.PLACE_DETAILS],
-        F.coalesce(F.size("photos"), F.lit(0)).cast("long").alias("n_photos"),
-        joined(lambda p: p["photo_id"].cast("string")).alias("photo_ids"),
+        "part",
+        F.size("photos").alias("n"),
+        joined(lambda p: p["photo_id"].cast("string")).alias("ids"),
         joined(lambda p: F.coalesce(p["caption"], F.lit("-"))).alias("captions"),
     )
+    in_order = F.array_sort(F.collect_list(F.struct("part", "ids", "captions")))
+    whole = written.groupBy("place_id").agg(F.sum("n").alias("n_photos"), in_order.alias("pages"))
+    return found.join(whole, "place_id", "left").select(
+        "place_id",
+        *[F.round(c, 6).alias(c) if c == "dist_km" else c for c in geo.PLACE_DETAILS],
+        F.coalesce("n_photos", F.lit(0)).cast("long").alias("n_photos"),
+        F.array_join("pages.ids", ",").alias("photo_ids"),
+        F.array_join("pages.captions", ",").alias("captions"),
+    )
 
 
 
@@ -218,7 +227,7 @@ def range_message_entries(spark, sf):
         "request_id",
         F.from_json("value", messages.select("user_id", "business_id_listInRange").schema).alias("m"),
     ).select("request_id", "m.user_id", F.posexplode("m.business_id_listInRange"))
-    return parsed.select(
+    entries = parsed.select(
         "request_id",
         "user_id",
         F.col("pos").cast("long").alias("pos"),
@@ -226,8 +235,13 @@ def range_message_entries(spark, sf):
         "col.name",
         "col.stars",
         F.round("col.dist_km", 6).alias("dist_km"),
-        F.coalesce(F.size("col.photos"), F.lit(0)).cast("long").alias("n_photos"),
+        F.coalesce(F.size("col.photos"), F.lit(0)).cast("long").alias("_shown"),
     )
+    found = geo.range_join(views.places(spark, sf), views.requests(spark, sf), same_city=True)
+    further = geo.further_photos(found, views.photos(spark, sf))
+    more = further.groupBy("place_id").agg(F.sum(F.size("photos")).alias("_more"))
+    n_photos = F.col("_shown") + F.coalesce("_more", F.lit(0))
+    return entries.join(more, "place_id", "left").withColumn("n_photos", n_photos).drop("_shown", "_more")
 
 
 @query(

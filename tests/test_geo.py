@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from savormap.functions.geo import distance_km, wkt_latitude, wkt_longitude
 from savormap.operators import geo
+from savormap.plans import geo_queries
 from tests.conftest import plan_of
 
 PLACES = "place_id long, name string, address string, city string, latitude double, longitude double, stars double, hours string"
@@ -139,3 +140,20 @@ def test_places_appear_once_and_in_order_over_pages(spark, scattered):
     pages = sorted(geo.range_messages(listed.drop("photo_pages"), rows=100).collect(), key=lambda r: r["part"])
     order = [(e["dist_km"], e["place_id"]) for p in pages for e in p["business_id_listInRange"]]
     assert len(pages) > 1 and order == sorted(order) and len(set(order)) == found.count()
+
+
+def test_queries_show_all_photos_of_a_hot_place(spark, monkeypatch):
+    places = spark.createDataFrame([place(1, 45.5, -122.5, geo_queries.CITY), place(2, 45.51, -122.5, geo_queries.CITY)], PLACES)
+    photos = spark.createDataFrame([(1, n, None if n % 2 else f"c{n}") for n in range(350)], "place_id long, photo_id long, caption string")
+    requests = spark.createDataFrame(
+        [(1, "u1", geo_queries.CITY, 45.5, -122.5, 20.0)],
+        "request_id long, user_id string, city string, center_lat double, center_lon double, km double",
+    )
+    for name, table in (("places", places), ("photos", photos), ("requests", requests)):
+        monkeypatch.setattr(geo_queries.views, name, lambda spark, sf, table=table: table)
+    shown = {r["place_id"]: r for r in geo_queries.places_with_photos(spark, "").collect()}
+    assert shown[1]["n_photos"] == 350 and shown[1]["photo_ids"] == ",".join(map(str, range(350)))
+    assert shown[1]["captions"] == ",".join("-" if n % 2 else f"c{n}" for n in range(350))
+    assert shown[2]["n_photos"] == 0 and shown[2]["photo_ids"] is None
+    entries = geo_queries.range_message_entries(spark, "").collect()
+    assert {r["place_id"]: r["n_photos"] for r in entries} == {1: 350, 2: 0}
