@@ -235,6 +235,23 @@ def test_vectors_against_all_pairs(spark, block):
     assert (got[None]["n_links"], got[None]["component_id"], got[None]["kept"]) == (0, None, False)
 
 
+@pytest.mark.parametrize("mean", [0.0, 0.5, 0.65, 0.8])
+def test_links_at_the_threshold_meet_where_vectors_share_a_mean(mean):
+    draw = np.random.default_rng(0)
+    shared = np.zeros(64)
+    shared[0] = np.sqrt(mean / (1 - mean))
+    one = vectors.units(draw.normal(size=(1_500, 64)) / 8 + shared)
+    away = draw.normal(size=one.shape)
+    away = vectors.units(away - (away * one).sum(axis=1, keepdims=True) * one)
+    cosine = draw.uniform(0.95, 0.96, (len(one), 1))
+    other = one * cosine + away * np.sqrt(1 - cosine**2)
+    turns = vectors.rotations(np.concatenate([one, other]))
+    a, b = vectors.codes_of(one, turns), vectors.codes_of(other, turns)
+    met = np.any([np.bitwise_count(x ^ y) <= 1 for x, y in zip(vectors.parts(a), vectors.parts(b), strict=True)], axis=0)
+    within = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= vectors.RADIUS
+    assert (met & within).mean() >= 0.99
+
+
 def test_vectors_of_an_empty_table(spark):
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
