@@ -35,7 +35,7 @@ PRE_TOKENS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 SPECIALS = regex.compile("(" + "|".join(map(regex.escape, SPECIAL)) + ")")
-_LONG_SPACE = regex.compile(r"\s{1024}")
+LONG_SPACE = regex.compile(r"\s{1024}")
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -55,7 +55,7 @@ def encoding(vocabulary: str = VOCABULARY) -> tiktoken.Encoding:
 def ids_of(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
     """Ids of a whole text; special strings become their ids, as the tokenizer's default."""
     known = encoding(vocabulary)
-    if not _LONG_SPACE.search(text):
+    if not LONG_SPACE.search(text):
         return known.encode_to_numpy(text, allowed_special="all")
     # The library's own splitting gives up on very long white space; its merging doesn't.
     found: list[int] = []

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from savormap.llm import (
+    align_tokens,
     counts,
     exact,
+    extract,
     lexicon,
     near,
+    negatives,
     pack,
     passages,
     pii,
@@ -181,3 +184,40 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_repeats(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query()
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers cover the same bytes, for every document."""
+    return align_tokens.alignment(documents(spark, sf_dir))
+
+
+@query(
+    """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                 list_dot_product(a.e, b.e)::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id != b.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    n AS (SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+                 row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+          FROM p JOIN s USING (anchor_id)
+          WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+    """
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that score nearly as high as each anchor's positives."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(vectors, moved)
