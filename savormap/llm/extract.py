@@ -21,19 +21,23 @@ pages of their own. An empty table gives no rows; further columns don't matter.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from savormap.llm import sketch
 from savormap.llm.markup import BLOCK, RAW, Page, attributes
 from savormap.storage import cut_lineage
 
 FEWEST = 3  # pages
 SHARE = 0.02  # of the host's pages
 MANY = 50  # pages that are enough whatever the share
+LISTED = 1 << 20  # templates of the broadcast table: 16 MB
+CELLS = 27  # bits of a cell's number in the sketch of pages: 32 MB
 
 NEVER = RAW | frozenset(
     "head nav aside footer form dialog search button select template svg math canvas object audio video datalist menu".split()
@@ -100,55 +104,80 @@ class Cleared:
     def _roots(self, tag: str, outside: list[bool]) -> list[int]:
         return [n for n, t in enumerate(self.page.tag) if t == tag and not outside[n]]
 
-    def candidates(self) -> dict[bytes, list[int]]:
-        """Elements that go if their subtree recurs on the host, by its hash."""
+    def candidates(self, host: str) -> dict[bytes, list[int]]:
+        """Elements that go if their subtree recurs on the host, by a digest of host and subtree."""
         page = self.page
-        filled, digests = page.has_text(), page.digests()
+        filled, digests, start = page.has_text(), page.digests(), host.encode()
         found: dict[bytes, list[int]] = {}
         for node in range(1, len(page.tag)):
             tag = page.tag[node]
             if filled[node] and not self.holds[node] and tag in BLOCK and not (self.inside[node] and tag in PROSE):
-                found.setdefault(digests[node], []).append(node)
+                found.setdefault(blake2b(start + digests[node], digest_size=16).digest(), []).append(node)
         return found
 
-    def text(self, recurring: list[bytes]) -> str:
+    def text(self, recurring: Iterable[int] = ()) -> str:
         """The main text, without recurring subtrees and without what is declared to be none."""
         dropped = list(self.never)
-        if recurring:
-            held = self.candidates()
-            for digest in recurring:
-                for node in held.get(digest, ()):
-                    dropped[node] = True
+        for node in recurring:
+            dropped[node] = True
         return self.page.text(dropped, self.inside if self.roots else [True] * len(dropped))
 
 
+class Templates:
+    """A table of digests of recurring subtrees, 16 bytes each."""
+
+    def __init__(self, digests: list[bytes]):
+        halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+        self.first, self.second = halves[np.lexsort((halves[:, 1], halves[:, 0]))].T.copy()
+
+    def has(self, digests: list[bytes]) -> np.ndarray:
+        """Whether each digest is listed."""
+        if not len(self.first) or not digests:
+            return np.zeros(len(digests), bool)
+        first, second = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2).T
+        found = np.zeros(len(digests), bool)
+        at = np.searchsorted(self.first, first)
+        while True:  # digests whose first halves agree lie side by side
+            here = np.minimum(at, len(self.first) - 1)
+            open_ = (self.first[here] == first) & (at < len(self.first)) & ~found
+            if not open_.any():
+                return found
+            found |= open_ & (self.second[here] == second)
+            at = at + 1
+
+
 def host_of(url: Column) -> Column:
     """Host of an address in lower case, without user and port; empty if there is none."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
+def _page_key(url: str | None, html: str) -> bytes:
+    return blake2b(f"{url or ''}\n{html}".encode(), digest_size=16).digest()
+
+
 def subtrees(pages: DataFrame) -> DataFrame:
     """``page, host, context, digest``: once for each different subtree of a page that may be a template."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for page, host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for url, host, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 cleared = Cleared(html)
                 context = blake2b((cleared.page.title or html).encode(), digest_size=16).digest()
-                rows.extend((page, host, context, digest) for digest in cleared.candidates())
+                page = _page_key(url, html)
+                rows.extend((page, host, context, digest) for digest in cleared.candidates(host))
             kinds = (pa.binary(), pa.string(), pa.binary(), pa.binary())
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["page", "host", "context", "digest"]
             )
 
-    wanted = pages.where("host != '' and html != ''").select("page", "host", "html")
+    wanted = pages.where("host != '' and html != ''").select("url", "host", "html")
     return wanted.mapInArrow(run, "page binary, host string, context binary, digest binary")
 
 
 def recurring(found: DataFrame, fewest: int = FEWEST, share: float = SHARE, many: int = MANY) -> DataFrame:
-    """``host, digest`` of the subtrees that are on many pages of their host.
+    """``digest, on`` of the subtrees that are on many pages of their host, and on how many.
 
     Repeats of a page are combined before pages are counted, so neither a large host
     nor a frequent subtree gathers in one task.
@@ -162,34 +191,74 @@ def recurring(found: DataFrame, fewest: int = FEWEST, share: float = SHARE, many
         .where(F.col("on") >= fewest)
     )
     enough = (F.col("on") >= F.col("pages") * share) | (F.col("on") >= many)
-    return on.join(sizes, "host").where(enough).select("host", "digest")
+    return on.join(sizes, "host").where(enough).select("digest", "on")
 
 
-def main_text(pages: DataFrame, fewest: int = FEWEST, share: float = SHARE, many: int = MANY) -> DataFrame:
+def main_text(
+    pages: DataFrame, fewest: int = FEWEST, share: float = SHARE, many: int = MANY, listed: int = LISTED
+) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
-    A page meets the list of its recurring subtrees, no longer than the page itself,
-    by a digest of the row, so equal rows share one.
+    The ``listed`` most frequent templates, a table of fixed size, are broadcast. A page
+    that has others meets their list, no longer than the page itself, by a join; a
+    sketch of such pages' keys keeps all others out of the shuffle.
     """
-    html = F.coalesce(pages["html"], F.lit(""))
-    key = F.unhex(F.sha2(F.concat(F.coalesce(pages["url"], F.lit("")), F.lit("\n"), html).cast("binary"), 256))
+    spark = pages.sparkSession
     rows = pages.select(
-        pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"), host_of(pages["url"]).alias("host"),
-        html.alias("html"), key.alias("page"),
-    )
-    found = cut_lineage(subtrees(rows))
-    marks = (
-        found.select("page", "host", "digest")
-        .distinct()
-        .join(recurring(found, fewest, share, many), ["host", "digest"])
-        .groupBy("page")
-        .agg(F.collect_list("digest").alias("recurring"))
+        pages["page_id"].cast("long").alias("page_id"),
+        pages["url"].alias("url"),
+        host_of(pages["url"]).alias("host"),
+        F.coalesce(pages["html"], F.lit("")).alias("html"),
     )
+    found = cut_lineage(subtrees(rows))
+    often = cut_lineage(recurring(found, fewest, share, many))
+    top = often.orderBy(F.desc("on"), "digest").limit(listed).select("digest").toArrow()
+    table = spark.sparkContext.broadcast(Templates(top["digest"].to_pylist()))
+
+    @F.arrow_udf("boolean")
+    def is_listed(digests: pa.Array) -> pa.Array:
+        return pa.array(table.value.has(digests.to_pylist()))
 
     @F.arrow_udf("string")
-    def cleared(html: pa.Array, listed: pa.Array) -> pa.Array:
-        pairs = zip(html.to_pylist(), listed.to_pylist(), strict=True)
-        return pa.array([Cleared(h).text(r or []) for h, r in pairs], pa.string())
+    def cleared(html: pa.Array, host: pa.Array, further: pa.Array) -> pa.Array:
+        out = []
+        for source, name, others in zip(html.to_pylist(), host.to_pylist(), further.to_pylist(), strict=True):
+            page = Cleared(source)
+            held = page.candidates(name) if name else {}
+            known, also = table.value.has(list(held)), set(others or ())
+            out.append(page.text(n for (d, at), k in zip(held.items(), known, strict=True) if k or d in also for n in at))
+        return pa.array(out, pa.string())
+
+    none = F.lit(None).cast("array<binary>")
+    rest = cut_lineage(often.where(~is_listed("digest")).select("digest"))
+    if rest.isEmpty():
+        marked = rows.withColumn("further", none)
+    else:
+        marks = cut_lineage(
+            found.select("page", "digest").distinct().join(rest, "digest").groupBy("page").agg(F.collect_list("digest").alias("further"))
+        )
+        bits = sketch.counted(marks.select("page"), _first_halves, CELLS, least=1)
+        shared = spark.sparkContext.broadcast(bits)
+
+        @F.arrow_udf("binary")
+        def key(url: pa.Array, html: pa.Array) -> pa.Array:
+            return pa.array(map(_page_key, url.to_pylist(), html.to_pylist()), pa.binary())
+
+        @F.arrow_udf("boolean")
+        def may_have(url: pa.Array, html: pa.Array) -> pa.Array:
+            keys = list(map(_page_key, url.to_pylist(), html.to_pylist()))
+            return pa.array(shared.value.has(_halves(keys)))
+
+        has = may_have("url", "html")
+        joined = rows.where(has).withColumn("page", key("url", "html")).join(marks, "page", "left").drop("page")
+        marked = rows.where(~has).withColumn("further", none).unionByName(joined)
+    texts = marked.withColumn("text", cleared("html", "host", "further"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def _halves(keys: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(keys), np.uint64)[::2]
+
 
-    joined = rows.join(marks, "page", "left").withColumn("text", cleared("html", "recurring"))
-    return joined.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+def _first_halves(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield _halves(batch.column(0).to_pylist())
