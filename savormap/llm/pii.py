@@ -246,30 +246,66 @@ def find(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), spans(text_of(docs)).alias("spans"))
 
 
-def redact(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, each span in ``text`` replaced by its kind in angle brackets.
+def _masked(text: Column, found: Column) -> Column:
+    """The text with its spans replaced, by blocks of spans, so that long lists don't cost their square.
 
-    Overlapping spans become one, named by the first. ``n_chars``, where there is
-    one, counts the new text.
+    A block has the text from its first span to that of the next; what is covered at
+    its beginning comes from the furthest end of the blocks before.
     """
-    name = fresh(docs, "spans")
-    start = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
+    count = F.size(found)
+    numbers = F.sequence(F.lit(0), F.floor((count - 1) / _BLOCK).cast("int"))
 
-    def masked(text: Column, found: Column) -> Column:
+    def part(block: Column) -> Column:
+        return F.slice(found, block * _BLOCK + 1, F.lit(_BLOCK))
+
+    def first(block: Column) -> Column:
+        return F.element_at(found, F.least(block * _BLOCK + 1, count))["start"]
+
+    def replaced(block: Column, here: Column) -> Column:
         def add(acc: Column, span: Column) -> Column:
             label = F.concat(F.lit("<"), F.upper(span["kind"]), F.lit(">"))
-            gap = F.substring(text, acc["at"] + 1, span["start"] - acc["at"])
+            gap = F.substring(here["text"], acc["at"] - here["begin"] + 1, span["start"] - acc["at"])
             parts = F.when(span["start"] >= acc["at"], F.concat(acc["parts"], F.array(gap, label))).otherwise(acc["parts"])
             return F.struct(parts.alias("parts"), F.greatest(acc["at"], span["end"]).alias("at"))
 
         def finish(acc: Column) -> Column:
-            tail = F.substring(text, acc["at"] + 1, F.length(text))
-            return F.array_join(F.concat(acc["parts"], F.array(tail)), "")
+            left = F.greatest(here["stop"] - acc["at"], F.lit(0))
+            return F.array_join(F.concat(acc["parts"], F.array(F.substring(here["text"], acc["at"] - here["begin"] + 1, left))), "")
+
+        start = F.struct(F.array().cast("array<string>").alias("parts"), here["at"].alias("at"))
+        return F.aggregate(part(block), start, add, finish)
+
+    def pieces(furthest: Column) -> Column:
+        def piece(block: Column) -> Column:
+            begin = F.when(block == 0, F.lit(0)).otherwise(first(block))
+            stop = F.when((block + 1) * _BLOCK < count, first(block + 1)).otherwise(F.length(text))
+            covered = F.coalesce(F.array_max(F.slice(furthest, F.lit(1), block)), F.lit(0))
+
+            def cut(ends: Column) -> Column:
+                held = F.struct(
+                    ends["begin"].alias("begin"),
+                    ends["stop"].alias("stop"),
+                    F.greatest(ends["begin"], ends["covered"]).alias("at"),
+                    F.substring(text, ends["begin"] + 1, ends["stop"] - ends["begin"]).alias("text"),
+                )
+                return let(held, lambda here: replaced(block, here))
+
+            return let(F.struct(begin.alias("begin"), stop.alias("stop"), covered.alias("covered")), cut)
 
-        return F.aggregate(found, start, add, finish)
+        return F.array_join(F.transform(numbers, piece), "")
 
+    return let(F.transform(numbers, lambda b: F.array_max(F.transform(part(b), lambda s: s["end"]))), pieces)
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, each span in ``text`` replaced by its kind in angle brackets.
+
+    Overlapping spans become one, named by the first. ``n_chars``, where there is
+    one, counts the new text.
+    """
+    name = fresh(docs, "spans")
     marked = docs.withColumn(name, spans(text_of(docs)))
-    text = F.when(F.size(name) == 0, F.col("text")).otherwise(masked(F.col("text"), F.col(name)))
+    text = F.when(F.size(name) == 0, F.col("text")).otherwise(_masked(F.col("text"), F.col(name)))
     changed = marked.withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

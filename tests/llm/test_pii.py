@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +92,27 @@ def test_no_python_in_the_plan(spark):
 
     df = spark.range(3).select(F.col("id").alias("doc_id"), F.concat(F.lit("a@b.co "), "id").alias("text"))
     assert not re.search("Python|Arrow|Pandas", plan_of(pii.redact(df)))
+
+
+def redacted(text: str, spans) -> str:
+    """Spans replaced one after another; overlapping ones become one."""
+    parts, at = [], 0
+    for s in spans:
+        if s["start"] >= at:
+            parts += [text[at : s["start"]], f"<{s['kind'].upper()}>"]
+        at = max(at, s["end"])
+    return "".join([*parts, text[at:]])
+
+
+def test_long_lists_of_spans(spark):
+    draw = random.Random(8)
+    bits = [*BITS, "+4111 1111 1111 1111.a@b.co", "é", " ", " 10.0.0.1", " x@y.zz"]
+    rows = [(n, "".join(draw.choice(bits) for _ in range(draw.choice([3, 1_000, 5_000])))) for n in range(30)]
+    rows.append((99, "ü jo@mail.org " * 100_000))
+    df = prepared(spark).createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spans = {r["doc_id"]: r["spans"] for r in pii.find(df).collect()}
+    assert len(spans[99]) == 100_000
+    begin = time.perf_counter()
+    got = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    assert time.perf_counter() - begin < 60
+    assert got == {n: redacted(t, spans[n]) for n, t in rows}
