@@ -67,14 +67,15 @@ def remove_scratch(spark: SparkSession) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Store the rows as a table in the shared folder and read them from there.
 
     Later stages then neither recompute them nor depend on the executors that
     made them, read only the columns they need, and know the table's size.
+    ``compression`` names another codec than the session's.
     """
     path = scratch_path(df.sparkSession, "step")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
