@@ -69,14 +69,14 @@ def counted(
 ) -> Bits:
     """Cells that items of ``rows`` hit at least ``least`` (1 or 2) times.
 
-    ``items`` gives arrays of hashes for a batch; repeats inside one array count once.
+    ``items`` gives arrays of hashes for a batch.
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
             for some in items(batch):
-                held.append(np.unique(some))
+                held.append(some)
                 count += len(held[-1])
                 if count > _HELD:
                     yield from _packed(np.concatenate(held), cells)

@@ -4,16 +4,21 @@ The task is the same for bytes and words: find, in each text, the windows that
 also start in a document with a smaller id. Windows of all texts are far too many
 to shuffle, so
 
-- equal texts are compared once: all but the one with the smallest id repeat it;
-- each window is filed under the smallest hash of the shorter runs inside it, its
-  anchor, so neighbouring windows mostly share one; they form a segment;
-- a merged count-min sketch of anchors per text rules out those of one text;
+- texts are cut into chunks at places that their own content chooses. The windows
+  that start in a chunk are covered by its content; where a document with a smaller
+  id has an equal chunk, they are all repeated. What is left of equal chunks is the
+  one of the smallest id, and any window of others starts there too;
+- of the chunks that are left, each window is filed under the smallest hash of the
+  shorter runs inside it, its anchor, so neighbouring windows mostly share one; they
+  form a segment. A merged count-min sketch of anchors per text rules out those of
+  one text;
 - segments that remain are grouped by content with the smallest id each; where an
   anchor has several different segments their windows are compared exactly.
 
-Rows of frequent contents are combined before they are shuffled, and an anchor
-with very many different segments has its windows dealt out by their own hashes.
-No window is dropped: the sketch only overestimates.
+Equal contents are told by a 128-bit cryptographic digest of their bytes. Rows of
+equal contents are combined before they are shuffled, and an anchor with very many
+different segments has its windows dealt out by such digests. No window is dropped:
+sketches only overestimate.
 
 Ids count as they are; a null id counts as larger than any. Rows that share an id
 don't repeat each other.
@@ -27,21 +32,20 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from savormap.llm import sketch
-from savormap.llm.exact import digest_of
 from savormap.llm.near import mixed
 from savormap.storage import cut_lineage, free_shuffles, remove_stored
 
 LARGEST_ID = 2**63 - 1
 MOST_WINDOWS = 64  # of a segment; periodic texts would make it endless
-CROWDED = 4_096  # different segments of one anchor from which their windows are dealt out
-TEXT_CELLS = 24
-_CHUNK = 1 << 20  # symbols looked at together
-_BATCH = 1 << 17  # windows compared together, or those of one anchor
+LONGEST_CHUNK = 4_096  # windows
+CROWDED = 16_384  # different segments of one anchor from which their windows are dealt out
+ROW_CELLS = 27  # bits of a cell's number, at most, in sketches of chunks and of rows
+_CHUNK = 1 << 18  # symbols looked at together
+_BATCH = 1 << 16  # windows compared together, or those of one anchor
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -100,6 +104,29 @@ class Windows:
     width: int
 
 
+@dataclass
+class Flat:
+    """The texts of a batch, one after another, in their plain form.
+
+    ``edges`` says at which unit each text begins; ``begin`` and ``end`` are the places
+    of the units in ``raw`` (None: units are bytes).
+    """
+
+    raw: np.ndarray
+    edges: np.ndarray
+    begin: np.ndarray | None = None
+    end: np.ndarray | None = None
+    hashes: np.ndarray | None = None
+
+    def cutter(self) -> Callable[[int, int], memoryview]:
+        """What gives the content of some units."""
+        view = memoryview(self.raw)
+        if self.begin is None:
+            return lambda a, b: view[a:b]
+        begin, end = self.begin, self.end
+        return lambda a, b: view[begin[a] : end[b - 1]] if b > a else view[:0]
+
+
 @dataclass(frozen=True)
 class Units:
     """How texts are read: the window, its shorter runs, and what a unit is."""
@@ -108,133 +135,206 @@ class Units:
     run: int
     cells: int  # bits of a cell's number in the sketch, at most
     size: int  # bytes of a unit, about
-    read: Callable[[str], Sequence]  # the units of a text
-    hashes: Callable[[Sequence], np.ndarray]  # a 64-bit hash of each unit
-    cut: Callable[[Sequence, int, int], bytes]  # the content of some units
+    chunk: int  # units of a chunk, about
+    flat: Callable[[pa.Array], Flat]  # the texts of a column
+    runs: Callable[[Flat, int, int], np.ndarray]  # hashes of the runs that start in a range of units
+    breaks: Callable[[Flat], np.ndarray]  # for each unit whether a chunk may begin there
+    hashes: Callable[[Sequence], np.ndarray]  # a 64-bit hash of each unit of a content
     again: Callable[[bytes], Sequence]  # the units of a content
     join: Callable[[list[Sequence]], Sequence]  # one after another
     alike: Callable[[Windows], np.ndarray]  # a label for each window, the same for equal ones of a group
 
 
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of texts without nulls, and where each begins (and the last ends)."""
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, ends, data = column.buffers()
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    edges = np.frombuffer(ends, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _inside(begin: np.ndarray, stop: np.ndarray, count: int) -> np.ndarray:
+    """Which of ``count`` places lie in one of some ranges that don't overlap."""
+    step = np.zeros(count + 1, np.int8)
+    np.add.at(step, begin, 1)
+    np.add.at(step, stop, -1)
+    return np.cumsum(step[:-1], dtype=np.int8) > 0
+
+
+def _pieces(begin: np.ndarray, length: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges cut into pieces of ``most`` at most: which range, begin and length."""
+    count = -(-length // most)
+    which = np.repeat(np.arange(len(begin)), count)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    return which, begin[which] + nth * most, np.minimum(most, length[which] - nth * most)
+
+
+def _digests(cut: Callable[[int, int], memoryview], begin: np.ndarray, stop: np.ndarray, kind: bytes) -> np.ndarray:
+    """Two longs for each content; contents of different kinds have different ones."""
+    joined = b"".join(
+        blake2b(cut(a, b), digest_size=16, person=kind).digest() for a, b in zip(begin.tolist(), stop.tolist(), strict=True)
+    )
+    return np.frombuffer(joined, np.int64).reshape(-1, 2)
+
+
+@dataclass
+class Chunks:
+    """Chunks of the texts of a batch: in which text, at which unit, of how many windows, and their digests."""
+
+    text: np.ndarray
+    begin: np.ndarray
+    windows: np.ndarray
+    digest: np.ndarray
+
+
+def chunks(flat: Flat, units: Units) -> Chunks:
+    """Every text's windows in chunks."""
+    has = np.flatnonzero(np.diff(flat.edges) >= units.window)
+    first, stop = flat.edges[has], flat.edges[has + 1] - units.window + 1
+    count = int(flat.edges[-1])
+    breaks = units.breaks(flat) & _inside(first, stop, count)
+    breaks[first] = True
+    begin = np.flatnonzero(breaks)
+    text = np.searchsorted(first, begin, side="right") - 1
+    length = np.minimum(np.append(begin[1:], count), stop[text]) - begin
+    which, begin, length = _pieces(begin, length, LONGEST_CHUNK)
+    return Chunks(
+        has[text[which]], begin, length, _digests(flat.cutter(), begin, begin + length + units.window - 1, b"chunk")
+    )
+
+
 @dataclass
 class Segments:
-    """Segments of a part of a text."""
+    """Some segments of the texts of a batch: anchor, first unit and number of windows."""
 
     anchor: np.ndarray
-    content: np.ndarray
-    start: np.ndarray
+    begin: np.ndarray
     windows: np.ndarray
 
 
-def segments(symbols: np.ndarray, units: Units) -> Iterator[Segments]:
-    """Segments of a whole text, a bounded part at a time."""
-    for begin in range(0, len(symbols) - units.window + 1, _CHUNK):
-        part = symbols[begin : begin + _CHUNK + units.window - 1]
-        prefix = prefix_hashes(part)
-        starts = np.arange(len(part) - units.run + 1)
-        runs = run_hashes(prefix, starts, starts + units.run)
-        anchor = sliding_least(runs, units.window - units.run + 1)
-        new = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-        length = np.diff(np.append(new, len(anchor)))
-        if length.max() > MOST_WINDOWS:
-            pieces = -(-length // MOST_WINDOWS)
-            which = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            whole, new = np.repeat(length, pieces), np.repeat(new, pieces) + which * MOST_WINDOWS
-            length = np.minimum(MOST_WINDOWS, whole - which * MOST_WINDOWS)
-        content = run_hashes(prefix, new, new + length + units.window - 1)
-        yield Segments(anchor[new], content, new + begin, length)
+def segments(flat: Flat, units: Units, inside: np.ndarray) -> Iterator[Segments]:
+    """Segments of the windows that start ``inside``, a bounded part at a time.
+
+    They depend on the text alone but where a part or what is inside ends; a window
+    has the same anchor wherever it is.
+    """
+    last = int(flat.edges[-1]) - units.window + 1
+    for begin in range(0, last, _CHUNK):
+        stop = min(begin + _CHUNK, last)
+        at = np.flatnonzero(inside[begin:stop])
+        if not len(at):
+            continue
+        width = units.window - units.run + 1
+        least = sliding_least(units.runs(flat, begin, stop + width - 1), width)[at]
+        new = np.flatnonzero(np.append(True, (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1)))
+        which, start, length = _pieces(at[new], np.diff(np.append(new, len(at))), MOST_WINDOWS)
+        yield Segments(mixed(least[new][which]), start + begin, length)
 
 
 def _ordered_id(docs: DataFrame) -> Column:
     return F.coalesce(docs["doc_id"].cast("long"), F.lit(LARGEST_ID))
 
 
-def text_key(digest: Column) -> Column:
-    """64 bits of a text's digest."""
-    return F.conv(F.substring(F.hex(digest), 1, 15), 16, 10).cast("long")
+def _pair(one: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """A hash of a digest's first half and an id."""
+    return mixed(one.view(np.uint64) ^ mixed(doc.view(np.uint64) + _BASE))
 
 
-def _longs(column: pa.Array) -> np.ndarray:
-    return mixed(column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+def _cells(count: int, most: int) -> int:
+    return max(16, min(most, (8 * count).bit_length()))
 
 
-def _passing(rows: DataFrame, bits: sketch.Bits, column: str) -> tuple[Column, Column]:
-    """Whether a row's key may be among the bits, and the opposite."""
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
+def rows_of(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``doc`` (the id to compare), ``version``, and ``text``; null texts are empty.
 
-    @F.arrow_udf("boolean")
-    def inside(keys: pa.Array) -> pa.Array:
-        return pa.array(shared.value.has(_longs(keys)))
+    ``version`` is a hash of the text that tells rows of one id apart.
+    """
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), _ordered_id(docs).alias("doc"), F.xxhash64(text).alias("version"), text.alias("text")
+    )
 
-    found = inside(F.col(column))
-    return found, ~found
 
+def chunk_bits(rows: DataFrame, units: Units, size: int) -> sketch.Bits:
+    """Digests of chunks that may occur several times."""
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``doc`` (the id), ``key`` of the text, and ``text``; null texts are empty."""
-    return docs.select(
-        _ordered_id(docs).alias("doc"), text_key(digest_of(docs)).alias("key"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    def digests(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        yield _firsts(chunks(units.flat(batch.column(0)), units))
+
+    return sketch.counted(rows.select("text"), digests, _cells(size // (units.size * units.chunk), ROW_CELLS))
+
+
+def _firsts(found: Chunks) -> np.ndarray:
+    return mixed(np.ascontiguousarray(found.digest[:, 0]).view(np.uint64))
+
+
+def chunk_owners(rows: DataFrame, bits, units: Units) -> DataFrame:
+    """``one, two, least, most``: digests of chunks that may occur several times, smallest and largest id; stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = chunks(units.flat(batch.column("text")), units)
+            several = bits.value.has(_firsts(found))
+            doc = batch.column("doc").to_numpy()[found.text[several]]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x) for x in found.digest[several].T.copy()), pa.array(doc)], ["one", "two", "doc"]
+            )
+
+    sent = rows.select("doc", "text").mapInArrow(run, "one long, two long, doc long")
+    return cut_lineage(sent.groupBy("one", "two").agg(F.min("doc").alias("least"), F.max("doc").alias("most")))
 
 
 @dataclass
-class Distinct:
-    """Each text once: those whose key occurs once, and stored, those of repeated keys, with the smallest id."""
+class Known:
+    """Chunks that may occur several times, and where such a chunk has its smallest id; both only overestimate."""
 
-    single: DataFrame
-    repeated: DataFrame
+    several: sketch.Bits
+    first: sketch.Bits
 
-    def rows(self) -> DataFrame:
-        """``doc, key, text`` of every distinct text."""
-        return self.single.unionByName(self.repeated.select("doc", "key", "text"))
+    def split(self, found: Chunks, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each chunk whether it may occur several times, and whether its windows have to be looked at."""
+        several = self.several.has(_firsts(found))
+        return several, ~several | self.first.has(_pair(np.ascontiguousarray(found.digest[:, 0]), doc))
 
 
-def distinct_texts(docs: DataFrame) -> Distinct:
-    """Only texts whose key a sketch says to be repeated are shuffled, one row of each task."""
-    keyed = _keyed(docs)
-    bits = sketch.counted(keyed.select("key"), _row_by_row, TEXT_CELLS)
-    known, unknown = _passing(keyed, bits, "key")
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("doc"))
-    repeated = keyed.where(known).withColumn("rank", rank).where("rank = 1").select("doc", "key", "text")
-    return Distinct(keyed.where(unknown), cut_lineage(repeated))
+def owner_bits(owners: DataFrame) -> sketch.Bits:
+    """Digests with their smallest id."""
+    pairs = lambda batch: [_pair(batch.column(0).to_numpy(), batch.column(1).to_numpy())]
+    return sketch.counted(owners.select("one", "least"), pairs, _cells(owners.count(), ROW_CELLS), least=1)
 
 
-def _row_by_row(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    # Repeats inside an array count once, so equal keys of a batch go in different arrays.
-    keys = np.sort(_longs(batch.column(0)))
-    while len(keys):
-        new = np.append(True, keys[1:] != keys[:-1])
-        yield keys[new]
-        rest = keys[~new]
-        keys = rest[np.append(True, rest[1:] != rest[:-1])] if len(rest) else rest
+def _looked_at(batch: pa.RecordBatch, units: Units, known: Known) -> tuple[Flat, Chunks, np.ndarray, np.ndarray]:
+    """Texts of a batch, their chunks, which of these may occur several times, and the windows to look at."""
+    flat = units.flat(batch.column("text"))
+    found = chunks(flat, units)
+    several, wanted = known.split(found, batch.column("doc").to_numpy()[found.text])
+    begin, stop = found.begin[wanted], (found.begin + found.windows)[wanted]
+    return flat, found, several, _inside(begin, stop, int(flat.edges[-1]))
 
 
 def sketch_cells(size: int, units: Units) -> int:
     """Bits of a cell's number: eight cells an anchor, ``units.cells`` bits at most."""
-    anchors = 2 * size // (units.size * (units.window - units.run + 2))
-    return max(16, min(units.cells, (8 * anchors).bit_length()))
+    return _cells(2 * size // (units.size * (units.window - units.run + 2)), units.cells)
 
 
-def anchor_bits(texts: DataFrame, units: Units, size: int) -> sketch.Bits:
+def anchor_bits(rows: DataFrame, known, units: Units, size: int) -> sketch.Bits:
     """Anchors that may belong to several texts; ``size`` is that of all texts in bytes."""
 
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for text in batch.column(0).to_pylist():
-            found = [s.anchor for s in segments(units.hashes(units.read(text)), units)]
-            if found:
-                yield np.concatenate(found)
+        flat, _, _, inside = _looked_at(batch, units, known.value)
+        for some in segments(flat, units, inside):
+            order = np.argsort(some.anchor, kind="stable")
+            anchor = some.anchor[order]
+            text = np.searchsorted(flat.edges, some.begin[order], side="right")
+            yield anchor[np.append(True, (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))]
 
-    return sketch.counted(texts.select("text"), anchors, sketch_cells(size, units))
-
-
-def anchor_cells(anchors: DataFrame, cells: int) -> sketch.Bits:
-    """Anchors that may be among the stored ones."""
-    return sketch.counted(
-        anchors.select("anchor"), lambda batch: [batch.column(0).to_numpy().view(np.uint64)], cells, least=1
-    )
+    return sketch.counted(rows.select("doc", "text"), anchors, sketch_cells(size, units))
 
 
-_SEGMENT = "anchor long, content long, doc long, key long, starts binary, windows int"
+_FOUND = "one long, two long, anchor long, doc long, version long, starts binary, windows int, cut binary"
 
 
 def binaries(sizes: np.ndarray, data: bytes) -> pa.Array:
@@ -243,50 +343,50 @@ def binaries(sizes: np.ndarray, data: bytes) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
-def shared_segments(texts: DataFrame, shared: Broadcast, units: Units, with_cut: bool) -> DataFrame:
-    """Segments whose anchors the broadcast sketch lets pass, one row for equal ones of a text.
+def candidates(rows: DataFrame, known, anchors, units: Units) -> DataFrame:
+    """Chunks that may occur several times (without ``anchor`` and ``cut``) and segments whose anchors pass.
 
-    ``starts`` holds their places as 64-bit numbers, ``cut`` their content.
+    One row for equal ones of a text; ``starts`` holds their places as 64-bit
+    numbers, ``cut`` is their content.
     """
 
-    def of_text(whole: Sequence, doc: int, key: int) -> Iterator[tuple]:
-        for some in segments(units.hashes(whole), units):
-            good = shared.value.has(some.anchor)
-            if not good.any():
-                continue
-            anchor, content = some.anchor[good], some.content[good]
-            start, length = some.start[good].astype(np.int64), some.windows[good]
-            order = np.lexsort((start, content, anchor))
-            anchor, content, start, length = anchor[order], content[order], start[order], length[order]
-            new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])))
-            first, last = start[new], start[new] + length[new] + units.window - 1
-            cuts = [units.cut(whole, a, b) for a, b in zip(first.tolist(), last.tolist(), strict=True)] if with_cut else []
-            places = 8 * np.diff(np.append(new, len(start)))
-            yield anchor[new], content[new], np.full(len(new), doc), np.full(len(new), key), start, places, length[new], cuts
+    def packed(batch, flat, digest, begin, length, anchor=None) -> pa.RecordBatch:
+        text = np.searchsorted(flat.edges, begin, side="right") - 1
+        order = np.lexsort((begin, digest[:, 1], digest[:, 0], text))
+        text, begin, length, digest = text[order], begin[order], length[order], digest[order]
+        new = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (digest[1:] != digest[:-1]).any(axis=1)))
+        count = len(new)
+        places = (begin - flat.edges[text]).astype(np.int64)
+        cut = flat.cutter()
+        ends = (begin + length + units.window - 1)[new].tolist()
+        return pa.RecordBatch.from_arrays(
+            [
+                *(pa.array(np.ascontiguousarray(x)) for x in digest[new].T),
+                pa.nulls(count, pa.int64()) if anchor is None else pa.array(anchor[order][new].view(np.int64)),
+                batch.column("doc").take(pa.array(text[new])),
+                batch.column("version").take(pa.array(text[new])),
+                binaries(8 * np.diff(np.append(new, len(begin))), places.tobytes()),
+                pa.array(length[new].astype(np.int32)),
+                pa.nulls(count, pa.binary())
+                if anchor is None
+                else pa.array([bytes(cut(a, b)) for a, b in zip(begin[new].tolist(), ends, strict=True)], pa.binary()),
+            ],
+            [c.split()[0] for c in _FOUND.split(", ")],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            parts = [p for doc, key, text in rows for p in of_text(units.read(text), doc, key)]
-            if not parts:
-                continue
-            *plain, cuts = zip(*parts, strict=True)
-            anchor, content, doc, key, start, places, length = map(np.concatenate, plain)
-            columns = [
-                pa.array(anchor.view(np.int64)),
-                pa.array(content.view(np.int64)),
-                pa.array(doc),
-                pa.array(key),
-                binaries(places, start.tobytes()),
-                pa.array(length.astype(np.int32)),
-            ]
-            names = [c.split()[0] for c in _SEGMENT.split(", ")]
-            if with_cut:
-                columns.append(pa.array([c for some in cuts for c in some], pa.binary()))
-                names.append("cut")
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return texts.select("doc", "key", "text").mapInArrow(run, _SEGMENT + (", cut binary" if with_cut else ""))
+            flat, whole, several, inside = _looked_at(batch, units, known.value)
+            if several.any():
+                yield packed(batch, flat, whole.digest[several], whole.begin[several], whole.windows[several])
+            for some in segments(flat, units, inside):
+                good = anchors.value.has(some.anchor)
+                if good.any():
+                    begin, length = some.begin[good], some.windows[good]
+                    digest = _digests(flat.cutter(), begin, begin + length + units.window - 1, b"segment")
+                    yield packed(batch, flat, digest, begin, length, some.anchor[good])
+
+    return rows.select("doc", "version", "text").mapInArrow(run, _FOUND)
 
 
 def repeated_windows(table: pa.Table, units: Units) -> np.ndarray:
@@ -331,13 +431,13 @@ def whole_anchors(batches: Iterator[pa.RecordBatch], windows: int) -> Iterator[p
         yield pa.Table.from_batches(held)
 
 
-_INSIDE = "anchor long, content long, begin long, stop long"
+_INSIDE = "one long, two long, begin long, stop long"
 
 
 def compared(rows: DataFrame, units: Units) -> DataFrame:
-    """``anchor, content, begin, stop``: units inside segments that windows of a smaller id cover.
+    """``one, two, begin, stop``: units inside segments that windows of a smaller id cover.
 
-    ``rows`` are different segments (``anchor, content, doc, windows, cut``); those
+    ``rows`` are different segments (``anchor, one, two, doc, windows, cut``); those
     of an anchor are compared, many anchors at a time.
     """
 
@@ -354,15 +454,15 @@ def compared(rows: DataFrame, units: Units) -> DataFrame:
             first = np.append(0, ends)[row]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(table["anchor"].to_numpy()[row]),
-                    pa.array(table["content"].to_numpy()[row]),
+                    pa.array(table["one"].to_numpy()[row]),
+                    pa.array(table["two"].to_numpy()[row]),
                     pa.array(begin - first),
                     pa.array(stop - first + units.window - 1),
                 ],
-                ["anchor", "content", "begin", "stop"],
+                ["one", "two", "begin", "stop"],
             )
 
-    wanted = rows.select("anchor", "content", "doc", "windows", "cut")
+    wanted = rows.select("anchor", "one", "two", "doc", "windows", "cut")
     return wanted.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _INSIDE)
 
 
@@ -375,129 +475,134 @@ def dealt_out(rows: DataFrame, units: Units) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            anchor, content, doc, count = (c.to_numpy() for c in batch.columns[:4])
+            one, two, doc, count = (batch.column(n).to_numpy() for n in range(4))
             begin = np.concatenate([np.zeros(0, np.int64), *(np.arange(n) for n in count)])
-            cuts = []
-            for cut, n in zip(batch.column(4).to_pylist(), count.tolist(), strict=True):
-                whole = units.again(cut)
-                cuts += [blake2b(units.cut(whole, k, k + units.window), digest_size=16).digest() for k in range(n)]
+            cuts: list[bytes] = []
+            for content, n in zip(batch.column(4).to_pylist(), count.tolist(), strict=True):
+                whole = units.again(content)
+                parts = (units.join([whole[k : k + units.window]]) for k in range(n))
+                cuts += [blake2b(p if isinstance(p, bytes) else b" ".join(p), digest_size=16).digest() for p in parts]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.repeat(x, count)) for x in (anchor, content, doc)), pa.array(begin), pa.array(cuts, pa.binary())],
-                ["anchor", "content", "doc", "begin", "digest"],
+                [*(pa.array(np.repeat(x, count)) for x in (one, two, doc)), pa.array(begin), pa.array(cuts, pa.binary())],
+                ["one", "two", "doc", "begin", "window"],
             )
 
-    wanted = rows.select("anchor", "content", "doc", "windows", "cut")
-    single = wanted.mapInArrow(run, "anchor long, content long, doc long, begin long, digest binary")
+    wanted = rows.select("one", "two", "doc", "windows", "cut")
+    single = wanted.mapInArrow(run, "one long, two long, doc long, begin long, window binary")
     least = cut_lineage(
-        single.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
+        single.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").drop("most")
     )
-    return single.join(least, "digest").where("doc > least").select(
-        "anchor", "content", "begin", (F.col("begin") + units.window).alias("stop")
+    return single.join(least, "window").where("doc > least").select(
+        "one", "two", "begin", (F.col("begin") + units.window).alias("stop")
     )
 
 
 def placed(rows: DataFrame, units: Units) -> DataFrame:
-    """``doc, key, begin, stop``: repeated units in the texts themselves.
+    """``doc, version, begin, stop``: repeated units in the texts themselves.
 
-    A segment that a smaller id has too is repeated whole; elsewhere what is
+    A chunk or segment that a smaller id has too is repeated whole; elsewhere what is
     ``inside`` it, at each of its places.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc, key, starts, count, least, inside in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, version, starts, count, least, inside in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 spans = [(0, count + units.window - 1)] if doc > least else [(s["begin"], s["stop"]) for s in inside or ()]
                 for place in np.frombuffer(starts, np.int64).tolist() if spans else ():
-                    out.extend((doc, key, place + a, place + b) for a, b in spans)
-            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "key", "begin", "stop"])
-
-    wanted = rows.select("doc", "key", "starts", "windows", "least", "inside")
-    return wanted.mapInArrow(run, "doc long, key long, begin long, stop long")
-
-
-def spans_of_texts(distinct: Distinct, units: Units, size: int) -> DataFrame:
-    """``key, doc, spans`` of the distinct texts in which something is repeated; stored."""
-    texts = distinct.rows()
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(anchor_bits(texts, units, size))
-    free_shuffles(spark)
+                    out.extend((doc, version, place + a, place + b) for a, b in spans)
+            columns = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "version", "begin", "stop"])
+
+    wanted = rows.select("doc", "version", "starts", "windows", "least", "inside")
+    return wanted.mapInArrow(run, "doc long, version long, begin long, stop long")
+
+
+def spans_of_texts(rows: DataFrame, units: Units, size: int) -> DataFrame:
+    """``doc, version, spans`` of the texts in which something is repeated; stored."""
+    context = rows.sparkSession.sparkContext
+    several = chunk_bits(rows, units, size)
+    bits = context.broadcast(several)
+    owners = chunk_owners(rows, bits, units)
+    bits.destroy()
+    known = context.broadcast(Known(several, owner_bits(owners)))
+    anchors = context.broadcast(anchor_bits(rows, known, units, size))
+    free_shuffles(rows.sparkSession)
+    found = cut_lineage(candidates(rows, known, anchors, units), "zstd")
+    known.destroy()
+    anchors.destroy()
     pieces = cut_lineage(
-        shared_segments(texts, shared, units, with_cut=False)
-        .groupBy("anchor", "content")
-        .agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("texts"), F.max("windows").alias("windows"))
+        found.where("anchor is not null")
+        .groupBy("one", "two")
+        .agg(*(F.min(c).alias(c) for c in ("anchor", "doc", "windows", "cut")), F.max("doc").alias("most")),
+        "zstd",
     )
-    free_shuffles(spark)
-    several = cut_lineage(
-        pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments")).where("segments > 1")
+    free_shuffles(rows.sparkSession)
+    crowded = cut_lineage(
+        pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWDED).select("anchor")
     )
-    # Only contents of anchors with several segments are compared; the others never travel.
-    cells = max(16, min(units.cells, (8 * several.count()).bit_length()))
-    chosen = spark.sparkContext.broadcast(anchor_cells(several, cells))
-    cuts = cut_lineage(
-        shared_segments(texts, chosen, units, with_cut=True)
-        .groupBy("anchor", "content")
-        .agg(F.max("cut").alias("cut"))
+    inside = compared(pieces.join(crowded, "anchor", "left_anti"), units).unionByName(
+        dealt_out(pieces.join(crowded, "anchor", "left_semi"), units)
     )
-    chosen.destroy()
-    free_shuffles(spark)
-    different = pieces.join(several, "anchor").join(cuts, ["anchor", "content"])
-    inside = compared(different.where(F.col("segments") <= CROWDED), units).unionByName(
-        dealt_out(different.where(F.col("segments") > CROWDED), units)
-    )
-    listed = cut_lineage(
-        inside.groupBy("anchor", "content").agg(F.collect_list(F.struct("begin", "stop")).alias("inside"))
-    )
-    free_shuffles(spark)
+    listed = cut_lineage(inside.groupBy("one", "two").agg(F.collect_list(F.struct("begin", "stop")).alias("inside")))
+    kind = listed.schema["inside"].dataType
     told = cut_lineage(
-        pieces.select("anchor", "content", F.col("doc").alias("least"), "texts")
-        .join(listed, ["anchor", "content"], "left")
-        .where("texts > 1 or inside is not null")
-        .drop("texts")
+        pieces.select("one", "two", F.col("doc").alias("least"), "most")
+        .join(listed, ["one", "two"], "left")
+        .where("least < most or inside is not null")
+        .drop("most")
+        .unionByName(owners.where("least < most").drop("most").withColumn("inside", F.lit(None).cast(kind)))
     )
-    for done in (pieces, several, cuts, listed):
+    for done in (owners, pieces, crowded, listed):
         remove_stored(done)
-    found = shared_segments(texts, shared, units, with_cut=False).join(told, ["anchor", "content"])
-    spans = cut_lineage(
-        placed(found, units).groupBy("key").agg(F.max("doc").alias("doc"), F.collect_list(F.struct("begin", "stop")).alias("spans"))
-    )
-    shared.destroy()
-    remove_stored(told)
-    free_shuffles(spark)
-    return spans
+    free_shuffles(rows.sparkSession)
+    spans = placed(found.drop("anchor", "cut").join(told, ["one", "two"]), units)
+    stored = cut_lineage(spans.groupBy("doc", "version").agg(F.collect_list(F.struct("begin", "stop")).alias("spans")))
+    for done in (found, told):
+        remove_stored(done)
+    free_shuffles(rows.sparkSession)
+    return stored
 
 
 def marked(docs: DataFrame, units: Units) -> DataFrame:
-    """``doc_id, doc, text, first, spans`` of every row of ``docs``.
+    """``doc_id, text, spans`` of every row of ``docs``; ``spans`` holds repeated units (null: nothing).
 
-    ``first`` is the smallest id with the same text; where that is another one, the
-    whole text is repeated. Otherwise ``spans`` are (null: nothing).
+    Texts without any stay out of the shuffle, as a sketch of the others tells.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    distinct = distinct_texts(docs)
-    spans = spans_of_texts(distinct, units, size)
-    first = distinct.repeated.select("key", F.col("doc").alias("first"))
-    marks = cut_lineage(
-        first.join(spans, "key", "full_outer").select("key", F.coalesce("first", "doc").alias("first"), "spans")
-    )
-    bits = sketch.counted(marks.select("key"), _row_by_row, TEXT_CELLS, least=1)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(digest_of(docs)).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    known, unknown = _passing(rows, bits, "key")
-    plain = rows.where(unknown).select("doc_id", "text", F.lit(None).cast("long").alias("first"), F.lit(None).cast(marks.schema["spans"].dataType).alias("spans"))
-    joined = rows.where(known).join(marks, "key", "left").select("doc_id", "text", "first", "spans")
-    return plain.unionByName(joined)
-
-
-def removed_units(count: int, window: int, doc_id: int | None, first: int | None, spans: list | None) -> np.ndarray:
-    """Begin and end of the maximal removed runs of a text of ``count`` units."""
-    own = LARGEST_ID if doc_id is None else doc_id
-    if first is not None and own > first:
-        return np.array([[0, count]]) if count >= window else np.zeros((0, 2), int)
-    if not spans:
-        return np.zeros((0, 2), int)
-    held = np.array(sorted((s["begin"], s["stop"]) for s in spans))
-    furthest = np.maximum.accumulate(held[:, 1])
-    new = np.append(True, held[1:, 0] > furthest[:-1])
-    begin = held[new, 0]
-    return np.stack([begin, furthest[np.append(np.flatnonzero(new)[1:] - 1, len(held) - 1)]], axis=1)
+    rows = rows_of(docs)
+    spans = spans_of_texts(rows, units, size)
+    pairs = lambda batch: [_pair(batch.column(0).to_numpy(), batch.column(1).to_numpy())]
+    bits = sketch.counted(spans.select("version", "doc"), pairs, _cells(spans.count(), ROW_CELLS), least=1)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    @F.arrow_udf("boolean")
+    def may_have(version: pa.Array, doc: pa.Array) -> pa.Array:
+        return pa.array(shared.value.has(_pair(version.to_numpy(), doc.to_numpy())))
+
+    has = may_have("version", "doc")
+    plain = rows.where(~has).select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return plain.unionByName(rows.where(has).join(spans, ["doc", "version"], "left").select("doc_id", "text", "spans"))
+
+
+def removed_units(spans: pa.Array) -> list[np.ndarray]:
+    """For each row of a column of spans begin and end of the maximal removed runs."""
+    held = np.stack([spans.values.field(n).to_numpy().astype(np.int64) for n in ("begin", "stop")], axis=1)
+    out = []
+    for n, valid in enumerate(spans.is_valid().to_pylist()):
+        some = held[spans.offsets[n].as_py() : spans.offsets[n + 1].as_py()] if valid else held[:0]
+        if len(some):
+            some = some[np.argsort(some[:, 0], kind="stable")]
+            furthest = np.maximum.accumulate(some[:, 1])
+            new = np.append(True, some[1:, 0] > furthest[:-1])
+            last = np.append(np.flatnonzero(new)[1:] - 1, len(some) - 1)
+            some = np.stack([some[new, 0], furthest[last]], axis=1)
+        out.append(some)
+    return out
+
+
+def kept_parts(flat: Flat, text: int, gone: np.ndarray) -> list[bytes]:
+    """What is left of a text between the removed runs."""
+    cut, first, stop = flat.cutter(), int(flat.edges[text]), int(flat.edges[text + 1])
+    begins, ends = [first, *(first + gone[:, 1]).tolist()], [*(first + gone[:, 0]).tolist(), stop]
+    return [bytes(cut(a, b)) for a, b in zip(begins, ends, strict=True) if b > a]

@@ -1,8 +1,10 @@
 """Removal of repeated bytes and words against brute force."""
 
+import dataclasses
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from savormap.llm import passages, sketch, substrings, windows
@@ -58,7 +60,7 @@ def byte_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("crowded", [3, 4_096])
+@pytest.mark.parametrize("crowded", [3, 16_384])
 def test_bytes(spark, crowded, monkeypatch):
     monkeypatch.setattr(windows, "CROWDED", crowded)
     rows = byte_rows(crowded)
@@ -72,7 +74,7 @@ def test_bytes(spark, crowded, monkeypatch):
     assert sorted(((*r[:4], bytes(r[4])) for r in got), key=repr) == sorted(wanted, key=repr)
 
 
-@pytest.mark.parametrize("crowded", [3, 4_096])
+@pytest.mark.parametrize("crowded", [3, 16_384])
 def test_words(spark, crowded, monkeypatch):
     monkeypatch.setattr(windows, "CROWDED", crowded)
     unit = lambda draw, n: [draw.choice("one two three fôur five six ,. \x1c \xa0".split(" ")) or "x" for _ in range(n)]
@@ -94,14 +96,92 @@ def test_empty_tables(spark):
     assert passages.without_repeats(empty, cells=16).count() == 0
 
 
-def test_long_texts_are_cut_into_parts(monkeypatch):
+@pytest.mark.parametrize("kind", [substrings, passages])
+def test_hashes_that_collide_do_no_harm(spark, kind, monkeypatch):
+    """With next to no hash at all the results are those of the contents."""
+    rows = byte_rows(5) if kind is substrings else [(i, t.replace("a", " ")) for i, t in byte_rows(6) if t is not None]
+    df = prepared(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+    window, split = (50, str.encode) if kind is substrings else (6, lambda t: t.encode().split())
+    sizes = {} if kind is substrings else {"window": 6, "run": 2}
+    few = kind.units(cells=16, **sizes)
+    dull = dataclasses.replace(
+        few,
+        runs=lambda texts, a, b: few.runs(texts, a, b) % np.uint64(3),
+        hashes=lambda units: few.hashes(units) % np.uint64(2),
+        breaks=lambda texts: few.breaks(texts) | (np.arange(int(texts.edges[-1])) % 97 == 0),
+    )
+    monkeypatch.setattr(kind, "units", lambda *_: dull)
+    got = kind.without_repeats(df, window).collect()
+    wanted = []
+    for doc_id, units, gone in force(rows, split, window):
+        kept = [u for u, g in zip(units, gone, strict=True) if not g]
+        wanted.append((doc_id, len(units), int(gone.sum()), bytes(kept) if kind is substrings else b" ".join(kept).decode()))
+    found = [(r["doc_id"], r[1], r["n_removed"], bytes(r["kept"]) if kind is substrings else r["kept"]) for r in got]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+
+
+def test_sketches_that_let_too_much_pass_do_no_harm(spark, monkeypatch):
+    plain, draw = sketch.counted, np.random.default_rng(7)
+
+    def blurred(*args, **kwargs):
+        bits = plain(*args, **kwargs)
+        bits.rows = [row | (draw.random((len(row), 8)) < 0.5) @ (1 << np.arange(8)).astype(np.uint8) for row in bits.rows]
+        bits.rows = [row.astype(np.uint8) for row in bits.rows]
+        return bits
+
+    monkeypatch.setattr(sketch, "counted", blurred)
+    rows = byte_rows(11)
+    df = prepared(spark).createDataFrame(rows, "doc_id long, text string").repartition(4)
+    wanted = []
+    for doc_id, units, gone in force(rows, str.encode, 50):
+        wanted.append((doc_id, bytes(u for u, g in zip(units, gone, strict=True) if not g)))
+    got = [(r["doc_id"], bytes(r["kept"])) for r in substrings.without_repeats(df, cells=16).collect()]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
+
+
+def some_texts(draw):
+    bits = ["ab", "c d", " ", "\n\t", "é", "", "word", "a" * 70, "x y z " * 40]
+    return ["".join(draw.choice(bits) for _ in range(draw.randint(0, 30))) for _ in range(40)]
+
+
+def test_words_of_a_batch():
+    draw = random.Random(3)
+    for _ in range(20):
+        texts = some_texts(draw)
+        flat = passages.flat(pa.array(["skipped", *texts])[1:])
+        cut = flat.cutter()
+        for n, text in enumerate(texts):
+            a, b = int(flat.edges[n]), int(flat.edges[n + 1])
+            assert bytes(cut(a, b)) == b" ".join(text.encode().split())
+        words = [w for t in texts for w in t.encode().split()]
+        assert (flat.hashes == passages.hashes(words)).all()
+
+
+@pytest.mark.parametrize("kind", [substrings, passages])
+def test_chunks_and_segments_hold_each_window_once(kind, monkeypatch):
     monkeypatch.setattr(windows, "_CHUNK", 100)
-    units = substrings.units()
-    symbols = units.hashes(bytes(random.Random(1).choices(range(97, 105), k=1_000)))
-    found = list(windows.segments(symbols, units))
-    assert sum(int(s.windows.sum()) for s in found) == 951
-    starts = np.concatenate([s.start for s in found])
-    assert (np.diff(starts) > 0).all()
+    draw = random.Random(4)
+    units = kind.units()
+    texts = [*some_texts(draw), "".join(draw.choice("abc  ") for _ in range(3_000)), "q" * 5_000, "q " * 5_000]
+    flat = units.flat(pa.array(texts))
+    sizes = np.diff(flat.edges)
+    wanted = [(n, k) for n, size in enumerate(sizes.tolist()) for k in range(size - units.window + 1)]
+    found = windows.chunks(flat, units)
+    starts = [
+        (t, b + k - int(flat.edges[t]))
+        for t, b, w in zip(found.text.tolist(), found.begin.tolist(), found.windows.tolist(), strict=True)
+        for k in range(w)
+    ]
+    assert sorted(starts) == wanted
+    everything = np.zeros(int(flat.edges[-1]), bool)
+    everything[[int(flat.edges[t]) + k for t, k in wanted]] = True
+    held = [
+        b + k
+        for s in windows.segments(flat, units, everything)
+        for b, w in zip(s.begin.tolist(), s.windows.tolist(), strict=True)
+        for k in range(w)
+    ]
+    assert sorted(held) == np.flatnonzero(everything).tolist()
 
 
 def test_suffixes_are_sorted():
@@ -118,7 +198,7 @@ def test_suffixes_are_sorted():
 def test_sketch_misses_nothing(spark):
     items = np.random.default_rng(1).integers(0, 3_000, 5_000)
     df = prepared(spark).createDataFrame([(int(i),) for i in items], "item long").repartition(6)
-    hashed = lambda batch: [windows._longs(batch.column(0))[n : n + 1] for n in range(batch.num_rows)]
+    hashed = lambda batch: [windows.mixed(batch.column(0).to_numpy().view(np.uint64))[n : n + 1] for n in range(batch.num_rows)]
     bits = sketch.counted(df, hashed, 20)
     values, times = np.unique(items, return_counts=True)
     keys = windows.mixed(values.astype(np.int64).view(np.uint64))
