@@ -62,11 +62,8 @@ def summary(items: Iterable[list], keep: int, longest: int | None = None) -> tup
     """
     counts, total = Counter(), 0
     for some in items:
-        counts.update(some)
         total += len(some)
-        if longest:
-            for item in [i for i in counts if len(i) > longest]:
-                del counts[item]
+        counts.update([i for i in some if len(i) <= longest] if longest else some)
         if len(counts) > 4 * keep:
             counts = shrink(counts, keep)
     return shrink(counts, keep), total

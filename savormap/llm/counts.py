@@ -23,12 +23,14 @@ import regex
 from pyspark.sql import DataFrame
 
 from savormap.llm.common import shrink, summary, texts
+from savormap.llm.newer import has_newer, words
 from savormap.llm.pack import PRE_TOKENS, SPECIALS, VOCABULARY, ids_of
 
 FREQUENT = 65_536  # entries of the broadcast table: about 2 MB
 CACHED = 500_000  # entries of a worker's cache before it starts anew
 LONGEST_CACHED = 256  # characters; longer pre-tokens are encoded without a place in the cache
 LIMIT = 1_024
+LIBRARY = "byte_bpe_50k.json"  # the file that splits texts with characters unknown here
 _TREE_DEPTH = 3
 
 class LengthTable:
@@ -80,7 +82,12 @@ class Lengths(dict):
             self.clear()
         total = 0
         for n, part in enumerate(SPECIALS.split(text)):
-            total += n % 2 or sum(map(self.__getitem__, PRE_TOKENS.findall(part)))
+            if n % 2:
+                total += 1
+            elif has_newer(part):
+                total += sum(map(self.__getitem__, words(part, LIBRARY)))
+            else:
+                total += sum(map(self.__getitem__, PRE_TOKENS.findall(part)))
         return total
 
 

@@ -18,28 +18,36 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
+import re
 import tempfile
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from savormap.llm.common import texts
 from savormap.llm.counts import CACHED, LONGEST_CACHED, frequent_items
+from savormap.llm.newer import has_newer, words
 
 VOCABULARY = "word_bpe_49k.json"
 FREQUENT = 65_536
 WORD_END = "</w>"
+SHORT = 24  # bytes of a word that is merged by looking at all its pairs
+_NO_MERGE = 1 << 60
 
 #: How the tokenizer splits a normalised text.
 WORDS = regex.compile(r"\p{L}++|'(?:s|t|re|ve|m|ll|d)|\p{N}|[^\s\p{L}\p{N}]++")
+#: The same for ASCII in lower case.
+ASCII_WORDS = re.compile(r"[a-z]++|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\x09-\x0d a-z0-9]++")
 
 
 def byte_letters() -> list[str]:
@@ -60,6 +68,8 @@ class Merges:
         self.strings = {i: s for s, i in [*ids.items(), *self.special.items()]}
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in known["model"]["merges"]]
         self.ranks = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.rank_of = {pair: rank for pair, (rank, _) in self.ranks.items()}
+        self.merged = [ids[a + b] for a, b in pairs]
         letters = byte_letters()
         self.inner = [ids[c] for c in letters]
         self.last = [ids[c + WORD_END] for c in letters]
@@ -70,6 +80,8 @@ class Merges:
         if not word:
             return []
         ids = [*(self.inner[b] for b in word[:-1]), self.last[word[-1]]]
+        if len(ids) <= SHORT:
+            return self._merge_short(ids)
         after = list(range(1, len(ids) + 1))
         before = list(range(-1, len(ids) - 1))
         heap: list[tuple[int, int, int, int, int]] = []
@@ -95,6 +107,24 @@ class Merges:
                 offer(before[at])
         return [i for i in ids if i >= 0]
 
+    def _merge_short(self, ids: list[int]) -> list[int]:
+        """The same for a few ids, where looking all pairs up is cheaper than keeping them in order."""
+        rank_of, merged = self.rank_of.get, self.merged
+        found = [rank_of(pair, _NO_MERGE) for pair in zip(ids, ids[1:])]  # noqa: B905, RUF007
+        while found:
+            best = min(found)
+            if best == _NO_MERGE:
+                break
+            at = found.index(best)
+            new = merged[best]
+            ids[at : at + 2] = [new]
+            del found[at]
+            if at:
+                found[at - 1] = rank_of((ids[at - 1], new), _NO_MERGE)
+            if at < len(found):
+                found[at] = rank_of((new, ids[at + 1]), _NO_MERGE)
+        return ids
+
 
 @lru_cache(maxsize=2)
 def merges(vocabulary: str = VOCABULARY) -> Merges:
@@ -290,7 +320,7 @@ class Encoder:
             if n % 2:
                 yield True, np.array([self.merges.special[part]], "<u4").tobytes()
             elif part:
-                yield False, WORDS.findall(normal(part))
+                yield False, words_of(part)
 
 
 def normal(text: str) -> str:
@@ -298,17 +328,37 @@ def normal(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
-class _Normal:
-    """Words of texts, in the way that the tokenizer reads them."""
+def words_of(text: str) -> list[str]:
+    """Words of a text without special strings, in the way that the tokenizer reads them."""
+    if text.isascii():
+        return ASCII_WORDS.findall(text.lower())
+    if has_newer(text):
+        return words(text, VOCABULARY)
+    return WORDS.findall(normal(text))
+
+
+class _Split:
+    """What finds the words of whole texts for the summaries."""
 
-    def findall(self, text: str) -> list[str]:
-        return WORDS.findall(normal(text))
+    findall = staticmethod(words_of)
 
 
 def lexicon(docs: DataFrame, keep: int = FREQUENT, vocabulary: str = VOCABULARY) -> bytes:
     """The compiled transducer of the corpus' frequent words."""
     known = merges(vocabulary)
-    return compile_words({w.encode(): known.merge(w.encode()) for w in frequent_items(texts(docs), _Normal(), keep)})
+    return compile_words({w.encode(): known.merge(w.encode()) for w in frequent_items(texts(docs), _Split(), keep)})
+
+
+_encoders: dict[tuple[int, str], Encoder] = {}
+
+
+def _encoder(block: Broadcast, vocabulary: str) -> Encoder:
+    """The worker's encoder, with what it has learnt from the tasks before."""
+    key = (hash(block.value), vocabulary)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(block.value, vocabulary)
+    return _encoders[key]
 
 
 def encode(docs: DataFrame, keep: int = FREQUENT, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -316,23 +366,66 @@ def encode(docs: DataFrame, keep: int = FREQUENT, vocabulary: str = VOCABULARY)
     block = docs.sparkSession.sparkContext.broadcast(lexicon(docs, keep, vocabulary))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(block.value, vocabulary)
+        encoder = _encoder(block, vocabulary)
         for batch in batches:
-            coded = encoder.encode(batch.column(1).to_pylist())
-            ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(coded), np.int32)))
+            ids = listed(encoder.encode(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     return texts(docs).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def listed(coded: list[bytes]) -> pa.ListArray:
+    """Packed ids of texts as a column."""
+    ends = np.cumsum([0, *(len(c) // 4 for c in coded)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(coded), np.int32)))
+
+
+def decoded(ids: pa.ListArray, vocabulary: str = VOCABULARY) -> pa.Array:
+    """The texts of a column of ids."""
+    ends = pa.array(np.cumsum([0, *ids.value_lengths().to_pylist()]), pa.int32())
+    tokens = strings_of_ids(vocabulary).take(ids.flatten())
+    return pc.binary_join(pa.ListArray.from_arrays(ends, tokens), " ")
+
+
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """The columns of ``encoded`` and ``decoded``, the text of ``ids``."""
 
     @F.arrow_udf("string")
     def text_of_ids(ids: pa.Array) -> pa.Array:
-        ends = pa.array(np.cumsum([0, *ids.value_lengths().to_pylist()]), pa.int32())
-        tokens = strings_of_ids(vocabulary).take(ids.flatten())
-        return pc.binary_join(pa.ListArray.from_arrays(ends, tokens), " ")
+        return decoded(ids, vocabulary)
 
     return encoded.withColumn("decoded", text_of_ids("ids"))
+
+
+@lru_cache(maxsize=2)
+def _numbers(vocabulary: str) -> np.ndarray:
+    """Every id in decimal and a space, filled up with zero bytes."""
+    count = max(merges(vocabulary).strings) + 1
+    width = len(str(count)) + 1
+    return np.array([f"{n} ".encode() for n in range(count)], f"S{width}").view(np.uint8).reshape(count, width)
+
+
+def round_trip(docs: DataFrame, keep: int = FREQUENT, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every document, encoded and decoded in one pass.
+
+    The digests are of the ids in decimal, apart by a space, and of the decoded text.
+    """
+    block = docs.sparkSession.sparkContext.broadcast(lexicon(docs, keep, vocabulary))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, numbers = _encoder(block, vocabulary), _numbers(vocabulary)
+        for batch in batches:
+            coded = encoder.encode(batch.column(1).to_pylist())
+            decimal = (numbers[np.frombuffer(c, np.int32)].tobytes().replace(b"\0", b"")[:-1] for c in coded)
+            again = decoded(listed(coded), vocabulary)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([len(c) // 4 for c in coded], pa.int64()),
+                    pa.array([sha256(d).hexdigest() for d in decimal], pa.string()),
+                    pa.array([sha256(t.as_buffer()).hexdigest() for t in again], pa.string()),
+                ],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

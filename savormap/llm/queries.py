@@ -46,14 +46,7 @@ def query(sql: str | None = None):
 @query()
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
-    coded = lexicon.decode(lexicon.encode(documents(spark, sf_dir)))
-    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return lexicon.round_trip(documents(spark, sf_dir))
 
 
 @query(

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
@@ -49,6 +50,39 @@ def test_words_are_coded_as_by_the_library(table):
     assert sorted(got, key=repr) == sorted(wanted, key=repr)
 
 
+def test_round_trip_has_the_digests(table):
+    coded = lexicon.decode(lexicon.encode(table, keep=200)).collect()
+    wanted = [
+        (
+            r["doc_id"], len(r["ids"]), sha256(" ".join(map(str, r["ids"])).encode()).hexdigest(),
+            sha256(r["decoded"].encode()).hexdigest(),
+        )
+        for r in coded
+    ]
+    assert keyed(lexicon.round_trip(table, keep=300)) == sorted(wanted, key=repr)
+
+
+def test_every_character_is_read_as_by_the_library():
+    """Each code point beside and between letters, digits and signs, also those that Python's tables lack."""
+    words, pieces = library(lexicon.VOCABULARY), library("byte_bpe_50k.json")
+    lengths = counts.Lengths(counts.LengthTable({}), pack.VOCABULARY)
+    encoder = lexicon.Encoder(lexicon.compile_words({}))
+    codes = [c for c in range(0x32400) if not 0xD800 <= c < 0xE000] + [*range(0xE0000, 0xE0200), 0xF0000, 0x10FFFF]
+    for start in range(0, len(codes), 64):
+        some = codes[start : start + 64]
+        for text in ("".join(f"a{chr(c)}A1{chr(c)}2 .{chr(c)}" for c in some),):
+            assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == words.encode(text, add_special_tokens=False).ids, start
+            assert lengths.of(text) == len(pieces.encode(text, add_special_tokens=False).ids), start
+
+
+def test_short_words_are_merged_like_long_ones(monkeypatch):
+    known, draw = lexicon.merges(), random.Random(6)
+    some = ["".join(draw.choice("aeinorst'é") for _ in range(draw.randint(1, 12))).encode() for _ in range(2_000)]
+    short = [known.merge(w) for w in some]
+    monkeypatch.setattr(lexicon, "SHORT", 0)
+    assert short == [known.merge(w) for w in some]
+
+
 def test_transducer_shares_suffixes_and_knows_no_other_words():
     words = [a + b for a in ("walk", "talk", "stalk") for b in ("", "s", "ed", "ing")]
     known = lexicon.merges()
