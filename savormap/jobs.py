@@ -42,8 +42,9 @@ def publish_range(
     """A city's places around a point, with photos, as one message for a user."""
     keep = ["place_id", *[c for c in geo.PLACE_DETAILS if c != "dist_km"]]
     found = cut_lineage(geo.within_city(_places(places), city, lat, lon, km, keep=keep))
+    pages = cut_lineage(geo.all_photos(found, _places(photos)))
     listed = (
-        geo.with_photos(found, _places(photos))
+        geo.beside(found, pages)
         .drop("photo_pages")
         .withColumnRenamed("place_id", "business_id")
         .withColumns({"request_id": F.lit(0), "user_id": F.lit(user)})
@@ -51,7 +52,7 @@ def publish_range(
     messages = geo.range_messages(listed, place="business_id")
     keyed = writers.as_messages(messages, "user_id", "business_id_listInRange", key=F.col("user_id"))
     writers.publish(keyed, fmt, **options)
-    more = geo.further_photos(found, _places(photos)).withColumnRenamed("place_id", "business_id")
+    more = pages.where("part > 0").withColumnRenamed("place_id", "business_id")
     more = more.withColumn("user_id", F.lit(user))
     writers.publish(writers.as_messages(more, "user_id", "business_id", "part", "photos", key=F.col("user_id")), fmt, **options)
 

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from savormap.functions.geo import bounding_box, degrees_spanned, distance_km
 from savormap.operators.shaping import known_rows
-from savormap.skew import LIST_ROWS, gather_lists, salt_of
+from savormap.skew import bounded_lists, gather_lists, salt_of
 
 # Details of a place in a message.
 PLACE_DETAILS = ("name", "address", "dist_km", "latitude", "longitude", "stars", "hours")
 CELL_SALTS = 16
-PHOTO_ROWS = 100  # photos of a place that a message carries beside it
+MESSAGE_BYTES = 4 * 1024 * 1024  # what a broker is set to take
+PHOTO_BYTES = 64 * 1024  # of the photos that a message carries beside a place
 
 
 def located(places: DataFrame) -> DataFrame:
@@ -65,32 +66,40 @@ def within_city(
     return within_radius(places.where(F.col("city") == city), lat, lon, km, metric, keep)
 
 
-def photo_lists(photos: DataFrame, rows: int = LIST_ROWS) -> DataFrame:
-    """Per place, pages of photo ids with their captions, by photo id; null captions stay beside their photo."""
-    return gather_lists(
-        photos, ["place_id"], ["photo_id", "caption"], "photos", [F.col("photo_id")], rows
-    )
+def photo_lists(photos: DataFrame, rows: int | None = None, limit: int = PHOTO_BYTES) -> DataFrame:
+    """Per place, pages of photo ids with their captions, by photo id; null captions stay beside their photo.
+
+    Pages have at most ``limit`` bytes of JSON, or, if given, ``rows`` photos.
+    """
+    items, order = ["photo_id", "caption"], [F.col("photo_id")]
+    if rows is None:
+        return bounded_lists(photos, ["place_id"], items, "photos", limit, order)
+    return gather_lists(photos, ["place_id"], items, "photos", order, rows)
 
 
-def with_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) -> DataFrame:
-    """Places in range, each once, with the first page of their photos; places without keep a null list.
+def beside(found: DataFrame, pages: DataFrame) -> DataFrame:
+    """Places in range, each once, with the first of their ``pages`` of photos; places without keep a null list.
 
-    ``photo_pages`` says how many pages there are. ``further_photos`` gives the rest.
+    ``photo_pages`` says how many pages there are.
     """
-    pages = all_photos(found, photos, rows)
     counts = pages.groupBy("place_id").agg(F.count(F.lit(1)).alias("photo_pages"))
     first = pages.where("part = 0").select("place_id", "photos").join(counts, "place_id")
     return found.join(first, "place_id", "left")
 
 
-def further_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) -> DataFrame:
+def with_photos(found: DataFrame, photos: DataFrame, rows: int | None = None, limit: int = PHOTO_BYTES) -> DataFrame:
+    """Places in range with the first page of their photos; ``further_photos`` gives the rest."""
+    return beside(found, all_photos(found, photos, rows, limit))
+
+
+def further_photos(found: DataFrame, photos: DataFrame, rows: int | None = None, limit: int = PHOTO_BYTES) -> DataFrame:
     """Later pages of the photos of places in range: ``place_id, part, photos``, from part 1 on."""
-    return all_photos(found, photos, rows).where("part > 0")
+    return all_photos(found, photos, rows, limit).where("part > 0")
 
 
-def all_photos(found: DataFrame, photos: DataFrame, rows: int = PHOTO_ROWS) -> DataFrame:
+def all_photos(found: DataFrame, photos: DataFrame, rows: int | None = None, limit: int = PHOTO_BYTES) -> DataFrame:
     """All pages of the photos of places in range: ``place_id, part, photos``."""
-    return photo_lists(_photos_of(found, photos), rows)
+    return photo_lists(_photos_of(found, photos), rows, limit)
 
 
 def _photos_of(found: DataFrame, photos: DataFrame) -> DataFrame:
@@ -153,22 +162,23 @@ def range_join(
 
 
 def range_messages(
-    found: DataFrame, rows: int = LIST_ROWS, place: str = "place_id"
+    found: DataFrame, rows: int | None = None, place: str = "place_id", limit: int = MESSAGE_BYTES
 ) -> DataFrame:
     """Typed messages of each request: the user and a page of the places in range, nearest first.
 
-    A list longer than ``rows`` continues in further messages of the same user, in
-    order. An entry is a place's details and one page of its photos at most.
+    A message has at most ``limit`` bytes of JSON, or, if given, ``rows`` places. A longer
+    list continues in further messages of the same user, in order. An entry is a
+    place's details and one page of its photos at most, so it is far below ``limit``.
     """
-    lists = gather_lists(
-        found,
-        ["request_id", "user_id"],
-        [c for c in found.columns if c not in ("request_id", "user_id")],
-        "business_id_listInRange",
-        [F.col("dist_km"), F.col(place)],
-        rows,
-    )
-    return lists.select("request_id", "user_id", "part", "business_id_listInRange")
+    keys, name = ["request_id", "user_id"], "business_id_listInRange"
+    items = [c for c in found.columns if c not in keys]
+    order = [F.col("dist_km"), F.col(place)]
+    if rows is None:
+        # Half a kilobyte is for the user and the names around the list.
+        lists = bounded_lists(found, keys, items, name, limit - 512, order)
+    else:
+        lists = gather_lists(found, keys, items, name, order, rows)
+    return lists.select(*keys, "part", name)
 
 
 def reviews_in_range(reviews: DataFrame, found: DataFrame, on: str = "place_id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from savormap.functions.geo import haversine, planar100, wkt_latitude, wkt_longitude, wkt_point
@@ -10,9 +11,11 @@ from savormap.operators.metrics import summary_statistics
 from savormap.plans import views
 from savormap.plans.registry import query
 from savormap.plans.views import sql_over
+from savormap.skew import LIST_ROWS
 from savormap.storage import cut_lineage
 
 LAT, LON, KM, CITY = 45.5, -122.5, 20.0, "NATION_3"
+SMALL_MESSAGE, SMALL_PAGE = 8 * 1024, 1024  # bounds under which the lists of the tables take several pages
 
 _DIST = "sqrt(pow(latitude - 45.5, 2) + pow(longitude + 122.5, 2)) * 100"
 _NEAR = f"SELECT *, {_DIST} AS dist_km FROM places WHERE {_DIST} < 20"
@@ -127,9 +130,10 @@ def distance_summary(spark, sf):
 _PHOTO_ROWS = "photo_id, caption"
 
 
-@query("A3", sql_over("photos", f"SELECT place_id, CAST(0 AS BIGINT) AS part, row_number() OVER (PARTITION BY place_id ORDER BY photo_id) - 1 AS pos, {_PHOTO_ROWS} FROM photos"))
+@query("A3", sql_over("photos", f"""SELECT place_id, (row_number() OVER w - 1) // 4000 AS part, (row_number() OVER w - 1) % 4000 AS pos, {_PHOTO_ROWS}
+         FROM photos WINDOW w AS (PARTITION BY place_id ORDER BY photo_id)"""))
 def photo_list_entries(spark, sf):
-    lists = geo.photo_lists(views.photos(spark, sf))
+    lists = geo.photo_lists(views.photos(spark, sf), rows=LIST_ROWS)
     listed = lists.select("place_id", "part", F.posexplode("photos"))
     return listed.select("place_id", "part", F.col("pos").cast("long").alias("pos"), "col.photo_id", "col.caption")
 
@@ -164,36 +168,40 @@ def range_message_pages(spark, sf):
     sql_over(
         "places photos",
         f"""SELECT n.place_id, name, address, round(dist_km, 6) AS dist_km, latitude, longitude, stars, hours,
-              count(photo_id) AS n_photos, string_agg(CAST(photo_id AS VARCHAR), ',' ORDER BY photo_id) AS photo_ids,
-              string_agg(coalesce(caption, '-'), ',' ORDER BY photo_id) FILTER (photo_id IS NOT NULL) AS captions
-            FROM ({_NEAR}) n LEFT JOIN photos USING (place_id) WHERE city = 'NATION_3'
-            GROUP BY ALL""",
+              count(photo_id) OVER (PARTITION BY n.place_id) AS n_photos,
+              CASE WHEN photo_id IS NOT NULL THEN row_number() OVER (PARTITION BY n.place_id ORDER BY photo_id) - 1 END AS pos,
+              photo_id, caption
+            FROM ({_NEAR}) n LEFT JOIN photos USING (place_id) WHERE city = 'NATION_3'""",
     ),
 )
 def places_with_photos(spark, sf):
+    """A row for each photo, in the order of its place's pages; a place without photos has one row."""
     keep = ["place_id", *[c for c in geo.PLACE_DETAILS if c != "dist_km"]]
-    found = geo.within_city(views.places(spark, sf), CITY, LAT, LON, KM, keep=keep)
-    pages = geo.all_photos(cut_lineage(found), views.photos(spark, sf))
-    joined = lambda f: F.array_join(F.transform("photos", f), ",")
-    written = pages.select(
+    found = cut_lineage(geo.within_city(views.places(spark, sf), CITY, LAT, LON, KM, keep=keep))
+    pages = cut_lineage(geo.all_photos(found, views.photos(spark, sf), limit=SMALL_PAGE))
+    # One row per page, so the window over a place's pages is far shorter than its list.
+    sizes = pages.select("place_id", "part", F.size("photos").cast("long").alias("n"))
+    place = Window.partitionBy("place_id")
+    ahead = place.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = sizes.select(
         "place_id",
         "part",
-        F.size("photos").alias("n"),
-        joined(lambda p: p["photo_id"].cast("string")).alias("ids"),
-        joined(lambda p: F.coalesce(p["caption"], F.lit("-"))).alias("captions"),
+        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_before"),
+        F.sum("n").over(place).alias("n_photos"),
+    )
+    photos = pages.join(counted, ["place_id", "part"]).select(
+        "place_id", "n_photos", "_before", F.posexplode("photos").alias("_at", "photo")
     )
-    in_order = F.array_sort(F.collect_list(F.struct("part", "ids", "captions")))
-    whole = written.groupBy("place_id").agg(F.sum("n").alias("n_photos"), in_order.alias("pages"))
-    return found.join(whole, "place_id", "left").select(
+    return found.join(photos, "place_id", "left").select(
         "place_id",
         *[F.round(c, 6).alias(c) if c == "dist_km" else c for c in geo.PLACE_DETAILS],
         F.coalesce("n_photos", F.lit(0)).cast("long").alias("n_photos"),
-        F.array_join("pages.ids", ",").alias("photo_ids"),
-        F.array_join("pages.captions", ",").alias("captions"),
+        (F.col("_before") + F.col("_at")).cast("long").alias("pos"),
+        "photo.photo_id",
+        "photo.caption",
     )
 
 
-
 @query(
     "G3",
     sql_over("found", "SELECT request_id, place_id, round(dist_km, 6) AS dist_km FROM found"),
@@ -203,11 +211,58 @@ def places_of_all_requests(spark, sf):
     return _rounded(found.select("request_id", "place_id", "dist_km"), "dist_km")
 
 
+def _found(spark, sf):
+    return geo.range_join(views.places(spark, sf), views.requests(spark, sf), same_city=True)
+
+
+def _messages(spark, sf, limit=geo.MESSAGE_BYTES, photo_limit=geo.PHOTO_BYTES):
+    """Range messages of all requests, and all pages of the photos; what is in range is worked out once."""
+    found = cut_lineage(_found(spark, sf))
+    pages = cut_lineage(geo.all_photos(found, views.photos(spark, sf), limit=photo_limit))
+    listed = geo.beside(found, pages).drop("photo_pages", "city")
+    return geo.range_messages(listed, limit=limit), pages
+
+
 def range_message_rows(spark, sf):
     """Range messages of all requests."""
-    found = geo.range_join(views.places(spark, sf), views.requests(spark, sf), same_city=True)
-    listed = geo.with_photos(cut_lineage(found), views.photos(spark, sf))
-    return geo.range_messages(listed.drop("photo_pages", "city"))
+    return _messages(spark, sf)[0]
+
+
+@query(
+    "F-10 G5 K2",
+    sql_over(
+        "found",
+        """ SELECT request_id, user_id, row_number() OVER (PARTITION BY request_id ORDER BY dist_km, place_id) - 1 AS pos,
+          place_id, true AS fits, count(*) OVER (PARTITION BY request_id) AS n_places FROM found""",
+    ),
+)
+def entries_of_small_messages(spark, sf):
+    """Messages bounded by few bytes: within the bound, and in turn the whole list in order."""
+    messages = cut_lineage(_messages(spark, sf, SMALL_MESSAGE, SMALL_PAGE)[0])
+    request = Window.partitionBy("request_id")
+    ahead = request.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    value = F.to_json(F.struct("user_id", "business_id_listInRange"))
+    sizes = messages.select(
+        "request_id",
+        "part",
+        F.size("business_id_listInRange").cast("long").alias("n"),
+        (F.octet_length(value) <= SMALL_MESSAGE).alias("fits"),
+    ).select(
+        "request_id",
+        "part",
+        "fits",
+        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_before"),
+        F.sum("n").over(request).alias("n_places"),
+    )
+    entries = messages.select("request_id", "user_id", "part", F.posexplode("business_id_listInRange").alias("_at", "entry"))
+    return entries.join(sizes, ["request_id", "part"]).select(
+        "request_id",
+        "user_id",
+        (F.col("_before") + F.col("_at")).cast("long").alias("pos"),
+        F.col("entry.place_id").alias("place_id"),
+        "fits",
+        "n_places",
+    )
 
 
 @query(
@@ -221,25 +276,30 @@ def range_message_rows(spark, sf):
     ),
 )
 def range_message_entries(spark, sf):
-    messages = range_message_rows(spark, sf)
-    as_json = messages.withColumn("value", F.to_json(F.struct("user_id", "business_id_listInRange")))
+    messages, pages = _messages(spark, sf)
+    # A request's places before each of its messages: one row per message.
+    stored = cut_lineage(messages)
+    ahead = Window.partitionBy("request_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = stored.select("request_id", "part", F.size("business_id_listInRange").alias("n")).select(
+        "request_id", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_before")
+    )
+    as_json = stored.withColumn("value", F.to_json(F.struct("user_id", "business_id_listInRange")))
     parsed = as_json.select(
         "request_id",
-        F.from_json("value", messages.select("user_id", "business_id_listInRange").schema).alias("m"),
-    ).select("request_id", "m.user_id", F.posexplode("m.business_id_listInRange"))
-    entries = parsed.select(
+        "part",
+        F.from_json("value", stored.select("user_id", "business_id_listInRange").schema).alias("m"),
+    ).select("request_id", "part", "m.user_id", F.posexplode("m.business_id_listInRange"))
+    more = pages.where("part > 0").groupBy("place_id").agg(F.sum(F.size("photos")).alias("_more"))
+    entries = parsed.join(begins, ["request_id", "part"]).select(
         "request_id",
         "user_id",
-        F.col("pos").cast("long").alias("pos"),
+        (F.col("_before") + F.col("pos")).cast("long").alias("pos"),
         "col.place_id",
         "col.name",
         "col.stars",
         F.round("col.dist_km", 6).alias("dist_km"),
         F.coalesce(F.size("col.photos"), F.lit(0)).cast("long").alias("_shown"),
     )
-    found = geo.range_join(views.places(spark, sf), views.requests(spark, sf), same_city=True)
-    further = geo.further_photos(found, views.photos(spark, sf))
-    more = further.groupBy("place_id").agg(F.sum(F.size("photos")).alias("_more"))
     n_photos = F.col("_shown") + F.coalesce("_more", F.lit(0))
     return entries.join(more, "place_id", "left").withColumn("n_photos", n_photos).drop("_shown", "_more")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from savormap.storage import cut_lineage
 
-LIST_ROWS = 4_000  # entries of a page; at up to 1 KB each they fit a message of 4 MiB
+LIST_ROWS = 4_000  # entries of a page that is cut by rows
 SMALL_ROWS = 10_000  # rows a side may have to be broadcast by hand
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the lower 33 bits
 
@@ -81,6 +81,67 @@ def ranked(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name:
     return joined.withColumn(name, F.col(name) - F.col("_first")).drop("_first", *[n for _, n in pairs])
 
 
+def running_sums(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: Column, name: str
+) -> DataFrame:
+    """Rows with the sum of ``value`` (a long) over the rows before them in their group, under a total order.
+
+    As ``ranked``: rows are range-partitioned, each partition adds up on its own, and
+    what lies before it comes from one row per partition. So a hot group's sums are
+    made in many tasks. The partitions are stored, since a second range sampling could
+    cut them elsewhere.
+    """
+    order = [*[F.col(k) for k in keys], *order_by]
+    stored = cut_lineage(
+        df.withColumn("_value", value.cast("long")).repartitionByRange(*order).withColumn("_piece", F.spark_partition_id())
+    )
+    inside = Window.partitionBy("_piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition, so the ordered window and the broadcast are bounded.
+    offsets = (
+        stored.groupBy("_piece")
+        .agg(F.sum("_value").alias("_size"))
+        .select("_piece", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_before"))
+    )
+    placed = (
+        stored.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), "_piece")
+        .withColumn(name, F.col("_before") + F.col("_inside"))
+        .drop("_piece", "_before", "_inside", "_value")
+    )
+    pairs = [(k, f"_of_{k}") for k in keys]
+    firsts = placed.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys]).agg(F.min(name).alias("_first"))
+    joined = placed.join(firsts, _all_equal(placed, firsts, pairs))
+    return joined.withColumn(name, F.col(name) - F.col("_first")).drop("_first", *[n for _, n in pairs])
+
+
+def json_bytes(items: Sequence[str]) -> Column:
+    """What an entry of these columns takes in a JSON list, with its comma."""
+    return F.octet_length(F.to_json(F.struct(*items))) + 1
+
+
+def bounded_lists(
+    df: DataFrame,
+    keys: Sequence[str],
+    items: Sequence[str],
+    list_name: str,
+    limit: int,
+    order_by: Sequence[Column] | None = None,
+) -> DataFrame:
+    """Sorted lists in pages of at most ``limit`` bytes of JSON: one row per (keys, part).
+
+    A page holds the entries that begin in one half ``limit`` of their group's running
+    sum of bytes, so it ends less than one entry beyond that half. It stays within
+    ``limit`` as long as no single entry takes more than the other half; a wider one can't
+    be cut here. Reading the pages of a group in turn gives its whole list in order; parts
+    may skip numbers where an entry is wider than a half.
+    """
+    order_by = list(order_by or [F.col(i) for i in items])
+    placed = running_sums(df, keys, order_by, json_bytes(items), "_bytes")
+    paged = placed.withColumn("part", F.floor(F.col("_bytes") / F.lit(max(1, limit // 2))).cast("long"))
+    return sorted_lists(paged, [*keys, "part"], items, list_name, order_by)
+
+
 def sorted_lists(
     df: DataFrame,
     keys: Sequence[str],

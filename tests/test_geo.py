@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from savormap.functions.geo import distance_km, wkt_latitude, wkt_longitude
 from savormap.operators import geo
 from savormap.plans import geo_queries
+from savormap.skew import running_sums
 from tests.conftest import plan_of
 
 PLACES = "place_id long, name string, address string, city string, latitude double, longitude double, stars double, hours string"
@@ -151,9 +152,51 @@ def test_queries_show_all_photos_of_a_hot_place(spark, monkeypatch):
     )
     for name, table in (("places", places), ("photos", photos), ("requests", requests)):
         monkeypatch.setattr(geo_queries.views, name, lambda spark, sf, table=table: table)
-    shown = {r["place_id"]: r for r in geo_queries.places_with_photos(spark, "").collect()}
-    assert shown[1]["n_photos"] == 350 and shown[1]["photo_ids"] == ",".join(map(str, range(350)))
-    assert shown[1]["captions"] == ",".join("-" if n % 2 else f"c{n}" for n in range(350))
-    assert shown[2]["n_photos"] == 0 and shown[2]["photo_ids"] is None
+    shown = geo_queries.places_with_photos(spark, "").orderBy("place_id", "pos").collect()
+    assert [(r["pos"], r["photo_id"], r["caption"], r["n_photos"]) for r in shown if r["place_id"] == 1] == [
+        (n, n, None if n % 2 else f"c{n}", 350) for n in range(350)
+    ]
+    assert [(r["pos"], r["photo_id"], r["n_photos"]) for r in shown if r["place_id"] == 2] == [(None, None, 0)]
     entries = geo_queries.range_message_entries(spark, "").collect()
     assert {r["place_id"]: r["n_photos"] for r in entries} == {1: 350, 2: 0}
+
+
+@pytest.mark.parametrize("limit", [20_000, 200_000])
+def test_messages_keep_their_bound_whatever_the_rows(spark, scattered, limit):
+    """A hundred wide photos a place, thousands of places of one request."""
+    requests = spark.createDataFrame(
+        [(1, "u1", "A", 45.0, -122.0, 60.0), (2, "u2", "A", 45.0, -122.0, 3.0)],
+        "request_id long, user_id string, city string, center_lat double, center_lon double, km double",
+    )
+    found = geo.range_join(scattered, requests).select("request_id", "user_id", "place_id", "dist_km")
+    numbers = F.expr("explode(sequence(0L, 99L))").alias("photo_id")
+    photos = scattered.select("place_id", numbers).withColumn("caption", F.repeat(F.lit("é"), 90))
+    pages = geo.all_photos(found, photos, limit=4_000)
+    listed = geo.beside(found, pages).drop("photo_pages")
+    messages = geo.range_messages(listed, limit=limit)
+    sizes = messages.select(F.octet_length(F.to_json(F.struct("user_id", "business_id_listInRange"))).alias("n"))
+    assert sizes.where(F.col("n") > limit).count() == 0 and sizes.count() > 2
+    assert pages.where(F.octet_length(F.to_json(F.struct("photos"))) > 4_000).count() == 0
+    places = {}
+    for m in sorted(messages.collect(), key=lambda m: m["part"]):
+        places.setdefault(m["request_id"], []).extend((e["dist_km"], e["place_id"]) for e in m["business_id_listInRange"])
+    wanted = {}
+    for r in found.collect():
+        wanted.setdefault(r["request_id"], []).append((r["dist_km"], r["place_id"]))
+    assert places == {k: sorted(v) for k, v in wanted.items()}
+    kept = {}
+    for p in sorted(pages.collect(), key=lambda p: p["part"]):
+        kept.setdefault(p["place_id"], []).extend(x["photo_id"] for x in p["photos"])
+    assert all(v == list(range(100)) for v in kept.values()) and len(kept) == found.select("place_id").distinct().count()
+
+
+def test_running_sums_are_those_of_each_group(spark):
+    rows = [(n % 3 if n % 7 else None, n, n % 11) for n in range(500)]
+    df = spark.createDataFrame(rows, "k long, at long, v long").repartition(5)
+    got = {(r["k"], r["at"]): r["before"] for r in running_sums(df, ["k"], [F.col("at")], F.col("v"), "before").collect()}
+    wanted, total = {}, {}
+    for k, at, v in rows:
+        wanted[k, at] = total.get(k, 0)
+        total[k] = total.get(k, 0) + v
+    assert got == wanted
+    assert running_sums(df.limit(0), ["k"], [F.col("at")], F.col("v"), "before").count() == 0
