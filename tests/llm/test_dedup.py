@@ -235,21 +235,46 @@ def test_vectors_against_all_pairs(spark, block):
     assert (got[None]["n_links"], got[None]["component_id"], got[None]["kept"]) == (0, None, False)
 
 
-@pytest.mark.parametrize("mean", [0.0, 0.5, 0.65, 0.8])
-def test_links_at_the_threshold_meet_where_vectors_share_a_mean(mean):
+@pytest.mark.parametrize("length", [8, 32, 64, 384])
+@pytest.mark.parametrize("mean", [0.0, 0.5, 0.8, 0.9])
+def test_links_meet_whatever_the_mean_and_length(mean, length):
+    """Recall at the threshold on vectors the index has not seen, and buckets that stay balanced."""
     draw = np.random.default_rng(0)
-    shared = np.zeros(64)
-    shared[0] = np.sqrt(mean / (1 - mean))
-    one = vectors.units(draw.normal(size=(1_500, 64)) / 8 + shared)
-    away = draw.normal(size=one.shape)
-    away = vectors.units(away - (away * one).sum(axis=1, keepdims=True) * one)
+    shared = np.zeros(length)
+    shared[0] = np.sqrt(mean / (1 - mean)) * np.sqrt(length) / 8
+    vecs = lambda n: vectors.units(draw.normal(size=(n, length)) / 8 + shared)
+    index = vectors.learnt(vecs(2_000), 100_000, 0.95)
+    one, pool = vecs(2_000), vecs(2_000)
+    away = vectors.units((away := draw.normal(size=one.shape)) - (away * one).sum(axis=1, keepdims=True) * one)
     cosine = draw.uniform(0.95, 0.96, (len(one), 1))
-    other = one * cosine + away * np.sqrt(1 - cosine**2)
-    turns = vectors.rotations(np.concatenate([one, other]))
-    a, b = vectors.codes_of(one, turns), vectors.codes_of(other, turns)
-    met = np.any([np.bitwise_count(x ^ y) <= 1 for x, y in zip(vectors.parts(a), vectors.parts(b), strict=True)], axis=0)
-    within = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= vectors.RADIUS
+    a, b = index.codes(one), index.codes(one * cosine + away * np.sqrt(1 - cosine**2))
+    met = np.any([np.bitwise_count(x ^ y) <= 1 for x, y in zip(index.parts(a), index.parts(b), strict=True)], axis=0)
+    within = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= index.radius
     assert (met & within).mean() >= 0.99
+    ones = np.unpackbits(index.codes(pool)[:, 0].copy().view(np.uint8)).mean() * 64 / min(64, length)
+    assert 0.4 < ones < 0.6
+    largest = max(np.unique(k, return_counts=True)[1].max() for k in index.parts(index.codes(pool)))
+    # Vectors nearly as close as the threshold anyway are compared in one bucket, exactly.
+    assert not index.width or largest < len(pool) / 8
+    assert index.width or mean >= 0.8 or length == 8
+
+
+def test_vectors_of_two_lengths_link_among_themselves(spark):
+    draw = np.random.default_rng(4)
+    long, short = draw.normal(size=(30, 64)), draw.normal(size=(3, 2))
+    rows = [(n, long[n % 30].tolist()) for n in range(40)] + [(100 + n, short[n % 3].tolist()) for n in range(7)] + [(200, [1.0])]
+    df = prepared(spark).createDataFrame(
+        [(*r, "mine", 1, b"d") for r in rows], "vec_id long, embedding array<double>, digest string, node int, vec binary"
+    )
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in vectors.near_vectors(df).collect()}
+    wanted = {}
+    for n, v in rows:
+        near = [
+            m for m, w in rows
+            if len(w) == len(v) and np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w) >= 0.95
+        ]
+        wanted[n] = (len(near) - 1, min(near), min(near) == n)
+    assert got == wanted and wanted[100][0] > 0
 
 
 def test_vectors_of_an_empty_table(spark):
