@@ -82,7 +82,6 @@ def test_factors_feed_the_rating_stream(spark, tables, tmp_path):
         )
         streams.with_trigger(writer, drain=True).start().awaitTermination()
         assert [(r["user_id"], r["ts"]) for r in store.read().collect()] == [(3, 9)]
-        store.compact(0, streams.run_of(spark, str(tmp_path / run)))
 
 
 def test_city_reviews(spark, tables, tmp_path):

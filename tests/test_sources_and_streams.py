@@ -80,30 +80,34 @@ STORE = T.StructType(
 )
 
 
-def test_store_replays_and_compacts(spark, tmp_path):
-    store = writers.KeyedStore(spark, str(tmp_path / "store"), STORE, ["uid"], ["ts"])
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_store_keeps_the_latest_version(spark, tmp_path, buckets):
+    store = writers.KeyedStore(spark, str(tmp_path / "store"), STORE, ["uid"], ["ts"], buckets)
     assert store.read().count() == 0
-    put = lambda rows, batch: store.upsert(spark.createDataFrame(rows, STORE), batch)
+    put = lambda rows: store.upsert(spark.createDataFrame(rows, STORE))
     now = lambda: {r["uid"]: r["v"] for r in store.read().collect()}
-    put([(1, 10, "a"), (1, 12, "b"), (2, 10, "c")], 0)
-    assert now() == {1: "b", 2: "c"}
-    put([(1, 11, "late"), (3, 1, "d")], 1)
-    put([(1, 11, "late"), (3, 1, "d")], 1)
-    assert now() == {1: "b", 2: "c", 3: "d"}
-    store.compact(1)
-    store.compact(1)
-    assert now() == {1: "b", 2: "c", 3: "d"}
-    put([(2, 20, "new")], 2)
-    assert now() == {1: "b", 2: "new", 3: "d"}
-    (tmp_path / "store" / "base" / "through=9").mkdir()  # a base that was never finished
-    assert now() == {1: "b", 2: "new", 3: "d"}
-    store.compact(2)
-    assert now() == {1: "b", 2: "new", 3: "d"}
-    store.expire()
-    assert now() == {1: "b", 2: "new", 3: "d"}
-    assert not list((tmp_path / "store" / "changes").glob("batch_id=*"))
-    put([(3, 2, "e")], 3)
-    assert now() == {1: "b", 2: "new", 3: "e"}
+    put([(1, 10, "a"), (1, 12, "b"), (2, 10, "c"), (None, 1, "n")])
+    assert now() == {1: "b", 2: "c", None: "n"}
+    put([(1, 11, "late"), (3, 1, "d")])
+    put([(1, 11, "late"), (3, 1, "d")])  # a replay
+    assert now() == {1: "b", 2: "c", 3: "d", None: "n"}
+    put([])
+    put([(2, 20, "new"), (None, 2, "m")])
+    assert now() == {1: "b", 2: "new", 3: "d", None: "m"}
+    again = writers.KeyedStore(spark, str(tmp_path / "store"), STORE, ["uid"], ["ts"], buckets)
+    again.upsert(spark.createDataFrame([(7, 1, "x")], STORE))  # another run of the stream
+    assert now() == {1: "b", 2: "new", 3: "d", 7: "x", None: "m"}
+
+
+def test_a_batch_replaces_only_its_buckets(spark, tmp_path):
+    store = writers.KeyedStore(spark, str(tmp_path / "store"), STORE, ["uid"], ["ts"], 8)
+    store.upsert(spark.range(100).selectExpr("id AS uid", "1L AS ts", "'a' AS v"))
+    files = lambda: {str(p) for p in (tmp_path / "store" / "current").rglob("*.parquet")}
+    before = files()
+    store.upsert(spark.createDataFrame([(5, 2, "b")], STORE))
+    folder = lambda paths: {p.split("_bucket=")[1].split("/")[0] for p in paths}
+    assert len(folder(files() - before)) == 1 and folder(files()) == folder(before)
+    assert store.read().count() == 100
 
 
 class FakeContext:
@@ -165,7 +169,7 @@ def flat(df):
     )
 
 
-def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path, monkeypatch):
+def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path):
     ratings, sims = small_world
     messages = [
         {"user": u, "restaurant": (u * 5 + t) % 14, "rating": 4.0, "timestamp": 100 + t}
@@ -178,7 +182,6 @@ def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path, monke
         lines = [json.dumps(m) for m in messages[n::4]] + ['{"user": 1}']
         (inbox / f"{n}.txt").write_text("\n".join(lines))
     store = jobs.recommendation_store(spark, str(tmp_path / "store"))
-    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
     stream = readers.read_message_files(spark, str(inbox), files_per_batch=1)
     writer = jobs.rating_stream(
         stream, ratings, ratings, sims, store, str(tmp_path / "bad"), str(tmp_path / "state")
@@ -187,7 +190,6 @@ def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path, monke
     static = jobs.accepted(jobs.parse_ratings(spark.read.text(str(inbox))))
     batch = jobs.recommendations_for(static, ratings, ratings, sims)
     assert flat(store.read()) == flat(batch)
-    assert (tmp_path / "store" / "base" / "through=2" / "_SUCCESS").exists()
     assert {r["ts"] for r in store.read().collect()} == {104}
     assert store.read().count() == 8  # users and items nobody knows get an empty list
     assert spark.read.text(str(tmp_path / "bad")).count() == 4
@@ -232,20 +234,6 @@ def test_csv_tells_null_from_empty(spark, tmp_path):
     assert sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "csv"), df.schema).collect()), key=lambda r: r[1]) == rows
 
 
-def test_a_new_run_counts_batches_from_zero(spark, tmp_path):
-    store = writers.KeyedStore(spark, str(tmp_path / "store"), STORE, ["uid"], ["ts"])
-    put = lambda rows, batch, run: store.upsert(spark.createDataFrame(rows, STORE), batch, run)
-    put([(1, 1, "a")], 0, "r1")
-    put([(7, 1, "kept")], 2, "r1")
-    store.compact(2, "r1")
-    put([(1, 2, "b")], 0, "r2")
-    assert {r["uid"]: r["v"] for r in store.read().collect()} == {1: "b", 7: "kept"}
-    store.compact(0, "r2")
-    store.expire()
-    put([(8, 1, "late")], 1, "r2")
-    assert {r["uid"]: r["v"] for r in store.read().collect()} == {1: "b", 7: "kept", 8: "late"}
-
-
 def test_messages_of_a_batch_have_different_keys(spark):
     keys = writers.as_messages(spark.range(100)).select("key").distinct().count()
     assert keys == 100
