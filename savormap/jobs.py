@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from savormap import schemas
 from savormap.functions.text import normal_tokens
@@ -18,6 +19,7 @@ from savormap.operators import classify, geo, metrics, ranking, recommend, shapi
 from savormap.operators.similarity import LIST_THRESHOLD, similar_pairs
 from savormap.session import build_session
 from savormap.sources import readers, writers
+from savormap.sources.lookup import LookupTable
 from savormap.storage import cut_lineage, remove_scratch
 from savormap.streaming import jobs as streams
 
@@ -113,10 +115,16 @@ def store_chain(reviews: DataFrame, users: DataFrame, items: DataFrame, sims: Da
         F.col("user_idx").alias("user_id"),
         F.col("item_idx").alias("item_id"),
         F.col("stars").cast("double").alias("stars"),
-        F.col("date").alias("ts"),
+        F.unix_seconds("date").alias("ts"),
     )
-    for name, table in (("users", users), ("items", items), ("ratings", rated), ("sims", sims)):
+    for name, table in (("users", users), ("items", items), ("ratings", rated)):
         writers.overwrite_collection(table, "parquet", path=f"{folder}/{name}")
+    similar_lookup(sims.sparkSession, f"{folder}/sims").write(sims)
+
+
+def similar_lookup(spark: SparkSession, path: str) -> LookupTable:
+    """Similar places, laid out by the first one."""
+    return LookupTable(spark, path, T.StructType.fromDDL("a long, b long, sim double"), "a")
 
 
 def tune_factors(
@@ -182,23 +190,17 @@ def answer_ratings(
     servers: str,
     source: str,
     ratings: DataFrame,
-    sims: DataFrame,
+    sims: LookupTable,
     store: str,
     state: str,
 ):
-    """Rating messages of a topic in, the current list of each user in a store."""
-    recent = cut_lineage(ranking.recent_ratings(ratings).select("user_id", "item_id", "stars"))
-    rated = cut_lineage(ratings.select("user_id", "item_id").distinct())
-    writer = streams.rating_stream(
-        readers.read_topic(spark, servers, source),
-        recent,
-        rated,
-        sims,
-        streams.recommendation_store(spark, store),
-        f"{store}/rejects",
-        state,
+    """Rating messages of a topic in, the current list of each user in a store; returns both running streams."""
+    messages = readers.read_topic(spark, servers, source)
+    lists = streams.rating_stream(
+        messages, ratings, sims, streams.recommendation_store(spark, store), f"{state}/lists"
     )
-    return streams.with_trigger(writer).start()
+    rejects = streams.reject_stream(messages, f"{store}/rejects", f"{state}/rejects")
+    return streams.with_trigger(lists).start(), streams.with_trigger(rejects).start()
 
 
 def _options(text: str) -> dict[str, str]:
@@ -270,8 +272,9 @@ def run_job(spark: SparkSession, a: argparse.Namespace) -> None:
         answer_ranges(spark, a.servers, a.source, a.sink, a.state).awaitTermination()
     else:
         answer_ratings(
-            spark, a.servers, a.source, table(a.ratings), table(a.sims), a.store, a.state
-        ).awaitTermination()
+            spark, a.servers, a.source, table(a.ratings), similar_lookup(spark, a.sims), a.store, a.state
+        )
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     # A split skewed join is worth one more shuffle when an aggregate follows it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # State per user lives on disk, not in the executors' heaps.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -68,18 +68,17 @@ def test_factors_feed_the_rating_stream(spark, tables, tmp_path):
     lists = spark.read.parquet(out("lists")["path"])
     scores = [[r["score"] for r in row["recs"]] for row in lists.collect()]
     assert lists.count() == 25 and all(s == sorted(s, reverse=True) and len(s) <= 50 for s in scores)
-    ratings, sims = spark.read.parquet(f"{chain}/ratings"), spark.read.parquet(f"{chain}/sims")
+    ratings = spark.read.parquet(f"{chain}/ratings")
     assert ratings.count() == tables[2].count() and spark.read.parquet(f"{chain}/items").count() == 40
+    sims = jobs.similar_lookup(spark, f"{chain}/sims")
     inbox = tmp_path / "in"
     inbox.mkdir()
     (inbox / "m.txt").write_text('{"user": 3, "restaurant": 5, "rating": 4.0, "timestamp": 9}\n')
-    recent = ranking.recent_ratings(ratings).select("user_id", "item_id", "stars")
     for run in ("one", "two"):  # the second starts with a new checkpoint and counts batches from 0 again
         store = streams.recommendation_store(spark, str(tmp_path / "store"))
         writer = streams.rating_stream(
-            readers.read_message_files(spark, str(inbox)), recent, ratings, sims, store,
-            str(tmp_path / "bad"), str(tmp_path / run),
-        )
+            readers.read_message_files(spark, str(inbox)), ratings, sims, store, str(tmp_path / run)
+        )
         streams.with_trigger(writer, drain=True).start().awaitTermination()
         assert [(r["user_id"], r["ts"]) for r in store.read().collect()] == [(3, 9)]
 

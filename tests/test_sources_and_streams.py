@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from savormap import schemas, storage
+from savormap.operators import ranking
 from savormap.sources import readers, writers
+from savormap.sources.lookup import LookupTable
 from savormap.streaming import jobs
+from tests.conftest import plan_of
 
 
 def test_csv_keeps_quotes_lines_and_blanks(spark, tmp_path):
@@ -155,9 +158,10 @@ def test_rating_messages_need_every_field(spark):
 @pytest.fixture(scope="module")
 def small_world(spark):
     sims = [(a, b, 0.95 - abs(a - b) / 50) for a in range(12) for b in range(12) if a != b]
-    ratings = [(u, (u * 3 + i) % 12, float(1 + (u + i) % 5)) for u in range(6) for i in range(4)]
+    ratings = [(u, (u * 3 + i) % 12, float(1 + (u + i) % 5), 90 + i) for u in range(6) for i in range(4)]
+    ratings += ratings[:3]  # repeated rows count once
     return (
-        storage.cut_lineage(spark.createDataFrame(ratings, "user_id long, item_id long, stars double")),
+        storage.cut_lineage(spark.createDataFrame(ratings, "user_id long, item_id long, stars double, ts long")),
         storage.cut_lineage(spark.createDataFrame(sims, "a long, b long, sim double")),
     )
 
@@ -169,35 +173,54 @@ def flat(df):
     )
 
 
-def test_stream_equals_batch_and_latest_wins(spark, small_world, tmp_path):
+def test_streamed_ratings_count_and_latest_wins(spark, small_world, tmp_path):
+    """After batches in any order, the lists are those of one batch job over all ratings."""
     ratings, sims = small_world
     messages = [
-        {"user": u, "restaurant": (u * 5 + t) % 14, "rating": 4.0, "timestamp": 100 + t}
-        for t in range(5)
+        {"user": u, "restaurant": (u * 5 + t) % 14, "rating": float(1 + (u + t) % 5), "timestamp": 100 + t}
+        for t in (3, 0, 4, 1, 2)
         for u in range(8)
     ]
     inbox = tmp_path / "in"
     inbox.mkdir()
-    for n in range(4):
-        lines = [json.dumps(m) for m in messages[n::4]] + ['{"user": 1}']
+    for n in range(3):
+        lines = [json.dumps(m) for m in messages[n::3]] + ['{"user": 1}']
         (inbox / f"{n}.txt").write_text("\n".join(lines))
+    table = LookupTable(spark, str(tmp_path / "sims"), sims.schema, "a", 4).write(sims, files=2)
     store = jobs.recommendation_store(spark, str(tmp_path / "store"))
     stream = readers.read_message_files(spark, str(inbox), files_per_batch=1)
-    writer = jobs.rating_stream(
-        stream, ratings, ratings, sims, store, str(tmp_path / "bad"), str(tmp_path / "state")
-    )
+    keep = 5  # fewer than there are, so that old ratings give way
+    writer = jobs.rating_stream(stream, ratings, table, store, str(tmp_path / "state"), 0.5, 6, keep)
     jobs.with_trigger(writer, drain=True).start().awaitTermination()
+    rejects = jobs.reject_stream(stream, str(tmp_path / "bad"), str(tmp_path / "bad-state"))
+    jobs.with_trigger(rejects, drain=True).start().awaitTermination()
     static = jobs.accepted(jobs.parse_ratings(spark.read.text(str(inbox))))
-    batch = jobs.recommendations_for(static, ratings, ratings, sims)
+    known = ratings.unionByName(static.withColumnRenamed("rating", "stars")).distinct()
+    recent = ranking.recent_ratings(known, k=keep, ties=["stars"])
+    batch = jobs.recommendations_for(static, recent, known, sims, 0.5, 6)
     assert flat(store.read()) == flat(batch)
+    without = jobs.recommendations_for(static, ranking.recent_ratings(ratings, k=keep), ratings, sims, 0.5, 6)
+    assert flat(store.read()) != flat(without)
     assert {r["ts"] for r in store.read().collect()} == {104}
-    assert store.read().count() == 8  # users and items nobody knows get an empty list
-    assert spark.read.text(str(tmp_path / "bad")).count() == 4
-    rated = {(r["user_id"], r["item_id"]) for r in ratings.collect()}
+    assert store.read().count() == 8  # users nobody knew before have lists of their own ratings
+    assert spark.read.text(str(tmp_path / "bad")).count() == 3
+    rated = {(r["user_id"], r["item_id"]) for r in known.collect()}
     got = store.read().select("user_id", F.explode("recs.candidate").alias("c")).collect()
     assert got and not {(r["user_id"], r["c"]) for r in got} & rated
 
 
+def test_lookup_reads_its_keys_buckets_only(spark, small_world, tmp_path):
+    _, sims = small_world
+    table = LookupTable(spark, str(tmp_path / "sims"), sims.schema, "a", 4).write(sims)
+    wanted = spark.createDataFrame([(3,)], "item_id int")  # another integer type than the table's
+    rows = table.rows_for(wanted, "item_id")
+    filters = plan_of(rows).split("PartitionFilters: ")[1].split("\n")[0]
+    assert "_bucket#" in filters
+    got = {(r["a"], r["b"]) for r in rows.collect()}
+    assert {(3, b) for b in range(12) if b != 3} <= got < {(r["a"], r["b"]) for r in sims.collect()}
+    assert table.rows_for(wanted.limit(0), "item_id").count() == 0
+
+
 def test_each_range_message_gets_one_answer(spark, tmp_path):
     schema = schemas.RANGE_MESSAGE
     entry = lambda i, stars: {"business_id": i, "stars": stars, "photos": [{"photo_id": "1"}]}
