@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from savormap.operators import metrics, ranking, recommend
-from savormap.operators.products import top_products
+from savormap.operators.products import met_share, top_products
 
 SIMS = "a long, b long, sim double"
 
@@ -142,3 +142,38 @@ def test_affinity_needs_both_sides(spark):
     places = spark.createDataFrame([(1, [3.0, 0.5])], "place_id long, item_feature array<double>")
     rows = recommend.rank_by_affinity(found, users, places).collect()
     assert [(r["user_id"], r["place_id"], r["affinity"]) for r in rows] == [("u", 1, 4.0)]
+
+
+def _vectors(spark, first, vectors):
+    return spark.createDataFrame([(first + i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, vec array<double>")
+
+
+@pytest.mark.parametrize("blocks", [(64, 50), (100_000, 100_000)])
+def test_pruned_products_match_brute_force(spark, blocks):
+    """Lengths that differ widely, ties, zero vectors, null ones: the same best, far fewer products."""
+    rng = np.random.default_rng(3)
+    left = rng.normal(0, 1, (300, 8)) + 0.7
+    right = (rng.normal(0, 1, (900, 8)) + 0.5) * rng.lognormal(0, 1.2, 900)[:, None]
+    right[100:120] = right[400:420]  # equal products, the lower id wins
+    left[7], right[11] = 0, 0
+    ours, theirs = _vectors(spark, 0, left), _vectors(spark, 1_000, right)
+    theirs = theirs.unionByName(spark.createDataFrame([(9_999, None)], theirs.schema))
+    scores = left @ right.T
+    want = set()
+    for i, row in enumerate(scores):
+        order = [j for j in np.lexsort((np.arange(900), -row)) if row[j] > 0][:10]
+        want |= {(i, 1_000 + j, p) for p, j in enumerate(order, 1)}
+    got = {(r["left"], r["right"], r["position"]) for r in top_products(ours, theirs, 10, *blocks).collect()}
+    assert got == want
+    assert met_share(ours, theirs, 10) < 0.6
+    assert top_products(ours, theirs.limit(0), 10).count() == 0 == top_products(ours.limit(0), theirs, 10).count()
+
+
+def test_vectors_of_one_length_are_all_met(spark):
+    rng = np.random.default_rng(5)
+    unit = rng.normal(0, 1, (200, 6))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    side = _vectors(spark, 0, unit)
+    assert met_share(side, side, 3) > 0.9
+    best = top_products(side, side, 3).where("position = 1").collect()
+    assert len(best) == 200 and all(r["left"] == r["right"] for r in best)
