@@ -162,11 +162,12 @@ def review_report(labelled: DataFrame, iterations: int = 30) -> dict[str, DataFr
     known = shaping.known_rows(labelled, "text", "aspect_category", "polarity")
     ready = cut_lineage(known.withColumn("tokens", normal_tokens(F.col("text"))))
     train, test = shaping.split_rows(ready, ["text"])
-    reports, scored = {}, test.select("text", "tokens", "aspect_category", "polarity")
-    for label, output in (("aspect_category", "aspect"), ("polarity", "predicted_polarity")):
-        model = classify.fit_text_classifier(train, label, iterations=iterations)
-        scored = classify.predict_labels(model, scored, output).drop("probabilities")
-    scored = cut_lineage(scored)
+    models = classify.fit_text_classifiers(train, ("aspect_category", "polarity"), iterations=iterations)
+    scored = cut_lineage(
+        classify.predict_several(models, test.select("text", "tokens", "aspect_category", "polarity"))
+        .withColumnRenamed("predicted_aspect_category", "aspect")
+    )
+    reports = {}
     for label, output in (("aspect_category", "aspect"), ("polarity", "predicted_polarity")):
         reports[label] = metrics.classification_report(metrics.confusion(scored, label, output))
     table = metrics.crosstab_with_totals(scored, "aspect", "predicted_polarity")

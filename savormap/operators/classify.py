@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from savormap.functions.vectors import decided_class, star_of_scores
+from savormap.storage import cut_lineage
 
 VOCABULARY_WORDS = 5_999  # 6,000 columns, of which the first is reserved
 HIDDEN_LAYERS = (512, 256, 128)
@@ -70,13 +71,6 @@ def multi_hot(tokenised: DataFrame, table: DataFrame, key: str, tokens: str = "t
     return present.join(table.select("word", "rank"), "word").select(key, "rank")
 
 
-def label_indexer(column: str, output: str = "label_idx") -> StringIndexer:
-    """Sorted classes to 0..n-1; a label not seen in training is kept as n."""
-    return StringIndexer(
-        inputCol=column, outputCol=output, stringOrderType="alphabetAsc", handleInvalid="keep"
-    )
-
-
 def one_hot(df: DataFrame, column: str, output: str = "label_vec") -> DataFrame:
     """Class index and indicator array."""
     pipeline = Pipeline(
@@ -108,44 +102,79 @@ def fit_text_classifier(
     ``logistic`` is multinomial regression; ``perceptron`` takes the three
     hidden layers and needs the number of classes.
     """
-    indexer = StringIndexer(
+    vectors = vectoriser(train, tokens, words)
+    learner = _learner(algorithm, len(vectors.vocabulary), iterations, seed, classes)
+    return Pipeline(stages=[_label_coder(label), vectors, learner]).fit(train)
+
+
+def _label_coder(label: str) -> StringIndexer:
+    return StringIndexer(
         inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc", handleInvalid="error"
     )
-    vectors = vectoriser(train, tokens, words)
+
+
+def _learner(algorithm: str, width: int, iterations: int, seed: int, classes: int | None):
     if algorithm == "logistic":
-        learner = LogisticRegression(
+        return LogisticRegression(
             featuresCol="features",
             labelCol="label_idx",
             family="multinomial",
             maxIter=iterations,
             regParam=0.01,
         )
-    elif algorithm == "perceptron":
+    if algorithm == "perceptron":
         if classes is None:
             raise ValueError("the perceptron needs the number of classes")
-        learner = MultilayerPerceptronClassifier(
+        return MultilayerPerceptronClassifier(
             featuresCol="features",
             labelCol="label_idx",
-            layers=[len(vectors.vocabulary), *HIDDEN_LAYERS, classes],
+            layers=[width, *HIDDEN_LAYERS, classes],
             maxIter=iterations,
             seed=seed,
         )
-    else:
-        raise ValueError(f"unknown algorithm {algorithm!r}")
-    return Pipeline(stages=[indexer, vectors, learner]).fit(train)
+    raise ValueError(f"unknown algorithm {algorithm!r}")
+
+
+def fit_text_classifiers(
+    train: DataFrame,
+    labels: Sequence[str],
+    tokens: str = "tokens",
+    words: int = VOCABULARY_WORDS,
+    iterations: int = 30,
+) -> dict[str, PipelineModel]:
+    """A model for each label over one vocabulary and one stored pass of features.
+
+    A row teaches the labels it has; one without a label counts for the others and the vocabulary.
+    """
+    vectors = vectoriser(train, tokens, words)
+    ready = cut_lineage(vectors.transform(train.select(tokens, *labels)).drop(tokens))
+    models = {}
+    for label in labels:
+        coder = _label_coder(label).fit(ready.where(F.col(label).isNotNull()))
+        coded = coder.transform(ready.where(F.col(label).isNotNull()))
+        learner = _learner("logistic", len(vectors.vocabulary), iterations, 0, None)
+        models[label] = PipelineModel(stages=[coder, vectors, learner.fit(coded)])
+    return models
 
 
 def predict_labels(model: PipelineModel, df: DataFrame, output: str = "predicted") -> DataFrame:
     """Class probabilities, the decided class, and its name."""
-    labels = model.stages[0].labels
-    scored = df
-    for stage in model.stages[1:]:
-        scored = stage.transform(scored)
-    decided = scored.withColumn("probabilities", vector_to_array("probability")).withColumn(
-        "_class", decided_class(F.col("probabilities")).cast("double")
-    )
-    named = IndexToString(inputCol="_class", outputCol=output, labels=labels).transform(decided)
-    return named.drop("_class", "features", "rawPrediction", "probability", "prediction")
+    return _decided(model, model.stages[1].transform(df), output).drop("features")
+
+
+def predict_several(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """``predicted_<label>`` of every label of ``fit_text_classifiers``; features are made once."""
+    scored = next(iter(models.values())).stages[1].transform(df)
+    for label, model in models.items():
+        scored = _decided(model, scored, f"predicted_{label}").drop("probabilities")
+    return scored.drop("features")
+
+
+def _decided(model: PipelineModel, featured: DataFrame, output: str) -> DataFrame:
+    scored = model.stages[2].transform(featured).withColumn("probabilities", vector_to_array("probability"))
+    decided = scored.withColumn("_class", decided_class(F.col("probabilities")).cast("double"))
+    named = IndexToString(inputCol="_class", outputCol=output, labels=model.stages[0].labels).transform(decided)
+    return named.drop("_class", "rawPrediction", "probability", "prediction")
 
 
 Scorer = Callable[[Sequence[str]], np.ndarray]

@@ -73,6 +73,19 @@ def dense_index(df: DataFrame, id_column: str, index_column: str) -> DataFrame:
     )
 
 
+def extend_index(known: DataFrame, df: DataFrame, id_column: str, index_column: str) -> DataFrame:
+    """The index ``known`` with the ids of ``df`` that it lacks, numbered on from its largest number.
+
+    Old numbers stay, so what was fitted or stored by them remains valid. The new ids are
+    numbered in id order among themselves. Only they are sorted; the largest number is a
+    scalar subquery.
+    """
+    new = known_rows(df.select(id_column), id_column).distinct().join(known.select(id_column), id_column, "left_anti")
+    first = known.agg(F.coalesce(F.max(index_column) + 1, F.lit(0).cast("long")).alias("_first")).scalar()
+    added = dense_index(new, id_column, index_column).withColumn(index_column, F.col(index_column) + first)
+    return known.select(id_column, index_column).unionByName(added)
+
+
 def split_fraction(keys: Sequence[str], seed: int = 42) -> Column:
     """A number in [0, 1) fixed by the row's keys and the seed."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])

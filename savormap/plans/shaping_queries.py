@@ -8,6 +8,7 @@ from savormap.operators import recommend, shaping
 from savormap.plans import views
 from savormap.plans.registry import query
 from savormap.plans.views import sql_over
+from savormap.storage import cut_lineage
 
 
 @query(
@@ -129,3 +130,18 @@ def city_summary_sql(spark, sf):
         "SELECT city, count(*) AS n, max(latitude) AS north FROM {places} GROUP BY city",
         places=views.places(spark, sf),
     )
+
+
+@query(
+    "P10 P11",
+    sql_over(
+        "ratings",
+        """, marked AS (SELECT item_id, min(ts) >= DATE '1995-01-01' AS late FROM ratings GROUP BY item_id)
+        SELECT item_id, row_number() OVER (ORDER BY late, item_id) - 1 AS item_idx FROM marked""",
+    ),
+)
+def grown_item_index(spark, sf):
+    """Items of the early ratings numbered first; those that come later are added behind them."""
+    rated = views.ratings(spark, sf)
+    first = cut_lineage(shaping.dense_index(rated.where("ts < date '1995-01-01'"), "item_id", "item_idx"))
+    return shaping.extend_index(first, rated, "item_id", "item_idx")

@@ -147,3 +147,14 @@ def test_pages_follow_the_order(spark, hot):
         held += [e["v"] for e in r["vs"]]
     assert pages and all(p == sorted(p, reverse=True) for p in pages.values())
     assert sum(map(len, pages.values())) == hot.count()
+
+
+def test_an_index_grows_and_keeps_its_numbers(spark):
+    ids = lambda *values: spark.createDataFrame([(v, 1) for v in values], "id string, extra int")
+    index = shaping.dense_index(ids("m", "c", "m"), "id", "n")
+    grown = shaping.extend_index(index, ids("z", "c", "a", "a", None), "id", "n")
+    assert sorted((r["n"], r["id"]) for r in grown.collect()) == [(0, "c"), (1, "m"), (2, "a"), (3, "z")]
+    again = shaping.extend_index(grown, ids("a", "b"), "id", "n")
+    assert sorted((r["n"], r["id"]) for r in again.collect())[4:] == [(4, "b")] and again.count() == 5
+    from_nothing = shaping.extend_index(index.limit(0), ids("q", "p"), "id", "n")
+    assert sorted((r["n"], r["id"]) for r in from_nothing.collect()) == [(0, "p"), (1, "q")]

@@ -80,6 +80,20 @@ def test_classifier_beats_the_majority(spark, monkeypatch, algorithm):
     assert {"probabilities", "predicted"} <= set(scored.columns)
 
 
+def test_several_labels_share_features(spark):
+    """As fitted apart; a row without one label still teaches the other."""
+    rows = [(i, "ab"[i % 2], ["x", "y", None][i % 3], [f"l{i % 2}", f"m{i % 3}", f"n{i % 5}"]) for i in range(90)]
+    data = spark.createDataFrame(rows, "id int, one string, two string, tokens array<string>")
+    models = classify.fit_text_classifiers(data, ("one", "two"))
+    both = {r["id"]: r for r in classify.predict_several(models, data).collect()}
+    assert all(both[i]["predicted_one"] == one for i, one, _, _ in rows)
+    assert all(both[i]["predicted_two"] == two for i, _, two, _ in rows if two)
+    apart = classify.fit_text_classifier(data, "one")
+    assert {r["id"]: r["predicted"] for r in classify.predict_labels(apart, data).collect()} == {
+        i: r["predicted_one"] for i, r in both.items()
+    }
+
+
 def test_classifier_options_are_checked(spark):
     rows = spark.createDataFrame([("a", ["x"])], "l string, tokens array<string>")
     with pytest.raises(ValueError):
