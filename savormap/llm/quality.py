@@ -6,14 +6,13 @@ make one score; the mean, smallest and largest score of the chunks are combined
 into one probability by a last, calibrated layer.
 
 The network is fitted on a bounded sample of labelled rows, ``SAMPLE_ROWS`` with
-the smallest hashes, of each ``SAMPLE_CHUNKS`` evenly spread chunks at most. Scoring
-reads every byte. A null text counts as empty; an empty text is one chunk of padding
-and gets a score like any other, as does a row with a null or repeated ``doc_id``.
+the smallest hashes, whose texts are read whole; so is every text that is scored. A
+null text counts as empty; an empty text is one chunk of padding and gets a score like
+any other, as does a row with a null or repeated ``doc_id``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +23,6 @@ from pyspark.sql import functions as F
 from savormap.llm.common import fresh, text_of, texts
 
 SAMPLE_ROWS = 3_000
-SAMPLE_CHUNKS = 4
 CHUNK = 1_024
 OVERLAP = 32
 EMBEDDED = 8
@@ -129,6 +127,9 @@ def fit(sample: list[tuple[bytes, int]], steps: int = STEPS, seed: int = 7) -> N
     target = np.concatenate([np.full(len(c), y, np.float32) for c, y in pieces])
     share = np.clip(target.mean(), 1e-3, 1 - 1e-3)
     weight = np.where(target == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+    # A long text counts for the root of its number of chunks, so that short ones are heard too.
+    weight /= np.sqrt(np.concatenate([np.full(len(c), len(c), np.float32) for c, _ in pieces]))
+    weight /= weight.mean()
     names = ("embedding", "filters", "bias", "output", "shift")
     first = {n: 0.0 for n in names}
     second = {n: 0.0 for n in names}
@@ -179,8 +180,8 @@ def calibrated(seen: np.ndarray, target: np.ndarray, ridge: float = 1e-2) -> np.
 def sampled(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[tuple[bytes, int]]:
     """A bounded sample of labelled rows that are not held out.
 
-    Which rows are taken depends on the hash of the id alone. Of a text at most
-    SAMPLE_CHUNKS evenly spread chunks travel, cut on the executors.
+    Which rows are taken depends on the hash of the id alone. Their whole texts come
+    to the driver, where the network is fitted: ``rows`` bounds them.
     """
     known = (
         labels.where("quality in (0, 1) and doc_id is not null")
@@ -190,25 +191,9 @@ def sampled(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list
         .limit(rows)
     )
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pieces = [some_chunks((t or "").encode()) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pieces, pa.binary()), batch.column(2)], ["doc_id", "text", "quality"]
-            )
-
-    joined = texts(docs).join(F.broadcast(known), "doc_id").select("doc_id", "text", "quality")
-    cut_texts = joined.mapInArrow(cut, "doc_id long, text binary, quality int")
-    found = cut_texts.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "quality").limit(rows).collect()
-    return [(bytes(r["text"]), r["quality"]) for r in found]
-
-
-def some_chunks(text: bytes, most: int = SAMPLE_CHUNKS) -> bytes:
-    """A short text itself; of a long one evenly spread chunks, the last one included."""
-    if len(text) <= most * CHUNK:
-        return text
-    starts = np.linspace(0, len(text) - CHUNK, most).astype(int)
-    return b"".join(text[s : s + CHUNK] for s in starts)
+    joined = texts(docs).join(F.broadcast(known), "doc_id").select("doc_id", F.col("text").cast("binary").alias("text"), "quality")
+    found = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "text", "quality").limit(rows).collect()
+    return [(bytes(r["text"] or b""), r["quality"]) for r in found]
 
 
 def trained(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:

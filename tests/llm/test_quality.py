@@ -35,6 +35,13 @@ def test_held_out_labels_are_predicted_and_never_read(spark, tables):
     assert got.where("predicted != cast(score >= 0.7 as int) or not score between 0 and 1").count() == 0
 
 
+def test_chosen_texts_are_read_whole(spark, tables):
+    docs, labels = tables
+    whole = {(r["text"] or "").encode() for r in docs.join(labels, "doc_id", "left_semi").select("text").collect()}
+    sample = quality.sampled(docs, labels)
+    assert {t for t, _ in sample} <= whole and max(len(t) for t, _ in sample) > 4 * quality.CHUNK
+
+
 def test_chunks_cover_the_text():
     text = bytes(range(256)) * 37 + b"end"
     rows = quality.chunked(text)
