@@ -261,3 +261,35 @@ def test_messages_of_a_batch_have_different_keys(spark):
     keys = writers.as_messages(spark.range(100)).select("key").distinct().count()
     assert keys == 100
     assert writers.as_messages(spark.range(3), key=F.col("id")).select("key").distinct().count() == 3
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+def test_csv_of_one_file_by_ranges(spark, tmp_path, line_end):
+    """Quoted line breaks, doubled quotes, records over several ranges, empty lines: as one task reads them."""
+    texts = [f'row {i}, "quoted"\nnext {"x" * (i % 90)}\r\n\n""' for i in range(300)] + ["y\n" * 3_000, "", "plain", ",", '"']
+    lines = ["id,text,n"] + [f'{i},"{t.replace(chr(34), chr(34) * 2)}",{i % 7}' for i, t in enumerate(texts)]
+    lines += ["400,bare,1", "", "401,\\N,2", '402,"",3', "403,,"]
+    schema = "id long, text string, n int"
+    for name, end in (("open", ""), ("closed", line_end)):
+        (tmp_path / f"{name}.csv").write_bytes((line_end.join(lines) + end).encode())
+    settings = {"spark.sql.files.maxPartitionBytes": "2000", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    former = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for path in (str(tmp_path / "open.csv"), str(tmp_path)):
+            got = readers.read_csv_ranges(spark, path, schema)
+            want = readers.read_csv(spark, path, schema)
+            assert spark.read.text(path, lineSep="\n").rdd.getNumPartitions() > 10
+            same = lambda t: t and (t.replace("\r\n", "\n") if line_end == "\r\n" else t)
+            order = lambda df: sorted(((i, same(t), n) for i, t, n in map(tuple, df.collect())), key=repr)
+            assert order(got) == order(want)
+    finally:
+        for k, v in former.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert {t for _, t, n in map(tuple, got.collect()) if n is not None} >= set(texts)
+
+
+def test_csv_ranges_need_doubled_quotes(spark, tmp_path):
+    with pytest.raises(ValueError):
+        readers.read_csv_ranges(spark, str(tmp_path), "a string", escape="\\")
