@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from savormap.functions.geo import bounding_box, degrees_spanned, distance_km
 from savormap.operators.shaping import known_rows
 from savormap.skew import bounded_lists, gather_lists, salt_of
+from savormap.storage import cut_lineage
 
 # Details of a place in a message.
 PLACE_DETAILS = ("name", "address", "dist_km", "latitude", "longitude", "stars", "hours")
-CELL_SALTS = 16
+CELL_DEGREES, CELL_BITS, FINEST = 16.0, 2, 4  # of the largest cells; each level has 4 x 4 in one
+FIRST = 2  # the level of one degree, down to which a request names cells without having met the tree
+CELL_ROWS = 4_096  # places of a cell that isn't cut further
 MESSAGE_BYTES = 4 * 1024 * 1024  # what a broker is set to take
 PHOTO_BYTES = 64 * 1024  # of the photos that a message carries beside a place
 
@@ -106,48 +109,127 @@ def _photos_of(found: DataFrame, photos: DataFrame) -> DataFrame:
     return photos.join(found.select("place_id").distinct(), "place_id", "left_semi")
 
 
-def _cells(df: DataFrame, cell: float, metric: str) -> DataFrame:
-    """Every grid cell a request's bounding box touches, one row each."""
-    reach = degrees_spanned(F.col("km"), metric)
-    index = lambda value: F.floor(value / F.lit(cell))
-    spanned = df.withColumn(
-        "_row",
-        F.explode(
-            F.sequence(index(F.col("center_lat") - reach), index(F.col("center_lat") + reach))
-        ),
+def _finest(value: Column) -> Column:
+    return F.floor(value / F.lit(CELL_DEGREES / (1 << CELL_BITS * FINEST))).cast("long")
+
+
+def _around(finest: Column, level: int) -> Column:
+    """Row or column of the cell of a level around a finest cell."""
+    return F.shiftright(finest, CELL_BITS * (FINEST - level))
+
+
+def _path(row: Column, column: Column) -> list[Column]:
+    """The cells around a finest one, widest first."""
+    return [
+        F.struct(F.lit(n).alias("_level"), _around(row, n).alias("_row"), _around(column, n).alias("_column"))
+        for n in range(FINEST + 1)
+    ]
+
+
+def place_cells(places: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Every finest cell with places in it, and the leaf of the tree that it lies in; stored.
+
+    The globe is cut into cells of 16 degrees, and a cell of more than ``cell_rows`` places into
+    4 x 4 smaller ones, down to a sixteenth of a degree. ``level`` names the leaf's size; a finest
+    cell that is still crowded has its places spread over several ``salts``.
+    """
+    fine = located(places).groupBy(
+        _finest(F.col("latitude")).alias("fine_row"), _finest(F.col("longitude")).alias("fine_column")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    sides = {f"_{c}{n}": _around(F.col(f"fine_{c}"), n) for n in range(FINEST) for c in ("row", "column")}
+    fine = fine.withColumns(sides)
+    # Rows dealt out by the widest cell, at most 2**16 of each, stay there for the smaller ones.
+    sums = {
+        f"n{n}": F.sum("n").over(Window.partitionBy(*list(sides)[: 2 * n + 2])) for n in range(FINEST)
+    }
+    level = F.lit(FINEST)
+    for n in reversed(range(FINEST)):
+        level = F.when(F.col(f"n{n}") <= cell_rows, F.lit(n)).otherwise(level)
+    salts = F.when(F.col("level") == FINEST, F.ceil(F.col("n") / F.lit(cell_rows))).otherwise(F.lit(1))
+    kept = fine.withColumns(sums).withColumn("level", level).withColumn("salts", salts.cast("long"))
+    return cut_lineage(kept.select("fine_row", "fine_column", "level", "salts"))
+
+
+def _touched(level: int, within: bool) -> Column:
+    """Cells of a level that a request's box touches, or those of them within the cell it has met."""
+    ends = []
+    for low, high, parent in (("_south", "_north", "_row"), ("_west", "_east", "_column")):
+        first, last = _around(F.col(low), level), _around(F.col(high), level)
+        if within:
+            bits = CELL_BITS * (level - FIRST)
+            part = F.shiftleft(F.col(parent), bits)
+            first, last = F.greatest(first, part), F.least(last, part + ((1 << bits) - 1))
+        ends.append(F.sequence(first, last))
+    cell = lambda r, c: F.struct(F.lit(level).alias("_level"), r.alias("_row"), c.alias("_column"))
+    return F.flatten(F.transform(ends[0], lambda r: F.transform(ends[1], lambda c: cell(r, c))))
+
+
+def cells_of_requests(requests: DataFrame, cells: DataFrame) -> DataFrame:
+    """Requests with every leaf that has places and touches their bounding box, one row each.
+
+    A box first meets the tree's cells down to one degree. Where such a cell has been cut further,
+    those of its parts that the box touches come in its place; empty cells are gone by then.
+    """
+    reach = degrees_spanned(F.col("km"), "planar100")
+    ends = {
+        name: _finest(F.col(c) + sign * reach)
+        for c, sign, name in (
+            ("center_lat", -1, "_south"), ("center_lat", 1, "_north"), ("center_lon", -1, "_west"), ("center_lon", 1, "_east")
+        )
+    }
+    key = ["_level", "_row", "_column"]
+    nodes = (
+        cells.withColumn("_cell", F.explode(F.slice(F.array(*_path(F.col("fine_row"), F.col("fine_column"))), 1, F.col("level") + 1)))
+        .groupBy(*[F.col(f"_cell.{k}").alias(k) for k in key])
+        .agg(F.max("level").alias("deepest"), F.max("salts").alias("salts"))
     )
-    return spanned.withColumn(
-        "_column",
-        F.explode(
-            F.sequence(index(F.col("center_lon") - reach), index(F.col("center_lon") + reach))
-        ),
+    begun = F.concat(*[_touched(n, False) for n in range(FIRST + 1)])
+    met = (
+        requests.withColumns(ends)
+        .withColumn("_cell", F.explode(begun))
+        .select("*", "_cell.*")
+        .drop("_cell")
+        .join(nodes.drop("salts"), key)
+        .where(f"deepest = _level OR _level = {FIRST}")
     )
+    further = F.concat(*[_touched(n, True) for n in range(FIRST + 1, FINEST + 1)])
+    own = F.array(F.struct(*key))
+    leaves = (
+        met.withColumn("_cell", F.explode(F.when(F.col("deepest") == F.col("_level"), own).otherwise(further)))
+        .drop(*key, "deepest", *ends)
+        .select("*", "_cell.*")
+        .drop("_cell")
+    )
+    return leaves.join(nodes, key).where("deepest = _level").drop("deepest")
 
 
 def range_join(
     places: DataFrame,
     requests: DataFrame,
-    cell_km: float = 25.0,
-    salts: int = CELL_SALTS,
+    cell_rows: int = CELL_ROWS,
     same_city: bool = False,
 ) -> DataFrame:
     """Places in range of many centres at once, under the planar metric.
 
-    ``requests`` holds request_id, user_id, center_lat, center_lon, km (and
-    city). Both sides meet in grid cells, an equi-join, and the exact distance
-    decides. A crowded cell is spread over ``salts`` tasks.
+    ``requests`` holds request_id, user_id, center_lat, center_lon, km (and city). Both sides
+    meet in the leaves of a tree of cells that is deep where places crowd, an equi-join, and the
+    exact distance decides. So a request is copied a few times over thinly settled land however
+    far it reaches, and only a finest cell of more than ``cell_rows`` places takes several tasks.
     """
-    cell = cell_km / 100.0
-    asked = _cells(requests, cell, "planar100").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-    )
-    placed = located(places).select(
-        "*",
-        F.floor(F.col("latitude") / F.lit(cell)).alias("_row"),
-        F.floor(F.col("longitude") / F.lit(cell)).alias("_column"),
-        salt_of([F.col("place_id")], salts).alias("_salt"),
+    cells = place_cells(places, cell_rows)
+    asked = cells_of_requests(requests, cells).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+    ).drop("salts")
+    path = F.array(*_path(F.col("fine_row"), F.col("fine_column")))
+    own = cells.withColumn("_cell", F.element_at(path, F.col("level") + 1)).select("fine_row", "fine_column", "salts", "_cell.*")
+    placed = (
+        located(places)
+        .withColumns({"fine_row": _finest(F.col("latitude")), "fine_column": _finest(F.col("longitude"))})
+        .join(own, ["fine_row", "fine_column"])
+        .withColumn("_salt", salt_of([F.col("place_id")], F.col("salts")))
+        .drop("fine_row", "fine_column", "salts")
     )
-    keys = ["_row", "_column", "_salt"] + (["city"] if same_city else [])
+    keys = ["_level", "_row", "_column", "_salt"] + (["city"] if same_city else [])
     if not same_city:
         asked = asked.drop("city")
     dist = distance_km(
@@ -157,7 +239,7 @@ def range_join(
         placed.join(asked, keys)
         .withColumn("dist_km", dist)
         .where(F.col("dist_km") < F.col("km"))
-        .drop("_row", "_column", "_salt", "center_lat", "center_lon", "km")
+        .drop("_level", "_row", "_column", "_salt", "center_lat", "center_lon", "km")
     )
 
 

@@ -12,7 +12,8 @@ from savormap.plans import views
 from savormap.plans.registry import query
 from savormap.plans.views import sql_over
 from savormap.skew import LIST_ROWS
-from savormap.storage import cut_lineage
+from savormap.sources import spatial
+from savormap.storage import cut_lineage, scratch_path
 
 LAT, LON, KM, CITY = 45.5, -122.5, 20.0, "NATION_3"
 SMALL_MESSAGE, SMALL_PAGE = 8 * 1024, 1024  # bounds under which the lists of the tables take several pages
@@ -40,6 +41,14 @@ def places_near_point(spark, sf):
     return _rounded(geo.nearest_first(found), "dist_km")
 
 
+@query("G1 S2 F-3", sql_over("places", f"SELECT place_id, round(dist_km, 6) AS dist_km FROM ({_NEAR})"))
+def stored_places_near_point(spark, sf):
+    """The same places from a table laid out by zone, of which the radius reads a few folders."""
+    path = scratch_path(spark, "places")
+    spatial.write_places(views.places(spark, sf), path)
+    return _rounded(geo.within_radius(spatial.read_places(spark, path, LAT, LON, KM), LAT, LON, KM), "dist_km")
+
+
 @query(
     "W5 W4",
     sql_over(

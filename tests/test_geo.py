@@ -9,6 +9,7 @@ from savormap.functions.geo import distance_km, wkt_latitude, wkt_longitude
 from savormap.operators import geo
 from savormap.plans import geo_queries
 from savormap.skew import running_sums
+from savormap.sources import spatial
 from tests.conftest import plan_of
 
 PLACES = "place_id long, name string, address string, city string, latitude double, longitude double, stars double, hours string"
@@ -82,8 +83,8 @@ def test_range_join_equals_single_requests(spark, scattered, same_city):
     requests = spark.createDataFrame(
         asked, "request_id long, user_id string, city string, center_lat double, center_lon double, km double"
     )
-    for cell in (5.0, 200.0):
-        joined = geo.range_join(scattered, requests, cell_km=cell, same_city=same_city)
+    for rows in (8, 100, 10_000):
+        joined = geo.range_join(scattered, requests, cell_rows=rows, same_city=same_city)
         expected = []
         for key, _, city, lat, lon, km in asked:
             base = scattered.where(F.col("city") == city) if same_city else scattered
@@ -200,3 +201,50 @@ def test_running_sums_are_those_of_each_group(spark):
         total[k] = total.get(k, 0) + v
     assert got == wanted
     assert running_sums(df.limit(0), ["k"], [F.col("at")], F.col("v"), "before").count() == 0
+
+
+@pytest.mark.parametrize("metric", ["planar100", "haversine"])
+def test_stored_places_skip_files(spark, scattered, tmp_path, metric):
+    """A radius over places stored by zone opens the files of its zones only, and finds the same places."""
+    path = str(tmp_path / "by_zone")
+    scattered = scattered.where("place_id % 20 = 0 OR place_id > 3000")
+    spatial.write_places(scattered, path, records_per_file=200)
+    files = len(spark.read.parquet(path).inputFiles())
+    for lat, lon, km in ((45.0, -122.0, 30.0), (-89.9, 179.9, 40.0), (0.1, -0.1, 5.0), (10.0, 20.0, 2500.0)):
+        near = spatial.read_places(spark, path, lat, lon, km, metric)
+        expected = ids(geo.within_radius(scattered, lat, lon, km, metric))
+        assert ids(geo.within_radius(near, lat, lon, km, metric)) == expected
+        if km < 100:
+            near.collect()
+            scan = near._jdf.queryExecution().executedPlan().collectLeaves().head()
+            assert scan.metrics().apply("numFiles").value() < files * 0.2
+    text = plan_of(geo.within_radius(spatial.read_places(spark, path, 45.0, -122.0, 30.0), 45.0, -122.0, 30.0))
+    scan = next(line for line in text.splitlines() if "PartitionFilters" in line)
+    assert spatial.ROW in scan and spatial.COLUMN in scan
+    assert "GreaterThanOrEqual(latitude" in next(line for line in text.splitlines() if "PushedFilters" in line)
+
+
+def test_interleaved_bits(spark):
+    points = [(-90.0, -180.0), (90.0, 180.0), (-90.0, 180.0), (0.0, 0.0), (-89.999, -180.0)]
+    df = spark.createDataFrame(points, "latitude double, longitude double")
+    got = [r[0] for r in df.select(spatial.interleaved(F.col("latitude"), F.col("longitude"))).collect()]
+    assert got == [0, 2**32 - 1, 0xAAAAAAAA, 3 << 30, 0]
+
+
+def test_copies_of_a_request(spark, scattered):
+    """Few cells where places are thin, however wide the circle; small ones where they crowd; salts there alone."""
+    requests = spark.createDataFrame(
+        [(1, "u", 45.0, -122.0, 10.0), (2, "u", 0.0, 0.0, 300.0), (3, "u", -50.0, 60.0, 3_000.0), (4, "u", 70.0, 179.9, 30.0)],
+        "request_id long, user_id string, center_lat double, center_lon double, km double",
+    )
+    cells = geo.place_cells(scattered, 64)
+    copies = {}
+    for r in geo.cells_of_requests(requests, cells).collect():
+        copies.setdefault(r["request_id"], []).append((r["_level"], r["salts"]))
+    assert len(copies[2]) <= 4 and len(copies[3]) <= 30 and {s for i in (2, 3, 4) for _, s in copies[i]} == {1}
+    assert max(level for level, _ in copies[1]) >= 3 and len(copies[1]) <= 16
+    one_spot = spark.createDataFrame([place(i, 45.0, -122.0) for i in range(500)] + [place(900, 10.0, 10.0)], PLACES)
+    spread = {(r["level"], r["salts"]) for r in geo.place_cells(one_spot, 64).collect()}
+    assert spread == {(0, 1), (geo.FINEST, 8)}
+    assert geo.range_join(one_spot, requests, 64).where("request_id = 1").count() == 500
+    assert geo.range_join(one_spot.limit(0), requests, 64).count() == 0
