@@ -92,6 +92,16 @@ def test_factors_beat_the_mean(spark, planted):
     assert recommend.predict(model, pairs).count() == 2
 
 
+def test_shuffles_of_past_iterations_are_dropped(spark, planted):
+    """What a fitted model still rests on doesn't grow with its iterations."""
+    numbered, _, _ = recommend.prepare_ratings(planted, text=None)
+    kept = [
+        recommend.fit_factors(numbered, rank=2, iterations=n).userFactors._jdf.queryExecution().toRdd().toDebugString().count("ShuffledRDD")
+        for n in (2, 6)
+    ]
+    assert kept[0] == kept[1]
+
+
 @pytest.mark.parametrize("blocks", [(7, 9), (10_000, 10_000)])
 def test_top_products_match_brute_force(spark, blocks):
     rng = np.random.default_rng(2)
