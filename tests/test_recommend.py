@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from savormap.operators import metrics, ranking, recommend
+from savormap.operators import metrics, products, ranking, recommend
 from savormap.operators.products import met_share, top_products
 
 SIMS = "a long, b long, sim double"
@@ -154,6 +154,21 @@ def test_affinity_needs_both_sides(spark):
     assert [(r["user_id"], r["place_id"], r["affinity"]) for r in rows] == [("u", 1, 4.0)]
 
 
+def test_float_vectors_travel_as_floats(spark, monkeypatch):
+    """Half the bytes in a block, columns met a chunk at a time, and the same best products."""
+    rng = np.random.default_rng(9)
+    side = rng.integers(-3, 4, size=(60, 5))
+    floats = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(side)], "id long, vec array<float>")
+    sizes = products._packed(floats).select(F.octet_length("vec").alias("n")).distinct().collect()
+    assert [r["n"] for r in sizes] == [4 * 5]
+    monkeypatch.setattr(products, "_CHUNK", 7)
+    ids, least = np.arange(60)[::-1].copy(), np.zeros(60)
+    rows, columns, scores = products._best(side.astype(float), side.astype(float), ids, 4, least)
+    for i, of in enumerate(side @ side.T):
+        order = [j for j in np.lexsort((ids, -of)) if of[j] > 0][:4]
+        assert columns[rows == i].tolist() == order and scores[rows == i].tolist() == of[order].tolist()
+
+
 def _vectors(spark, first, vectors):
     return spark.createDataFrame([(first + i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, vec array<double>")
 
