@@ -248,3 +248,11 @@ def test_copies_of_a_request(spark, scattered):
     assert spread == {(0, 1), (geo.FINEST, 8)}
     assert geo.range_join(one_spot, requests, 64).where("request_id = 1").count() == 500
     assert geo.range_join(one_spot.limit(0), requests, 64).count() == 0
+
+
+def test_a_city_has_a_tree_of_its_own(spark):
+    """Cells stay wide, and a request's copies few, where the places that crowd are of many cities."""
+    rows = [place(i, 45 + i % 20 / 20, -122 - i % 19 / 19) for i in range(1_000)]
+    places = spark.createDataFrame(rows, PLACES).withColumn("city", (F.col("place_id") % 25).cast("string"))
+    mixed, own = geo.place_cells(places, 64), geo.place_cells(places, 64, ["city"])
+    assert max(r["level"] for r in mixed.collect()) > 0 == max(r["level"] for r in own.collect())

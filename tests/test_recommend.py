@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from savormap.operators import metrics, products, ranking, recommend
 from savormap.operators.products import met_share, top_products
+from tests.conftest import plan_of
 
 SIMS = "a long, b long, sim double"
 
@@ -154,6 +155,16 @@ def test_affinity_needs_both_sides(spark):
     assert [(r["user_id"], r["place_id"], r["affinity"]) for r in rows] == [("u", 1, 4.0)]
 
 
+def test_affinity_of_rows_that_hold_their_vectors(spark):
+    """Pairs with both vectors beside them need no join and no shuffle."""
+    rows = spark.createDataFrame(
+        [("u", 1, [1.0, 2.0], [3.0, 0.5])], "user_id string, place_id long, user_feature array<double>, item_feature array<double>"
+    )
+    ranked = recommend.rank_by_affinity(rows)
+    assert [tuple(r) for r in ranked.collect()] == [("u", 1, 4.0)]
+    assert "Exchange" not in plan_of(ranked) and "Join" not in plan_of(ranked)
+
+
 def test_float_vectors_travel_as_floats(spark, monkeypatch):
     """Half the bytes in a block, columns met a chunk at a time, and the same best products."""
     rng = np.random.default_rng(9)
