@@ -165,6 +165,24 @@ def test_affinity_of_rows_that_hold_their_vectors(spark):
     assert "Exchange" not in plan_of(ranked) and "Join" not in plan_of(ranked)
 
 
+def test_candidates_of_users_with_many_and_few_ratings(spark, monkeypatch):
+    """Users whose rated items fit beside an event, and others; ties, unknown users, items without similarities."""
+    rng = np.random.default_rng(4)
+    pairs = [(a, b, round(float(rng.random()), 1)) for a in range(12) for b in range(12) if a != b]
+    seen = {u: sorted(rng.choice(12, size=u, replace=False).tolist()) for u in range(1, 11)}
+    asked = [(u, i) for u in range(12) for i in (0, 5, 99)]
+    events = spark.createDataFrame(asked, "user_id long, item_id long")
+    rated = spark.createDataFrame([(u, i) for u, found in seen.items() for i in found], "user_id long, item_id long")
+    want = set()
+    for u, i in asked:
+        fresh = sorted((-s, b) for a, b, s in pairs if a == i and b not in seen.get(u, []))[:3]
+        want |= {(u, i, b, -s, n) for n, (s, b) in enumerate(fresh, 1)}
+    for held in (0, 4, 1_000):
+        monkeypatch.setattr(recommend, "HELD_ITEMS", held)
+        got = recommend.unseen_candidates(events, spark.createDataFrame(pairs, SIMS), rated, n=3)
+        assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
+
+
 def test_float_vectors_travel_as_floats(spark, monkeypatch):
     """Half the bytes in a block, columns met a chunk at a time, and the same best products."""
     rng = np.random.default_rng(9)
