@@ -183,6 +183,26 @@ def test_candidates_of_users_with_many_and_few_ratings(spark, monkeypatch):
         assert {tuple(r) for r in got.collect()} == want and got.count() == len(want)
 
 
+def test_only_similar_candidates_become_rows(spark):
+    """Two thousand candidates and twenty recent ratings: two pairs are similar, and no other is shuffled."""
+    wanted = spark.range(2_000).selectExpr("7L AS user_id", "id AS candidate")
+    recent = spark.range(20).selectExpr("7L AS user_id", "id + 5000 AS item_id", "CAST(id % 5 + 1 AS DOUBLE) AS stars")
+    sims = spark.createDataFrame([(3, 5001, 0.9), (1999, 5004, 0.8), (2500, 5004, 0.9), (4, 6000, 0.9)], SIMS)
+    scores = recommend.candidate_scores(wanted, recent, sims)
+    assert sorted((r["candidate"], round(r["score"], 9)) for r in scores.collect()) == [(3, 1.8), (1999, 4.0)]
+    scan, met = scores._jdf.queryExecution().executedPlan(), []
+    nodes = [scan.executedPlan() if hasattr(scan, "executedPlan") else scan]
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if "Join" in name:
+            met.append(node.metrics().apply("numOutputRows").value())
+        inner = [node.plan()] if "QueryStage" in name else []
+        kids = node.children()
+        nodes += inner + [kids.apply(i) for i in range(kids.size())]
+    assert met and max(met) <= 20 * recommend.CANDIDATE_PAGES
+
+
 def test_float_vectors_travel_as_floats(spark, monkeypatch):
     """Half the bytes in a block, columns met a chunk at a time, and the same best products."""
     rng = np.random.default_rng(9)
