@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from savormap.operators import metrics, products, ranking, recommend
 from savormap.operators.products import met_share, top_products
+from savormap.plans import recommend_queries
 from tests.conftest import plan_of
 
 SIMS = "a long, b long, sim double"
@@ -203,6 +204,21 @@ def test_only_similar_candidates_become_rows(spark):
     assert met and max(met) <= 20 * recommend.CANDIDATE_PAGES
 
 
+def test_recent_items_meet_one_row_of_their_list(spark, monkeypatch):
+    """Items rated once, twice, and without similar ones; the table looked up has a row per item."""
+    sims = spark.createDataFrame([(1, b, b / 10) for b in range(2, 9)] + [(2, 1, 0.2)], SIMS)
+    rated = spark.createDataFrame(
+        [(7, 1, 5.0, 1, 1, 1), (7, 1, 4.0, 2, 2, 1), (7, 2, 4.0, 3, 3, 1), (8, 3, 1.0, 1, 4, 1)],
+        "user_id long, item_id long, stars double, ts long, l_orderkey long, l_linenumber int",
+    )
+    met, join = [], recommend_queries.lookup_join
+    monkeypatch.setattr(recommend_queries, "_sims", lambda spark, sf: sims)
+    monkeypatch.setattr(recommend_queries.views, "vector_ratings", lambda spark, sf: rated)
+    monkeypatch.setattr(recommend_queries, "lookup_join", lambda df, lookup, on: met.append(lookup.count()) or join(df, lookup, on))
+    got = recommend_queries.similarity_of_recent_items(spark, "")
+    assert sorted(tuple(r) for r in got.collect()) == [(7, 1, 14, 0.8), (7, 2, 1, 0.2)] and met == [2]
+
+
 def test_float_vectors_travel_as_floats(spark, monkeypatch):
     """Half the bytes in a block, columns met a chunk at a time, and the same best products."""
     rng = np.random.default_rng(9)
