@@ -267,3 +267,22 @@ def test_vectors_of_one_length_are_all_met(spark):
     assert met_share(side, side, 3) > 0.9
     best = top_products(side, side, 3).where("position = 1").collect()
     assert len(best) == 200 and all(r["left"] == r["right"] for r in best)
+
+
+def test_whole_lists_are_the_pages_of_scored_lists(spark):
+    """Ties, a page that is just full, a missing key; one shuffle."""
+    rows = [(k, n, float(n * 7 % 5)) for k, size in ((1, 1), (2, 4), (3, 9), (None, 3)) for n in range(size)]
+    scored = spark.createDataFrame(rows, "a long, b long, sim double").repartition(3)
+    got = recommend.whole_lists(scored, "a", "b", "sim", rows=4)
+    flat = lambda df: sorted((repr(r["a"]), r["part"], [tuple(e) for e in r["recs"]]) for r in df.collect())
+    assert flat(got) == flat(recommend.scored_lists(scored, "a", "b", "sim", rows=4))
+    lone = recommend.whole_lists(spark.range(9).selectExpr("id % 2 AS a", "id AS b", "1.0D AS sim"), "a", "b", "sim")
+    assert plan_of(lone).split("\n\n")[0].count("Exchange") == 1
+
+
+def test_lists_of_similar_vectors_shuffle_pairs_once(spark):
+    """Above the task that multiplies, pairs are shuffled once, to the vector they are listed under."""
+    from savormap.plans.recommend_queries import similar_vector_lists
+
+    tree = plan_of(similar_vector_lists(spark, "/root/testdata/sf0.001")).split("\n\n")[0]
+    assert "FlatMapGroupsInPandas" in tree and tree[: tree.index("FlatMapGroupsInPandas")].count("Exchange") == 1
