@@ -166,6 +166,20 @@ def test_affinity_of_rows_that_hold_their_vectors(spark):
     assert "Exchange" not in plan_of(ranked) and "Join" not in plan_of(ranked)
 
 
+def test_places_in_range_meet_vectors_without_a_shuffle(spark):
+    """They are shuffled once, without vectors, and not sorted (operators stand above what they read)."""
+    found = spark.range(400).selectExpr("concat('u', id % 7) AS user_id", "id % 31 AS place_id", "id AS n")
+    users = spark.range(9).selectExpr("concat('u', id) AS user_id", "array(id / 2, 1.0D) AS user_feature")
+    places = spark.range(40).selectExpr("id AS place_id", "array(id / 4, -1.0D) AS item_feature")
+    beside = recommend.with_vectors(found, users, places, parts=4)
+    assert sorted(map(tuple, recommend.rank_by_affinity(beside).select("n", "user_id", "place_id", "affinity").collect())) == [
+        (n, f"u{n % 7}", n % 31, n % 7 / 2 * (n % 31) / 4 - 1) for n in range(400)
+    ]
+    tree = plan_of(beside).split("\n\n")[0]
+    lines = tree[: tree.index("Exchange")].splitlines()
+    assert sum("ShuffledHashJoin" in line for line in lines) == 2 and not any("Sort " in line for line in lines)
+
+
 def test_candidates_of_users_with_many_and_few_ratings(spark, monkeypatch):
     """Users whose rated items fit beside an event, and others; ties, unknown users, items without similarities."""
     rng = np.random.default_rng(4)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from savormap import schemas, storage
 from savormap.operators import ranking
+from savormap.plans import stream_queries
 from savormap.sources import readers, writers
 from savormap.sources.lookup import LookupTable
 from savormap.streaming import jobs
@@ -293,3 +294,43 @@ def test_csv_of_one_file_by_ranges(spark, tmp_path, line_end):
 def test_csv_ranges_need_doubled_quotes(spark, tmp_path):
     with pytest.raises(ValueError):
         readers.read_csv_ranges(spark, str(tmp_path), "a string", escape="\\")
+
+
+ENTRY = "user_id string, business_id_listInRange array<struct<place_id: long, name: string, stars: double>>"
+
+
+def test_affinities_of_several_batches(spark, tmp_path):
+    """Repeated and unknown ids, ids with two vectors or none: as a plain join has them, whatever a batch takes."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    entry = lambda u, i: {"name": f"{u} at {i}", "stars": i / 2, **({} if i == 5 else {"place_id": i})}
+    messages = [(f"u{n % 5}", [entry(f"u{n % 5}", (n * 3 + k) % 9) for k in range(n)] * (1 + n % 2)) for n in range(9)]
+    for n, (u, listed) in enumerate([*messages, (None, [entry("nobody", 1)])]):
+        (inbox / f"{n}.txt").write_text(json.dumps({"user_id": u, "business_id_listInRange": listed}))
+    users = [("u0", [1.5, 2.0]), ("u1", [0.25, -1.0]), ("u1", [4.0, 4.0]), ("u2", [1.0, None]), ("u3", None), (None, [1.0, 1.0])]
+    places = [(i, [i / 4, 2.0 - i]) for i in (0, 1, 2, 3, 4, 4, 7)] + [(8, [1.0]), (None, [1.0, 1.0])]
+    u = spark.createDataFrame(users, "user_id string, user_feature array<double>")
+    p = spark.createDataFrame(places, "place_id long, item_feature array<double>")
+    tables = [LookupTable(spark, str(tmp_path / t.columns[1]), t.schema, t.columns[0], 4).write(t) for t in (u, p)]
+    flat = jobs.unnest(jobs.parse_ranges(spark.read.text(str(inbox)), ENTRY), "business_id_listInRange", "user_id")
+    want = jobs.rank_by_affinity(flat, u, p)
+    for label, kept, size in (("all", None, None), ("some", ["stars"], 1), ("none", (), 300)):
+        stream = readers.read_message_files(spark, str(inbox), bytes_per_batch=size)
+        out = tmp_path / label
+        writer = jobs.affinity_stream(stream, ENTRY, *tables, str(out), str(tmp_path / f"{label}-state"), details=kept)
+        jobs.with_trigger(writer, drain=True).start().awaitTermination()
+        batches = len(list(out.glob("batch_id=*")))
+        assert batches == 1 if size is None else batches == 10 if size == 1 else 1 < batches < 10
+        got = spark.read.parquet(str(out)).drop("batch_id")
+        columns = ["user_id", "place_id", *(["name", "stars"] if kept is None else kept), "affinity"]
+        assert sorted(got.columns) == sorted(columns)
+        rows = lambda df: sorted(map(repr, df.select(columns).collect()))
+        assert rows(got) == rows(want) and got.count() > 30
+
+
+def test_streamed_affinities_store_what_they_return(spark):
+    """Places in range are stored with their ids and affinity, not with all details of their messages."""
+    found = stream_queries.streamed_affinities(spark, "/root/testdata/sf0.001")
+    stored = spark.read.option("basePath", found.inputFiles()[0].split("/batch_id=")[0]).parquet(*found.inputFiles())
+    assert set(stored.columns) == {"user_id", "place_id", "affinity", "batch_id"}
+    assert stored.count() == found.count() > 0
