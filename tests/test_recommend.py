@@ -283,6 +283,36 @@ def test_vectors_of_one_length_are_all_met(spark):
     assert len(best) == 200 and all(r["left"] == r["right"] for r in best)
 
 
+@pytest.mark.parametrize("scale", [1e-160, 1.0, 1e150])
+def test_products_that_single_precision_cannot_tell_apart(monkeypatch, scale):
+    """Scores that differ by less than a float shows, lengths beyond a float's range, ties; few products are made in double."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(30, 8)) * scale
+    b = np.ones((900, 8)) + rng.normal(scale=1e-9, size=(900, 8))
+    b[:300] = rng.normal(size=(300, 8))
+    b[500:520] = b[700:720]
+    ids = rng.permutation(900)
+    made = []
+    exact = products.exact_products
+    monkeypatch.setattr(products, "exact_products", lambda *of: made.append(len(of[2])) or exact(*of))
+    rows, columns, scores = products._best(a, b, ids, 7, np.zeros(30))
+    for i in range(30):
+        of = np.einsum("ij,j->i", b, a[i])
+        order = [j for j in np.lexsort((ids, -of)) if of[j] > 0][:7]
+        assert scores[rows == i].tolist() == pytest.approx(of[order].tolist(), rel=1e-12)
+        assert len(set(columns[rows == i].tolist())) == len(order)
+    assert sum(made) < 30 * 900
+    rows, columns, _ = products._best(a[:1], np.repeat(a[:1], 40, axis=0), ids[:40], 3, np.zeros(1))
+    assert ids[columns].tolist() == sorted(ids[:40].tolist())[:3]
+
+
+def test_small_bands_share_a_block():
+    """Of bands of equal lengths a row sends on n products for each block, not for each band."""
+    bands = products.Bands("length", [1.0, 2.0, 3.0, 4.0], [3, 3, 3, 9, 3], [0.0] * 5, [9.0] * 5, [1, 1, 1, 2, 1], together=6)
+    assert bands.starts == [0, 0, 1, 2, 4]
+    assert products.Bands("length", [1.0], [3, 3], [0.0] * 2, [9.0] * 2, [1, 1]).starts == [0, 1]
+
+
 def test_whole_lists_are_the_pages_of_scored_lists(spark):
     """Ties, a page that is just full, a missing key; one shuffle."""
     rows = [(k, n, float(n * 7 % 5)) for k, size in ((1, 1), (2, 4), (3, 9), (None, 3)) for n in range(size)]
