@@ -36,6 +36,23 @@ def test_unseen_candidates(spark):
     assert [(r["user_id"], r["candidate"]) for r in rows] == [(7, 3), (7, 4)]
 
 
+def test_candidates_say_how_much_of_a_list_they_need(spark, monkeypatch):
+    sims = [(1, b, 1 - b / 100) for b in range(2, 60)]
+    events = spark.createDataFrame([(7, 1), (8, 1)], "user_id long, item_id long")
+    rated = spark.createDataFrame([(7, 2), (7, 3), (8, 5), (9, 4), (9, 6), (9, 7)], "user_id long, item_id long")
+    asked = []
+
+    def best(depth):
+        asked.append(depth)
+        return spark.createDataFrame(sims[:depth], SIMS)
+
+    answer = lambda of: sorted(map(tuple, recommend.unseen_candidates(events, of, rated, n=3).collect()))
+    whole = answer(spark.createDataFrame(sims, SIMS))
+    assert answer(best) == whole and asked == [5]
+    monkeypatch.setattr(recommend, "HELD_ITEMS", 1)
+    assert answer(best) == whole and asked == [5, None]
+
+
 def test_recent_ratings_keep_the_latest(spark):
     rows = spark.createDataFrame(
         [(1, i, float(i), i // 2) for i in range(50)], "user_id long, item_id long, stars double, ts long"
