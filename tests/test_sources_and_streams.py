@@ -210,6 +210,31 @@ def test_streamed_ratings_count_and_latest_wins(spark, small_world, tmp_path):
     assert got and not {(r["user_id"], r["c"]) for r in got} & rated
 
 
+def test_state_is_kept_of_the_users_of_the_stream_alone(spark, small_world, tmp_path):
+    """Stored ratings lie beside the state, are read once, and count in the list and in what is known."""
+    sims = LookupTable(spark, str(tmp_path / "sims"), small_world[1].schema, "a", 4).write(small_world[1])
+    ratings = spark.range(4_000).selectExpr("id % 1000 AS user_id", "id % 7 AS item_id", "1.0 + id % 5 AS stars", "id AS ts")
+    store = jobs.recommendation_store(spark, str(tmp_path / "store"))
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+
+    def answered(item, stored):
+        (inbox / f"{item}.txt").write_text(f'{{"user": 3, "restaurant": {item}, "rating": 4.0, "timestamp": {9000 + item}}}')
+        stream = readers.read_message_files(spark, str(inbox))
+        query = jobs.with_trigger(jobs.rating_stream(stream, stored, sims, store, str(tmp_path / "state"), 0.5), drain=True).start()
+        query.awaitTermination()
+        held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+        return max(held), store.read().collect()
+
+    mine = {r["item_id"] for r in ratings.where("user_id = 3").collect()}
+    held, rows = answered(9, ratings)
+    assert held < 20 and len(rows) == 1 and rows[0]["known"] == len(mine) + 1
+    assert {r["candidate"] for r in rows[0]["recs"]} == set(range(12)) - mine - {9}
+    held, rows = answered(10, ratings.limit(0))
+    assert held < 20 and rows[0]["item_id"] == 10 and rows[0]["known"] == len(mine) + 2
+    assert {r["candidate"] for r in rows[0]["recs"]} == set(range(12)) - mine - {9, 10}
+
+
 def test_lookup_reads_its_keys_buckets_only(spark, small_world, tmp_path):
     _, sims = small_world
     table = LookupTable(spark, str(tmp_path / "sims"), sims.schema, "a", 4).write(sims)
