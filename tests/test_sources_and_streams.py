@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from savormap import schemas, storage
 from savormap.operators import ranking
+from savormap.operators.shaping import unnest
 from savormap.plans import stream_queries
 from savormap.sources import readers, writers
 from savormap.sources.lookup import LookupTable
@@ -359,3 +360,14 @@ def test_streamed_affinities_store_what_they_return(spark):
     stored = spark.read.option("basePath", found.inputFiles()[0].split("/batch_id=")[0]).parquet(*found.inputFiles())
     assert set(stored.columns) == {"user_id", "place_id", "affinity", "batch_id"}
     assert stored.count() == found.count() > 0
+
+
+def test_details_that_nobody_keeps_are_not_parsed(spark, small_world):
+    schema = "user_id string, business_id_listInRange array<struct<place_id: long, name: string, photos: array<struct<photo_id: long>>>>"
+    full = spark.createDataFrame([], schema).schema
+    kept = jobs.kept_details(full, ["place_id"])
+    assert kept.simpleString() == "struct<user_id:string,business_id_listInRange:array<struct<place_id:bigint>>>"
+    lines = ['{"user_id":"u","business_id_listInRange":[{"place_id":1,"photos":[{"photo_id":2}]},{"name":"x"},null]}', "{", '{"user_id":"v"}']
+    messages = spark.createDataFrame([(x,) for x in lines], "value string")
+    ids = lambda of: sorted(map(str, unnest(jobs.parse_ranges(messages, of), "business_id_listInRange", "user_id").select("user_id", "place_id").collect()))
+    assert ids(kept) == ids(full) and len(ids(kept)) == 3
