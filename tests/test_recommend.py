@@ -135,6 +135,16 @@ def test_top_products_match_brute_force(spark, blocks):
         assert [(-r["score"], r["right"]) for r in mine] == scores
 
 
+def test_large_tables_take_more_blocks(spark, planted, monkeypatch):
+    """A block's ratings and the factors they name have to fit a task; small tables keep their blocks."""
+    numbered, _, _ = recommend.prepare_ratings(planted, text=None)
+    assert numbered.inputFiles()  # stored, so counting it is cheap
+    blocks = lambda: recommend.fit_factors(numbered, rank=2, iterations=1).userFactors.rdd.getNumPartitions()
+    assert blocks() == recommend.BLOCKS
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", math.ceil(numbered.count() / 13))
+    assert blocks() == 13
+
+
 def test_best_items_agree_with_the_model(spark, planted):
     numbered, _, _ = recommend.prepare_ratings(planted, text=None)
     model = recommend.fit_factors(numbered, rank=3, iterations=3)
